@@ -23,7 +23,7 @@ from tidewatch.operators.indicators import build_indicators, feed_union, indicat
 from tidewatch.operators.iocs import extract_iocs
 from tidewatch.operators.match import match_indicators, regroup_hits
 from tidewatch.operators.normalize_firewall import firewall_text, normalize_firewall
-from tidewatch.operators.normalize_packets import normalize_packets
+from tidewatch.operators.normalize_packets import normalize_packets, packet_text
 from tidewatch.plans.enrich import FirewallRun, Settings, enrich_firewall, enrich_packets, refresh_indicators
 from tidewatch.session import configure, stage_path
 from tidewatch.sources import readers, sinks
@@ -316,7 +316,8 @@ _FLOW_COLUMNS = ["event_id", "source_address", "destination_address", "ip_versio
 
 
 def packets(spark, sf_dir):
-    return readers.parse_packets(S.packet_lines(spark, sf_dir))[0]
+    lines = stored(spark, sf_dir, "packet-lines", lambda: S.packet_lines(spark, sf_dir))
+    return readers.parse_packets(lines)[0]
 
 
 @query("normalize_packets", f"WITH {_PACKETS} SELECT {', '.join(_FLOW_COLUMNS)} FROM flows")
@@ -328,7 +329,12 @@ def _normalize_packets(spark, sf_dir):
 
 @query("packet_leaves", f"WITH {_PACKET_LEAVES} SELECT id AS event_id, CAST(ord AS INTEGER) AS ord, path, value FROM pk_leaves")
 def _packet_leaves(spark, sf_dir):
-    return normalize_packets(packets(spark, sf_dir)).select("event_id", F.inline("leaves"))
+    return normalize_packets(packets(spark, sf_dir)).select("event_id", F.inline(packet_text().leaves))
+
+
+@query("packet_strings", f"WITH {_PACKET_LEAVES} SELECT id AS event_id, lines FROM pk_text")
+def _packet_strings(spark, sf_dir):
+    return normalize_packets(packets(spark, sf_dir)).select("event_id", packet_text().lines.alias("lines"))
 
 
 @query("reject_packets", "SELECT event_id, '{\"timestamp\": broken' AS raw FROM events WHERE event_id % 50 = 5")

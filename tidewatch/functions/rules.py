@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass, field
 
 from pyspark.sql import SparkSession
@@ -87,6 +88,35 @@ def spark_pattern(pattern: str) -> str:
     return "(?Ud)" + pattern
 
 
+# Lower-case texts of which every match of an expression holds at least one. Looking for a
+# plain text is far cheaper than running the expression, so it is tried first. Expressions
+# that are a mere list of words need no entry, and the others are simply run.
+_HOLDS = {
+    "hex_encoded": [r"\x"],
+    "unicode_encoded": [r"\u"],
+    "obfuscated_powershell": ["powershell"],
+    "obfuscated_script": ["cmd", "powershell", "bash", "sh"],
+    "sql_injection": ["union", "drop", "insert", "update", "delete", "'", "1=1"],
+    "command_injection": [";", "||", "&&", "`", "$(", "${", "%"],
+    "directory_traversal": ["../", "..\\", "/etc/", "c:\\", "%2e%2e%2f", "%2e%2e%5c"],
+}
+_RULE_HOLDS = {
+    "sql_injection_attempt": ["sql injection", "sqli", "union", "drop", "insert"],
+    "high_risk_protocol": ["telnet", "rsh", "rlogin", "ftp"],
+}
+HOLDS = {SCAN_PATTERNS[name]: words for name, words in _HOLDS.items()} | {
+    CORRELATION_RULES[name]: words for name, words in _RULE_HOLDS.items()
+}
+
+
+def needed_words(pattern: str) -> list[str] | None:
+    """Words of which every match of ``pattern`` holds one, or None if that is not known."""
+    if pattern in HOLDS:
+        return HOLDS[pattern]
+    listed = re.fullmatch(r"\(\?i\)\((?:\?:)?([a-z0-9 &<:=|-]+)\)", pattern)
+    return listed[1].split("|") if listed else None
+
+
 @dataclass(frozen=True)
 class RulePack:
     """What ``hunt`` looks for; pass another one to use your own rules."""

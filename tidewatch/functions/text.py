@@ -100,7 +100,9 @@ def flat_view(values: dict[str, str]) -> TextView:
     )
 
 
-def array_view(leaves: Column) -> TextView:
-    """View over an array<struct<ord, path, value>> column."""
-    values = F.transform(leaves, lambda leaf: leaf.value)
+def array_view(values: Column, leaves: Column) -> TextView:
+    """View over an array of all values and an array<struct<ord, path, value>> of them.
+
+    The second is worked out only where a pattern was found in the first.
+    """
     return TextView(F.array_join(values, "\n"), F.array_join(values, " "), leaves)

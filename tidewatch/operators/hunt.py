@@ -7,7 +7,7 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewatch.functions.rules import DEFAULT_PACK, RulePack, spark_pattern
+from tidewatch.functions.rules import DEFAULT_PACK, RulePack, needed_words, spark_pattern
 from tidewatch.functions.text import TextView, sql_text
 from tidewatch.session import computed_once
 
@@ -20,12 +20,22 @@ def first_keyword(text: str, words: Iterable[str]) -> str:
     return f"case {tests} end"
 
 
+def matches(text: str, folded: str, pattern: str) -> str:
+    """SQL test for ``pattern`` in ``text``; ``folded`` is the lower-case text of the event."""
+    test = f"{text} rlike {sql_text(spark_pattern(pattern))}"
+    words = needed_words(pattern)
+    if not words:
+        return test
+    return "((" + " or ".join(f"contains({folded}, {sql_text(w)})" for w in words) + f") and {test})"
+
+
 def hunt(events: DataFrame, view: TextView, pack: RulePack = DEFAULT_PACK) -> DataFrame:
     """Add ``threat_hunting`` to every event, null where nothing was found.
 
     Runs as plain projections. Each pattern first looks at the whole text; only where it
     occurs are the single fields taken apart to say which of them holds it. No pattern is
     anchored or can span two lines of that text, so the first look misses nothing.
+    Expressions run only on events that hold one of the words they need.
     """
     kept = [f"`{c}`" for c in events.columns]
     patterns = {name: sql_text(spark_pattern(pack.patterns[name])) for name in sorted(pack.patterns)}
@@ -38,15 +48,20 @@ def hunt(events: DataFrame, view: TextView, pack: RulePack = DEFAULT_PACK) -> Da
         for name, pattern in patterns.items()
     )
     fired = ", ".join(
-        f"if(_joined rlike {sql_text(spark_pattern(pattern))},"
+        f"if({matches('_joined', '_folded', pattern)},"
         f" named_struct('pattern', {sql_text(pattern)}, 'rule', {sql_text(rule)}), null)"
         for rule, pattern in pack.rules.items()
     )
     parts = (
         events.select("*", view.lines.alias("_lines"), view.joined.alias("_joined"))
         .selectExpr(
-            *kept, "_joined", "lower(_joined) as _lower",
-            *[f"_lines rlike {pattern} as {flags[name]}" for name, pattern in patterns.items()],
+            *kept, "_lines", "_joined", "lower(_joined) as _lower",
+        )
+        # Ignoring case, a long s equals an s, but it has no lower-case form.
+        .withColumn("_folded", F.expr("if(contains(_lower, '\u017f'), replace(_lower, '\u017f', 's'), _lower)"))
+        .selectExpr(
+            *kept, "_joined", "_lower", "_folded",
+            *[f"{matches('_lines', '_folded', pack.patterns[name])} as {flag}" for name, flag in flags.items()],
         )
         .withColumn("_leaves", F.when(F.expr(any_flag), view.leaves))
         .selectExpr(

@@ -5,30 +5,36 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidewatch.functions.ip import let
 from tidewatch.functions.rules import IOC_PATTERNS, spark_pattern
 
-
-def found(lines: Column, kind: str) -> Column:
-    """Distinct matches of one kind, in order of appearance, case kept."""
-    matches = F.regexp_extract_all(lines, F.lit(spark_pattern(IOC_PATTERNS[kind])), 0)
-    # A cheap test first: no address, domain or URL goes without one of these characters.
-    need = {"ip": lines.contains(".") | lines.contains(":"), "domain": lines.contains("."),
-            "url": lines.contains("://") | lines.contains(".")}.get(kind)
-    empty = F.array().cast("array<string>")
-    return F.array_distinct(matches if need is None else F.when(need, matches).otherwise(empty))
+# What a line must at least have to hold an indicator of a kind. Most fields of an event are
+# short words, so the expressions see only a small part of its text.
+_WORTH = {
+    "ip": lambda line: line.contains(".") | line.contains(":"),
+    "domain": lambda line: line.contains("."),
+    "hash": lambda line: F.length(line) >= 32,
+    "url": lambda line: line.contains(".") | line.contains("://"),
+}
 
 
 def ioc_array(lines: Column) -> Column:
     """All distinct indicators of a text as array<struct<kind, value, ord>>.
 
-    ``lines`` is the event's text with one value per line (``TextView.lines``), so nothing
-    can match across two values.
+    ``lines`` is the event's text with one value per line (``TextView.lines``); no indicator
+    can hold a line feed, so nothing matches across two values. Within a kind the order is
+    that of first appearance, and case is kept.
     """
-    return F.concat(*[_tagged(found(lines, kind), kind) for kind in IOC_PATTERNS])
+    return let(
+        F.split(lines, "\n", -1),
+        lambda all_lines: F.concat(*[_found(all_lines, kind) for kind in IOC_PATTERNS]),
+    )
 
 
-def _tagged(values: Column, kind: str) -> Column:
-    return F.transform(values, lambda value, i: F.struct(
+def _found(all_lines: Column, kind: str) -> Column:
+    text = F.array_join(F.filter(all_lines, _WORTH[kind]), "\n")
+    matches = F.regexp_extract_all(text, F.lit(spark_pattern(IOC_PATTERNS[kind])), 0)
+    return F.transform(F.array_distinct(matches), lambda value, i: F.struct(
         F.lit(kind).alias("kind"), value.alias("value"), i.alias("ord")
     ))
 
