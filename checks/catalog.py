@@ -77,11 +77,14 @@ _stores: dict[tuple[str, str, str], str] = {}
 
 
 def stored(spark: SparkSession, sf_dir: str, name: str, make: Callable[[], DataFrame]) -> DataFrame:
-    """A table written by the first query of a session that needs it."""
+    """A table written by the first query of a session that needs it.
+
+    The given tables are single small files; logs arrive as many, so the rows are spread out.
+    """
     key = (spark.sparkContext.applicationId, sf_dir, name)
     if key not in _stores:
         path = stage_path(spark, name)
-        make().write.parquet(path)
+        make().repartition(spark.sparkContext.defaultParallelism).write.parquet(path)
         _stores[key] = path
     return spark.read.parquet(_stores[key])
 

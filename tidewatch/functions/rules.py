@@ -109,6 +109,11 @@ HOLDS = {SCAN_PATTERNS[name]: words for name, words in _HOLDS.items()} | {
 }
 
 
+# Expressions that match nothing shorter than this; they only see lines of at least that length.
+LONG_LINE = 40
+LONG_PATTERNS = frozenset({SCAN_PATTERNS["base64_encoded"]})
+
+
 def needed_words(pattern: str) -> list[str] | None:
     """Words of which every match of ``pattern`` holds one, or None if that is not known."""
     if pattern in HOLDS:

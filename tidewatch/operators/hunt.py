@@ -4,14 +4,18 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidewatch.functions.rules import DEFAULT_PACK, RulePack, needed_words, spark_pattern
+from tidewatch.functions.ip import let
+from tidewatch.functions.rules import (
+    DEFAULT_PACK, LONG_LINE, LONG_PATTERNS, RulePack, needed_words, spark_pattern,
+)
 from tidewatch.functions.text import TextView, sql_text
 from tidewatch.session import computed_once
 
 SAMPLE_CHARS = 100
+_HITS = "array<struct<ord:int,pattern:string,field_path:string,sample:string>>"
 
 
 def first_keyword(text: str, words: Iterable[str]) -> str:
@@ -38,52 +42,58 @@ def hunt(events: DataFrame, view: TextView, pack: RulePack = DEFAULT_PACK) -> Da
     Expressions run only on events that hold one of the words they need.
     """
     kept = [f"`{c}`" for c in events.columns]
-    patterns = {name: sql_text(spark_pattern(pack.patterns[name])) for name in sorted(pack.patterns)}
-    flags = {name: f"_pattern_{i}" for i, name in enumerate(patterns)}
-    any_flag = " or ".join(flags.values())
-    found = ", ".join(
-        f"""if({flags[name]}, transform(filter(_leaves, leaf -> leaf.value rlike {pattern}), leaf ->
-          named_struct('ord', leaf.ord, 'pattern', {sql_text(name)}, 'field_path', leaf.path,
-                       'sample', left(leaf.value, {SAMPLE_CHARS}))), array())"""
-        for name, pattern in patterns.items()
-    )
+    flags = {name: f"_pattern_{i}" for i, name in enumerate(sorted(pack.patterns))}
     fired = ", ".join(
         f"if({matches('_joined', '_folded', pattern)},"
         f" named_struct('pattern', {sql_text(pattern)}, 'rule', {sql_text(rule)}), null)"
         for rule, pattern in pack.rules.items()
     )
-    parts = (
+    # Every projection copies the whole event, so the steps share as few of them as they can.
+    searched = (
         events.select("*", view.lines.alias("_lines"), view.joined.alias("_joined"))
         .selectExpr(
             *kept, "_lines", "_joined", "lower(_joined) as _lower",
+            # Ignoring case, a long s equals an s, but it has no lower-case form.
+            "replace(lower(_joined), '\u017f', 's') as _folded",
+            f"array_join(filter(split(_lines, '\\n', -1), line -> length(line) >= {LONG_LINE}), '\\n') as _long",
         )
-        # Ignoring case, a long s equals an s, but it has no lower-case form.
-        .withColumn("_folded", F.expr("if(contains(_lower, '\u017f'), replace(_lower, '\u017f', 's'), _lower)"))
-        .selectExpr(
-            *kept, "_joined", "_lower", "_folded",
-            *[f"{matches('_lines', '_folded', pack.patterns[name])} as {flag}" for name, flag in flags.items()],
-        )
-        .withColumn("_leaves", F.when(F.expr(any_flag), view.leaves))
         .selectExpr(
             *kept,
+            *[
+                f"{matches('_long' if pack.patterns[name] in LONG_PATTERNS else '_lines', '_folded', pack.patterns[name])}"
+                f" as {flag}" for name, flag in flags.items()
+            ],
             f"filter(array({fired}), rule -> rule is not null) as _fired",
             f"{first_keyword('_lower', pack.assets)} as _asset",
-            f"if({any_flag}, array_sort(concat({found})), null) as _patterns",
             f"{first_keyword('_lower', pack.processes)} as _process",
         )
-        .selectExpr(
-            *kept, "if(size(_fired) > 0, _fired, null) as _fired", "_asset", "_process",
-            """transform(_patterns, hit -> named_struct('field_path', hit.field_path,
-               'pattern', hit.pattern, 'sample', hit.sample)) as _patterns""",
-        )
     )
-    found_any = F.expr(
-        """if(_fired is not null or _asset is not null or _patterns is not null or _process is not null,
-             named_struct('correlation_rules', _fired, 'critical_asset_access', _asset,
-                          'suspicious_patterns', _patterns, 'suspicious_process', _process), null)"""
+
+    def fields_with(name: str, leaves: Column) -> Column:
+        pattern = spark_pattern(pack.patterns[name])
+        hits = F.transform(F.filter(leaves, lambda leaf: leaf.value.rlike(pattern)), lambda leaf: F.struct(
+            leaf.ord.alias("ord"), F.lit(name).alias("pattern"), leaf.path.alias("field_path"),
+            F.left(leaf.value, F.lit(SAMPLE_CHARS)).alias("sample"),
+        ))
+        return F.when(F.col(flags[name]), hits).otherwise(F.array().cast(_HITS))
+
+    any_flag = F.expr(" or ".join(flags.values()))
+    hits = let(view.leaves, lambda leaves: F.array_sort(F.concat(*[fields_with(n, leaves) for n in flags])))
+    samples = F.transform(hits, lambda hit: F.struct(
+        hit.field_path.alias("field_path"), hit.pattern.alias("pattern"), hit.sample.alias("sample")
+    ))
+    rules_fired = F.size("_fired") > 0
+    found = F.when(
+        any_flag | rules_fired | F.col("_asset").isNotNull() | F.col("_process").isNotNull(),
+        F.struct(
+            F.when(rules_fired, F.col("_fired")).alias("correlation_rules"),
+            F.col("_asset").alias("critical_asset_access"),
+            F.when(any_flag, samples).alias("suspicious_patterns"),
+            F.col("_process").alias("suspicious_process"),
+        ),
     )
-    return computed_once(parts, found_any.alias("threat_hunting")).drop(
-        "_fired", "_asset", "_process", "_patterns"
+    return computed_once(searched, found.alias("threat_hunting")).drop(
+        *flags.values(), "_fired", "_asset", "_process"
     )
 
 

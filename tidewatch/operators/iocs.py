@@ -11,10 +11,10 @@ from tidewatch.functions.rules import IOC_PATTERNS, spark_pattern
 # What a line must at least have to hold an indicator of a kind. Most fields of an event are
 # short words, so the expressions see only a small part of its text.
 _WORTH = {
-    "ip": lambda line: line.contains(".") | line.contains(":"),
+    "ip": lambda line: line.contains(".") | line.contains("::") | line.like("%:%:%:%:%:%:%:%"),
     "domain": lambda line: line.contains("."),
     "hash": lambda line: F.length(line) >= 32,
-    "url": lambda line: line.contains(".") | line.contains("://"),
+    "url": lambda line: line.contains("://") | F.lower(line).contains("www."),
 }
 
 
@@ -25,14 +25,15 @@ def ioc_array(lines: Column) -> Column:
     can hold a line feed, so nothing matches across two values. Within a kind the order is
     that of first appearance, and case is kept.
     """
-    return let(
+    candidates = F.filter(
         F.split(lines, "\n", -1),
-        lambda all_lines: F.concat(*[_found(all_lines, kind) for kind in IOC_PATTERNS]),
+        lambda line: line.contains(".") | line.contains(":") | (F.length(line) >= 32),
     )
+    return let(candidates, lambda some: F.concat(*[_found(some, kind) for kind in IOC_PATTERNS]))
 
 
-def _found(all_lines: Column, kind: str) -> Column:
-    text = F.array_join(F.filter(all_lines, _WORTH[kind]), "\n")
+def _found(candidates: Column, kind: str) -> Column:
+    text = F.array_join(F.filter(candidates, _WORTH[kind]), "\n")
     matches = F.regexp_extract_all(text, F.lit(spark_pattern(IOC_PATTERNS[kind])), 0)
     return F.transform(F.array_distinct(matches), lambda value, i: F.struct(
         F.lit(kind).alias("kind"), value.alias("value"), i.alias("ord")

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidewatch.functions.ip import let
 from tidewatch.functions.text import (
     WHITESPACE, TextView, csv_fields, flat_view, rfc3339, sql_text, strip,
 )
@@ -80,16 +81,18 @@ def classify_lines(lines: DataFrame) -> DataFrame:
         f" named_struct('key', '{name}', 'value', {name}), null)"
         for name in LOG_COLUMNS if name in NUMERIC_COLUMNS
     )
-    return texts.withColumn(
-        "_leftovers", F.expr(f"filter(array({leftovers}), entry -> entry is not null)")
-    ).select(
+    unparsed = let(
+        F.expr(f"filter(array({leftovers}), entry -> entry is not null)"),
+        lambda entries: F.when(F.size(entries) > 0, F.map_from_entries(entries)),
+    )
+    return texts.select(
         "event_id",
         "ingest_ts",
         F.try_to_timestamp("generated_time", F.lit("yyyy/MM/dd HH:mm:ss")).alias("event_ts"),
         rfc3339(F.col("ingest_ts")).alias("@timestamp"),
         F.lit(LOG_SOURCE).alias("log_source"),
         *[F.expr(f"{_number(name)} as {name}") if name in NUMERIC_COLUMNS else name for name in LOG_COLUMNS],
-        F.when(F.size("_leftovers") > 0, F.map_from_entries("_leftovers")).alias("unparsed"),
+        unparsed.alias("unparsed"),
         "raw",
         "reason",
     )
