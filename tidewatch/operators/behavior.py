@@ -14,27 +14,32 @@ HIGHEST_RULE_ID = 2**32 - 1
 KINDS = ("ip", "user", "logid")
 
 
-def behavior_keys(events: DataFrame, time_col: str, id_col: str = "event_id") -> DataFrame:
-    """(id, ts, kind, key): one row for each key an event is counted under.
+def key_array(events: DataFrame) -> Column:
+    """array<struct<kind, key>>: what an event is counted under.
 
     The source is the first of ``source_address``, ``srcip``, ``src`` that is there; a rule
     id outside the unsigned 32-bit range is not counted.
     """
     have = set(events.columns)
-    keys = {
-        "ip": F.coalesce(*[F.col(c).cast("string") for c in SOURCE_FIELDS if c in have])
-        if have & set(SOURCE_FIELDS) else None,
-        "user": F.col("user").cast("string") if "user" in have else None,
-        "logid": F.when(F.col("logid").between(0, HIGHEST_RULE_ID), F.col("logid").cast("string"))
-        if "logid" in have else None,
-    }
-    rows = F.array(*[
-        F.struct(F.lit(kind).alias("kind"), key.alias("key"))
-        for kind, key in keys.items() if key is not None
+    keys: dict[str, Column] = {}
+    sources = [F.col(c).cast("string") for c in SOURCE_FIELDS if c in have]
+    if sources:
+        keys["ip"] = F.coalesce(*sources)
+    if "user" in have:
+        keys["user"] = F.col("user").cast("string")
+    if "logid" in have:
+        keys["logid"] = F.when(F.col("logid").between(0, HIGHEST_RULE_ID), F.col("logid").cast("string"))
+    entries = F.array(*[
+        F.struct(F.lit(kind).alias("kind"), key.alias("key")) for kind, key in keys.items()
     ])
+    return F.filter(entries, lambda entry: entry.key.isNotNull())
+
+
+def behavior_keys(events: DataFrame, time_col: str, id_col: str = "event_id") -> DataFrame:
+    """(id, ts, kind, key): one row for each key an event is counted under."""
     return events.select(
-        F.col(id_col), F.col(time_col).cast("timestamp").alias("ts"), F.inline(rows)
-    ).where(F.col("key").isNotNull())
+        F.col(id_col), F.col(time_col).cast("timestamp").alias("ts"), F.inline(key_array(events))
+    )
 
 
 def activity_epochs(

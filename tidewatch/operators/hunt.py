@@ -37,8 +37,8 @@ def hunt(events: DataFrame, view: TextView, pack: RulePack = DEFAULT_PACK) -> Da
     """Add ``threat_hunting`` to every event, null where nothing was found.
 
     Runs as plain projections. Each pattern first looks at the whole text; only where it
-    occurs are the single fields taken apart to say which of them holds it. No pattern is
-    anchored or can span two lines of that text, so the first look misses nothing.
+    occurs are the single fields taken apart to say which of them holds it, if any: the first
+    look may see a match across two lines, but, as no pattern is anchored, it misses none.
     Expressions run only on events that hold one of the words they need.
     """
     kept = [f"`{c}`" for c in events.columns]
@@ -82,18 +82,17 @@ def hunt(events: DataFrame, view: TextView, pack: RulePack = DEFAULT_PACK) -> Da
     samples = F.transform(hits, lambda hit: F.struct(
         hit.field_path.alias("field_path"), hit.pattern.alias("pattern"), hit.sample.alias("sample")
     ))
-    rules_fired = F.size("_fired") > 0
-    found = F.when(
-        any_flag | rules_fired | F.col("_asset").isNotNull() | F.col("_process").isNotNull(),
-        F.struct(
-            F.when(rules_fired, F.col("_fired")).alias("correlation_rules"),
-            F.col("_asset").alias("critical_asset_access"),
-            F.when(any_flag, samples).alias("suspicious_patterns"),
-            F.col("_process").alias("suspicious_process"),
-        ),
+    gathered = computed_once(
+        searched, F.when(any_flag, samples).alias("_hits"), F.col("_fired").alias("_rules"),
+        F.col("_asset").alias("_critical"), F.col("_process").alias("_suspicious"),
     )
-    return computed_once(searched, found.alias("threat_hunting")).drop(
-        *flags.values(), "_fired", "_asset", "_process"
+    return gathered.selectExpr(
+        *kept,
+        """if(size(_hits) > 0 or size(_rules) > 0 or _critical is not null or _suspicious is not null,
+             named_struct('correlation_rules', if(size(_rules) > 0, _rules, null),
+                          'critical_asset_access', _critical,
+                          'suspicious_patterns', if(size(_hits) > 0, _hits, null),
+                          'suspicious_process', _suspicious), null) as threat_hunting""",
     )
 
 

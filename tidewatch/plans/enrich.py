@@ -22,7 +22,7 @@ from tidewatch.operators.normalize_firewall import accepted, classify_lines, fir
 from tidewatch.operators.normalize_packets import normalize_packets, packet_text
 from tidewatch.operators.reports import stage_metrics
 from tidewatch.operators.siem import format_siem_syslog
-from tidewatch.schema import ENRICHMENT_FIELD, GEO_PLACE
+from tidewatch.schema import ENRICHMENT_FIELD, ENRICHMENT_TYPE, GEO_PLACE
 from tidewatch.session import stage
 
 
@@ -172,7 +172,7 @@ def enrich_firewall(
     classified = classify_lines(lines)
     if not settings.enrich:
         return FirewallRun(
-            accepted(classified).withColumn(ENRICHMENT_FIELD, F.lit(None).cast("string")),
+            accepted(classified).withColumn(ENRICHMENT_FIELD, F.lit(None).cast(ENRICHMENT_TYPE)),
             rejected(classified), settings,
         )
     staged = stage(detect(classified, firewall_text(), settings.pack), "firewall")

@@ -106,3 +106,17 @@ GEO_PLACE = T.StructType([
 
 # Struct fields are in key order, so JSON export needs no sorting.
 ENRICHMENT_FIELD = "forwarder_enrichment"
+_OFTEN = "struct<count: bigint, time_window_minutes: int>"
+_PLACE = GEO_PLACE.simpleString()
+ENRICHMENT_TYPE = f"""struct<
+  behavioral_anomalies: struct<high_frequency_ip: {_OFTEN}, high_frequency_logid: {_OFTEN}, high_frequency_user: {_OFTEN}>,
+  geoip: struct<dst: {_PLACE}, src: {_PLACE}>,
+  intel_last_updated: string,
+  ioc_matches: struct<
+    malicious_domains: array<string>, malicious_hashes: array<string>,
+    malicious_ips: array<struct<ip: string, source_count: int, sources: array<string>, status: string>>,
+    malicious_urls: array<string>>,
+  threat_hunting: struct<
+    correlation_rules: array<struct<pattern: string, rule: string>>, critical_asset_access: string,
+    suspicious_patterns: array<struct<field_path: string, pattern: string, sample: string>>,
+    suspicious_process: string>>"""

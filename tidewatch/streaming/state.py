@@ -1,0 +1,88 @@
+"""Behaviour counts across the micro-batches of a stream, kept as small versioned tables."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tidewatch.functions.rules import BEHAVIOR_THRESHOLD, BEHAVIOR_WINDOW_MINUTES
+from tidewatch.operators.behavior import activity_epochs, behavior_keys, flagged, merge_counts, running_counts
+from tidewatch.plans.joins import Lookup
+from tidewatch.session import stage
+
+
+def _path(root: str, batch_id: int) -> str:
+    return f"{root}/after={batch_id}"
+
+
+def _read(spark: SparkSession, root: str, batch_id: int) -> tuple[DataFrame, object] | None:
+    """Counts left by an earlier batch and its row (last_us, epoch_us); None at the start."""
+    if batch_id < 0:
+        return None
+    counts = spark.read.parquet(f"{_path(root, batch_id)}/counts")
+    return counts, spark.read.parquet(f"{_path(root, batch_id)}/clock").first()
+
+
+def batch_behavior(
+    events: DataFrame,
+    root: str,
+    batch_id: int,
+    time_col: str,
+    threshold: int = BEHAVIOR_THRESHOLD,
+    window_minutes: int = BEHAVIOR_WINDOW_MINUTES,
+) -> DataFrame:
+    """(event_id, kind, key, count) above the threshold, counting on from earlier batches.
+
+    The counts equal those of one batch job over all events, as long as no batch holds
+    events older than the batch before it. State is one row per key of the running epoch; it is
+    written under the batch's number, so a repeated batch starts from the same state.
+    """
+    spark = events.sparkSession
+    earlier = _read(spark, root, batch_id - 1)
+    clock = earlier[1] if earlier else None
+    minutes = stage(activity_epochs(events, time_col, window_minutes), "stream-epochs")
+    span = minutes.agg(
+        F.min(F.unix_micros("first_ts")).alias("first_us"), F.min(F.unix_micros("epoch")).alias("opening_us"),
+        F.max(F.unix_micros("epoch")).alias("epoch_us"),
+    ).first()
+    times = events.agg(F.max(F.unix_micros(F.col(time_col).cast("timestamp"))).alias("last_us")).first()
+    if span["first_us"] is None:
+        # No events: the state goes on as it is.
+        _write(spark, root, batch_id, earlier[0] if earlier else None,
+               clock["last_us"] if clock else None, clock["epoch_us"] if clock else None)
+        return spark.createDataFrame([], _flag_schema(events))
+    silence = (window_minutes + 1) * 60_000_000
+    goes_on = clock is not None and clock["last_us"] is not None and span["first_us"] - clock["last_us"] < silence
+    counts = stage(running_counts(behavior_keys(events, time_col), minutes), "stream-counts")
+    if goes_on:
+        base = earlier[0].select("kind", "key", F.col("count").alias("base"))
+        counts = Lookup(base, "stream-base").join(counts, ["kind", "key"], "left", spread_by="event_id")
+        opening = F.unix_micros("epoch") == span["opening_us"]
+        counts = counts.withColumn(
+            "count", F.col("count") + F.when(opening, F.coalesce("base", F.lit(0))).otherwise(0)
+        ).drop("base")
+    newest = (
+        counts.where(F.unix_micros("epoch") == span["epoch_us"])
+        .groupBy("kind", "key").agg(F.max("count").alias("count"))
+    )
+    if goes_on and span["opening_us"] == span["epoch_us"]:
+        unseen = earlier[0].join(newest, ["kind", "key"], "left_anti")
+        newest = merge_counts(newest, unseen)
+        epoch_us = clock["epoch_us"]
+    else:
+        epoch_us = span["epoch_us"]
+    last_us = max(times["last_us"], clock["last_us"] if goes_on else times["last_us"])
+    _write(spark, root, batch_id, newest, last_us, epoch_us)
+    return flagged(counts, threshold).select("event_id", "kind", "key", "count")
+
+
+def _flag_schema(events: DataFrame) -> str:
+    return f"event_id {events.schema['event_id'].dataType.simpleString()}, kind string, key string, count bigint"
+
+
+def _write(spark, root: str, batch_id: int, counts: DataFrame | None, last_us, epoch_us) -> None:
+    if counts is None:
+        counts = spark.createDataFrame([], "kind string, key string, count bigint")
+    counts.write.mode("overwrite").parquet(f"{_path(root, batch_id)}/counts")
+    clock = spark.createDataFrame([(last_us, epoch_us)], "last_us bigint, epoch_us bigint")
+    clock.write.mode("overwrite").parquet(f"{_path(root, batch_id)}/clock")
