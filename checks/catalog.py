@@ -56,18 +56,23 @@ def stamp(col: Column | str) -> Column:
 # Shared inputs ---------------------------------------------------------------
 
 
+def spread(rows: DataFrame) -> DataFrame:
+    """The given tables are single files of one row group, which only one task can read."""
+    return rows.repartition(rows.sparkSession.sparkContext.defaultParallelism)
+
+
 def documents(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, TextView]:
-    rows = S.table(spark, sf_dir, "documents").select(F.col("doc_id").alias("event_id"), "lang", "source", "text")
+    rows = spread(S.table(spark, sf_dir, "documents")).select(F.col("doc_id").alias("event_id"), "lang", "source", "text")
     return rows, flat_view({c: c for c in ("lang", "source", "text")})
 
 
 def pages(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, TextView]:
-    rows = S.table(spark, sf_dir, "pages").select(F.col("page_id").alias("event_id"), "url", "html")
+    rows = spread(S.table(spark, sf_dir, "pages")).select(F.col("page_id").alias("event_id"), "url", "html")
     return rows, flat_view({c: c for c in ("url", "html")})
 
 
 def conversations(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, TextView]:
-    rows = S.table(spark, sf_dir, "conversations").select(
+    rows = spread(S.table(spark, sf_dir, "conversations")).select(
         (F.col("conv_id") * 1000 + F.col("turn")).alias("event_id"), "role", "text"
     )
     return rows, flat_view({c: c for c in ("role", "text")})
@@ -77,14 +82,11 @@ _stores: dict[tuple[str, str, str], str] = {}
 
 
 def stored(spark: SparkSession, sf_dir: str, name: str, make: Callable[[], DataFrame]) -> DataFrame:
-    """A table written by the first query of a session that needs it.
-
-    The given tables are single small files; logs arrive as many, so the rows are spread out.
-    """
+    """A table written by the first query of a session that needs it."""
     key = (spark.sparkContext.applicationId, sf_dir, name)
     if key not in _stores:
         path = stage_path(spark, name)
-        make().repartition(spark.sparkContext.defaultParallelism).write.parquet(path)
+        spread(make()).write.parquet(path)
         _stores[key] = path
     return spark.read.parquet(_stores[key])
 
@@ -99,7 +101,7 @@ def firewall(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, TextView]:
 
 
 def feeds(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return readers.clean_feed(S.feed_lines(spark, sf_dir))
+    return readers.clean_feed(stored(spark, sf_dir, "feed-lines", lambda: S.feed_lines(spark, sf_dir)))
 
 
 UPDATED = "2024-02-01 00:00:00"

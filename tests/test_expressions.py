@@ -6,9 +6,11 @@ import random
 from pyspark.sql import functions as F
 
 from tidewatch.functions.ip import ip_key, is_public_ip
-from tidewatch.functions.rules import CORRELATION_RULES, DEFAULT_PACK, SCAN_PATTERNS, RulePack, needed_words, spark_pattern
-from tidewatch.functions.text import csv_fields, rfc3339, strip
+from tidewatch.functions.rules import CORRELATION_RULES, DEFAULT_PACK, SCAN_PATTERNS, RulePack, spark_pattern, word_list
+from tidewatch.functions.text import csv_fields, flat_view, plain_case, rfc3339, strip
 from tidewatch.functions.variants import all_strings, string_leaves
+from tidewatch.operators.hunt import hunt, matches
+from tidewatch.operators.iocs import extract_iocs
 
 import pytest
 
@@ -94,25 +96,29 @@ def test_rule_pack_is_validated(spark):
         RulePack(rules={"broken": "(unclosed"}).validate(spark)
 
 
-def test_needed_words_miss_no_match(spark):
-    """Texts made of pieces of the expressions: whatever matches holds a needed word."""
+def test_word_tests_agree_with_the_expressions(spark):
+    """Texts made of pieces of the expressions: words decide, or at least miss nothing."""
     rng = random.Random(3)
     pieces = ["UNION", "select", "drop", "TABLE", "insert", "into", "update", "set", "delete", "from", "'", " or 1=1", "\t", " ", "\u00a0",
               "power\u017fhell", "POWERSHELL", "-enc", "bash", "$({", "`", "%2e%2e%2F", "..\\", "../", "c:\\", "/ETC/", "\\x41" * 11, "\\u0041" * 6,
-              "\u212aRSH", "r\u017fh", "ftp", "tftp", "telnet", "sqli", "su ", "C2", "c&c", "<Script", "onload=", "zz", ";", "||", "A" * 40]
+              "\u212aRSH", "r\u017fh", "ftp", "tftp", "telnet", "sqli", "su ", "C2", "c&c", "<Script", "onload=", "zz", ";", "||", "A" * 40,
+              "bo\u0130t", "M\u0130NING", "m\u0131ning", "Mining", "tro\u212aan", "Login Failed"]
     texts = ["".join(rng.choices(pieces, k=rng.randint(1, 5))) for _ in range(3000)]
-    patterns = {**SCAN_PATTERNS, **CORRELATION_RULES}
-    frame = spark.createDataFrame([(t,) for t in texts], "t string").withColumn("f", F.replace(F.lower("t"), F.lit("\u017f"), F.lit("s")))
+    frame = spark.createDataFrame([(t,) for t in texts], "t string").withColumn("p", F.expr(plain_case("t"))).withColumn(
+        "_folded", F.replace(F.lower("p"), F.lit("\u017f"), F.lit("s")))
     seen = 0
-    for name, pattern in patterns.items():
-        words = needed_words(pattern)
-        if words is None:
-            continue
-        held = F.lit(False)
-        for word in words:
-            held = held | F.col("f").contains(word)
-        hit = F.col("t").rlike(spark_pattern(pattern))
-        row = frame.agg(F.count_if(hit & ~held).alias("missed"), F.count_if(hit).alias("hits")).first()
-        assert row.missed == 0, name
+    for name, pattern in {**SCAN_PATTERNS, **CORRELATION_RULES}.items():
+        hit, test = F.col("p").rlike(spark_pattern(pattern)), F.expr(matches("p", pattern))
+        row = frame.agg(F.count_if(hit != test).alias("wrong"), F.count_if(hit).alias("hits")).first()
+        assert row.wrong == 0, name
         seen += row.hits
     assert seen > 1000
+    assert word_list(SCAN_PATTERNS["directory_traversal"]) == ["../", "..\\", "/etc/", "c:\\", "%2e%2e%2f", "%2e%2e%5c"]
+    assert sum(word_list(p) is not None for p in CORRELATION_RULES.values()) == 16
+
+
+def test_letters_that_only_look_like_an_i(spark):
+    rows = spark.createDataFrame([(1, "m\u0131n\u0131ng v\u0130rus s\u0131te.\u0130o"), (2, "MINING \u212alm.io")], "event_id int, t string")
+    got = {r.event_id: r.threat_hunting for r in hunt(rows, flat_view({"t": "t"})).collect()}
+    assert got[1] is None and [p.pattern for p in got[2].suspicious_patterns] == ["crypto_mining"]
+    assert [(r.event_id, r.value) for r in extract_iocs(rows, F.col("t")).collect()] == [(2, "\u212alm.io")]

@@ -77,6 +77,11 @@ BEHAVIOR_THRESHOLD = 10
 # ---------------------------------------------------------------------------
 
 
+# A capital I with a dot and a small one without are no case forms of an ASCII letter, but
+# Java takes them for an i. They are read as another letter, which no expression contains.
+DOTTED_I, DOTLESS_I, OTHER_LETTER = "\u0130", "\u0131", "\u05d0"
+
+
 def spark_pattern(pattern: str) -> str:
     """The pattern with the flags that make Java read it as intended.
 
@@ -90,7 +95,7 @@ def spark_pattern(pattern: str) -> str:
 
 # Lower-case texts of which every match of an expression holds at least one. Looking for a
 # plain text is far cheaper than running the expression, so it is tried first. Expressions
-# that are a mere list of words need no entry, and the others are simply run.
+# not listed here are simply run.
 _HOLDS = {
     "hex_encoded": [r"\x"],
     "unicode_encoded": [r"\u"],
@@ -98,7 +103,6 @@ _HOLDS = {
     "obfuscated_script": ["cmd", "powershell", "bash", "sh"],
     "sql_injection": ["union", "drop", "insert", "update", "delete", "'", "1=1"],
     "command_injection": [";", "||", "&&", "`", "$(", "${", "%"],
-    "directory_traversal": ["../", "..\\", "/etc/", "c:\\", "%2e%2e%2f", "%2e%2e%5c"],
 }
 _RULE_HOLDS = {
     "sql_injection_attempt": ["sql injection", "sqli", "union", "drop", "insert"],
@@ -107,19 +111,15 @@ _RULE_HOLDS = {
 HOLDS = {SCAN_PATTERNS[name]: words for name, words in _HOLDS.items()} | {
     CORRELATION_RULES[name]: words for name, words in _RULE_HOLDS.items()
 }
-
-
 # Expressions that match nothing shorter than this; they only see lines of at least that length.
 LONG_LINE = 40
 LONG_PATTERNS = frozenset({SCAN_PATTERNS["base64_encoded"]})
 
 
-def needed_words(pattern: str) -> list[str] | None:
-    """Words of which every match of ``pattern`` holds one, or None if that is not known."""
-    if pattern in HOLDS:
-        return HOLDS[pattern]
-    listed = re.fullmatch(r"\(\?i\)\((?:\?:)?([a-z0-9 &<:=|-]+)\)", pattern)
-    return listed[1].split("|") if listed else None
+def word_list(pattern: str) -> list[str] | None:
+    """The lower-case words of an expression that is nothing but a choice of them, else None."""
+    listed = re.fullmatch(r"\(\?i\)\((?:\?:)?((?:[a-z0-9 &<:=/%|-]|\\[.\\])+)\)", pattern)
+    return re.sub(r"\\(.)", r"\1", listed[1]).split("|") if listed else None
 
 
 @dataclass(frozen=True)

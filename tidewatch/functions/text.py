@@ -7,6 +7,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from tidewatch.functions.rules import DOTLESS_I, DOTTED_I, OTHER_LETTER
+
 # Every character with the Unicode White_Space property; Spark's trim only drops blanks.
 WHITESPACE = "".join(
     map(chr, [*range(0x09, 0x0E), 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B),
@@ -85,6 +87,13 @@ def sql_text(value: str) -> str:
     return "'" + "".join(c if " " <= c < "\x7f" else f"\\u{ord(c):04X}" for c in quoted) + "'"
 
 
+def plain_case(text: str) -> str:
+    """SQL: ``text`` without the two letters whose case Java folds differently."""
+    for letter in (DOTTED_I, DOTLESS_I):
+        text = f"replace({text}, {sql_text(letter)}, {sql_text(OTHER_LETTER)})"
+    return text
+
+
 def flat_view(values: dict[str, str]) -> TextView:
     """View over top-level fields, path -> SQL expression; keys are visited in byte order."""
     ordered = sorted(values.items())

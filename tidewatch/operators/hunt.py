@@ -9,9 +9,10 @@ from pyspark.sql import functions as F
 
 from tidewatch.functions.ip import let
 from tidewatch.functions.rules import (
-    DEFAULT_PACK, LONG_LINE, LONG_PATTERNS, RulePack, needed_words, spark_pattern,
+    DEFAULT_PACK, DOTLESS_I, DOTTED_I, HOLDS, LONG_LINE, LONG_PATTERNS, OTHER_LETTER, RulePack,
+    spark_pattern, word_list,
 )
-from tidewatch.functions.text import TextView, sql_text
+from tidewatch.functions.text import TextView, plain_case, sql_text
 from tidewatch.session import computed_once
 
 SAMPLE_CHARS = 100
@@ -24,13 +25,23 @@ def first_keyword(text: str, words: Iterable[str]) -> str:
     return f"case {tests} end"
 
 
-def matches(text: str, folded: str, pattern: str) -> str:
-    """SQL test for ``pattern`` in ``text``; ``folded`` is the lower-case text of the event."""
+def matches(text: str, pattern: str) -> str:
+    """SQL test for ``pattern`` in ``text``; ``_folded`` is the event's text without case.
+
+    A choice of words is looked up as such. Other expressions run only on events that hold
+    one of the words they need.
+    """
     test = f"{text} rlike {sql_text(spark_pattern(pattern))}"
-    words = needed_words(pattern)
-    if not words:
-        return test
-    return "((" + " or ".join(f"contains({folded}, {sql_text(w)})" for w in words) + f") and {test})"
+    words = word_list(pattern)
+    if words:
+        return f"({_any_word(words)})"
+    if pattern in HOLDS:
+        return f"(({_any_word(HOLDS[pattern])}) and {test})"
+    return test
+
+
+def _any_word(words: Iterable[str]) -> str:
+    return " or ".join(f"contains(_folded, {sql_text(word)})" for word in words)
 
 
 def hunt(events: DataFrame, view: TextView, pack: RulePack = DEFAULT_PACK) -> DataFrame:
@@ -39,12 +50,11 @@ def hunt(events: DataFrame, view: TextView, pack: RulePack = DEFAULT_PACK) -> Da
     Runs as plain projections. Each pattern first looks at the whole text; only where it
     occurs are the single fields taken apart to say which of them holds it, if any: the first
     look may see a match across two lines, but, as no pattern is anchored, it misses none.
-    Expressions run only on events that hold one of the words they need.
     """
     kept = [f"`{c}`" for c in events.columns]
     flags = {name: f"_pattern_{i}" for i, name in enumerate(sorted(pack.patterns))}
     fired = ", ".join(
-        f"if({matches('_joined', '_folded', pattern)},"
+        f"if({matches('_joined', pattern)},"
         f" named_struct('pattern', {sql_text(pattern)}, 'rule', {sql_text(rule)}), null)"
         for rule, pattern in pack.rules.items()
     )
@@ -52,16 +62,17 @@ def hunt(events: DataFrame, view: TextView, pack: RulePack = DEFAULT_PACK) -> Da
     searched = (
         events.select("*", view.lines.alias("_lines"), view.joined.alias("_joined"))
         .selectExpr(
-            *kept, "_lines", "_joined", "lower(_joined) as _lower",
-            # Ignoring case, a long s equals an s, but it has no lower-case form.
-            "replace(lower(_joined), '\u017f', 's') as _folded",
+            *kept, f"{plain_case('_lines')} as _lines", f"{plain_case('_joined')} as _joined",
+            "lower(_joined) as _lower",
+            # Ignoring case, a long s equals an s, but it is lower case already.
+            f"replace(lower({plain_case('_joined')}), '\u017f', 's') as _folded",
             f"array_join(filter(split(_lines, '\\n', -1), line -> length(line) >= {LONG_LINE}), '\\n') as _long",
         )
         .selectExpr(
             *kept,
             *[
-                f"{matches('_long' if pack.patterns[name] in LONG_PATTERNS else '_lines', '_folded', pack.patterns[name])}"
-                f" as {flag}" for name, flag in flags.items()
+                f"{matches('_long' if pattern in LONG_PATTERNS else '_lines', pattern)} as {flags[name]}"
+                for name, pattern in sorted(pack.patterns.items())
             ],
             f"filter(array({fired}), rule -> rule is not null) as _fired",
             f"{first_keyword('_lower', pack.assets)} as _asset",
@@ -71,7 +82,9 @@ def hunt(events: DataFrame, view: TextView, pack: RulePack = DEFAULT_PACK) -> Da
 
     def fields_with(name: str, leaves: Column) -> Column:
         pattern = spark_pattern(pack.patterns[name])
-        hits = F.transform(F.filter(leaves, lambda leaf: leaf.value.rlike(pattern)), lambda leaf: F.struct(
+        holding = F.filter(leaves, lambda leaf: F.translate(
+            leaf.value, DOTTED_I + DOTLESS_I, OTHER_LETTER * 2).rlike(pattern))
+        hits = F.transform(holding, lambda leaf: F.struct(
             leaf.ord.alias("ord"), F.lit(name).alias("pattern"), leaf.path.alias("field_path"),
             F.left(leaf.value, F.lit(SAMPLE_CHARS)).alias("sample"),
         ))

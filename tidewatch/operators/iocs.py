@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidewatch.functions.ip import let
-from tidewatch.functions.rules import IOC_PATTERNS, spark_pattern
+from tidewatch.functions.rules import DOTLESS_I, DOTTED_I, IOC_PATTERNS, OTHER_LETTER, spark_pattern
 
 # What a line must at least have to hold an indicator of a kind. Most fields of an event are
 # short words, so the expressions see only a small part of its text.
@@ -25,8 +25,9 @@ def ioc_array(lines: Column) -> Column:
     can hold a line feed, so nothing matches across two values. Within a kind the order is
     that of first appearance, and case is kept.
     """
+    read_as = F.translate(lines, DOTTED_I + DOTLESS_I, OTHER_LETTER * 2)
     candidates = F.filter(
-        F.split(lines, "\n", -1),
+        F.split(F.when(lines.contains(DOTTED_I) | lines.contains(DOTLESS_I), read_as).otherwise(lines), "\n", -1),
         lambda line: line.contains(".") | line.contains(":") | (F.length(line) >= 32),
     )
     return let(candidates, lambda some: F.concat(*[_found(some, kind) for kind in IOC_PATTERNS]))
