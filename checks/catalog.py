@@ -347,6 +347,14 @@ def _reject_packets(spark, sf_dir):
     return readers.parse_packets(S.packet_lines(spark, sf_dir))[1]
 
 
+@query("packet_metrics", """SELECT CAST(sum((event_id % 50 NOT IN (4, 5))::INT) AS BIGINT) AS parsed,
+  CAST(sum((event_id % 50 NOT IN (0, 1, 4, 5))::INT) AS BIGINT) AS normalized, CAST(sum((event_id % 50 IN (0, 1))::INT) AS BIGINT) AS skipped,
+  CAST(sum((event_id % 50 = 5)::INT) AS BIGINT) AS rejected FROM events""")
+def _packet_metrics(spark, sf_dir):
+    good, bad = readers.parse_packets(stored(spark, sf_dir, "packet-lines", lambda: S.packet_lines(spark, sf_dir)))
+    return reports.packet_metrics(good, normalize_packets(good), bad)
+
+
 @query("enrich_packets", f"""WITH {_PACKET_LEAVES}, {T.iocs('pk_text')}, {T.INDICATORS}, {T.HITS}, {T.scan('pk_leaves')},
   {T.fired('pk_text')}, {T.keywords('pk_text')}, {T.epochs('flows')},
   n AS (SELECT f.event_id, count(*) OVER (PARTITION BY source_address, epoch ORDER BY f.timestamp_ms, f.event_id ROWS UNBOUNDED PRECEDING) AS n

@@ -16,6 +16,8 @@ from tidewatch.plans.joins import Lookup
 from tidewatch.schema import ENRICHMENT_FIELD
 from tidewatch.sources.readers import clean_feed, feed_id, parse_packets, read_feeds, read_geo
 
+import pytest
+
 from tests.test_normalize import IP, TAIL, common, packet
 
 
@@ -87,6 +89,8 @@ def test_feeds_and_indicators(spark, tmp_path):
     (tmp_path / "b.txt").write_text("evil.example\n")
     read = read_feeds(spark, [{"feed": "a", "kind": "ip", "path": str(tmp_path / "a.txt")}, {"feed": "b", "kind": "domain", "path": str(tmp_path / "b.txt")}])
     assert sorted(map(tuple, read.collect())) == [("a", "ip", "1.1.1.1"), ("b", "domain", "evil.example")]
+    with pytest.warns(UserWarning, match="left out"):
+        assert read_feeds(spark, [{"feed": "x", "kind": "ip", "path": str(tmp_path / "none")}]).count() == 0
     assert len(spark.range(1).select(feed_id(F.lit("https://feed.example/list"))).first()[0]) == 64
 
 
@@ -193,8 +197,6 @@ def test_generic_events_use_the_same_job(spark):
 
 
 def test_missing_location_table_only_warns(spark, tmp_path):
-    import pytest
-
     with pytest.warns(UserWarning, match="not located"):
         assert read_geo(spark, str(tmp_path / "none")) is None
     geo_table(spark).coalesce(1).write.parquet(str(tmp_path / "geo"))
@@ -205,3 +207,10 @@ def test_plans_have_no_python_and_no_nested_loops(spark):
     frame = spark.createDataFrame([(1, common())], "event_id bigint, raw string")
     plan = enrich_firewall(frame, indicator_table(spark), geo_table(spark)).events._jdf.queryExecution().executedPlan().toString()
     assert not re.search("BatchEvalPython|ArrowEvalPython|BroadcastNestedLoop|CartesianProduct|SinglePartition", plan)
+
+
+def test_default_feeds():
+    from tidewatch.sources.readers import DEFAULT_FEEDS, default_manifest
+
+    assert [len(DEFAULT_FEEDS[k]) for k in ("ip", "domain", "url", "hash")] == [12, 5, 3, 3]
+    assert len({m["path"] for m in default_manifest("/feeds")}) == 23

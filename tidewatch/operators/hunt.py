@@ -20,9 +20,16 @@ _HITS = "array<struct<ord:int,pattern:string,field_path:string,sample:string>>"
 
 
 def first_keyword(text: str, words: Iterable[str]) -> str:
-    """SQL for the first word of the list that occurs anywhere in ``text``."""
-    tests = " ".join(f"when contains({text}, {sql_text(w)}) then {sql_text(w)}" for w in words)
-    return f"case {tests} end"
+    """SQL for the first word of the list that occurs anywhere in ``text``.
+
+    A word with an earlier one inside it can never be the first, so it is not looked for.
+    """
+    reachable: list[str] = []
+    for word in words:
+        if not any(earlier in word for earlier in reachable):
+            reachable.append(word)
+    tests = " ".join(f"when contains({text}, {sql_text(w)}) then {sql_text(w)}" for w in reachable)
+    return f"case {tests} end" if reachable else "cast(null as string)"
 
 
 def matches(text: str, pattern: str) -> str:

@@ -206,3 +206,16 @@ def stage_metrics(lines: DataFrame) -> DataFrame:
         F.count_if(good).alias("to_store"),
         F.count_if(good & has_enrichment()).alias("to_siem"),
     )
+
+
+def packet_metrics(packets: DataFrame, flows: DataFrame, rejects: DataFrame) -> DataFrame:
+    """(parsed, normalized, skipped, rejected) of a packet run; skipped packets have no flow."""
+    def tally(rows: DataFrame, parsed: int, normalized: int, rejected: int) -> DataFrame:
+        return rows.agg(F.count("*").alias("n")).select(
+            (F.col("n") * parsed).alias("parsed"), (F.col("n") * normalized).alias("normalized"),
+            (F.col("n") * rejected).alias("rejected"),
+        )
+
+    stacked = tally(packets, 1, 0, 0).unionByName(tally(flows, 0, 1, 0)).unionByName(tally(rejects, 0, 0, 1))
+    sums = stacked.agg(*[F.sum(c).alias(c) for c in ("parsed", "normalized", "rejected")])
+    return sums.select("parsed", "normalized", (F.col("parsed") - F.col("normalized")).alias("skipped"), "rejected")

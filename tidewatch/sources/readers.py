@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import hashlib
 import warnings
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.errors import AnalysisException
@@ -76,17 +78,80 @@ def clean_feed(lines: DataFrame) -> DataFrame:
 
 
 def read_feeds(spark: SparkSession, manifest: list[dict[str, str]]) -> DataFrame:
-    """Feeds listed as ``{"feed", "kind", "path"}``, one text file or folder each."""
-    parts = [
-        spark.read.text(entry["path"]).select(
-            F.lit(entry["feed"]).alias("feed"), F.lit(entry["kind"]).alias("kind"),
-            F.col("value").alias("line"),
-        )
-        for entry in manifest
-    ]
+    """Feeds listed as ``{"feed", "kind", "path"}``, one text file or folder each.
+
+    A feed whose file is missing is left out, with a warning.
+    """
+    parts = []
+    for entry in manifest:
+        lines = _existing(lambda: spark.read.text(entry["path"]))
+        if lines is None:
+            warnings.warn(f"feed {entry['feed']} is left out: nothing at {entry['path']}", stacklevel=2)
+            continue
+        parts.append(lines.select(
+            F.lit(entry["feed"]).alias("feed"), F.lit(entry["kind"]).alias("kind"), F.col("value").alias("line")
+        ))
+    if not parts:
+        parts = [spark.createDataFrame([], "feed string, kind string, line string")]
     return clean_feed(reduce(DataFrame.unionByName, parts))
 
 
+def _existing(read: Callable[[], DataFrame]) -> DataFrame | None:
+    try:
+        return read()
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+
+
+# ---------------------------------------------------------------------------
+# The public lists that are read by default, by kind of indicator.
+# ---------------------------------------------------------------------------
+DEFAULT_FEEDS = {
+    "ip": [
+        "https://lists.blocklist.de/lists/all.txt",
+        "https://raw.githubusercontent.com/firehol/blocklist-ipsets/master/firehol_level1.netset",
+        "https://raw.githubusercontent.com/firehol/blocklist-ipsets/master/firehol_level2.netset",
+        "https://raw.githubusercontent.com/firehol/blocklist-ipsets/master/dshield.netset",
+        "https://www.binarydefense.com/banlist.txt",
+        "https://rules.emergingthreats.net/fwrules/emerging-Block-IPs.txt",
+        "https://www.spamhaus.org/drop/drop.txt",
+        "https://www.spamhaus.org/drop/edrop.txt",
+        "https://feodotracker.abuse.ch/downloads/ipblocklist.txt",
+        "https://check.torproject.org/torbulkexitlist?ip=1.1.1.1",
+        "https://raw.githubusercontent.com/stamparm/ipsum/master/ipsum.txt",
+        "https://cinsscore.com/list/ci-badguys.txt",
+    ],
+    "domain": [
+        "https://www.malwaredomainlist.com/hostslist/domains.txt",
+        "https://raw.githubusercontent.com/hagezi/dns-blocklists/main/domains/pro.txt",
+        "https://hole.cert.pl/domains/domains.txt",
+        "https://raw.githubusercontent.com/Spam404/lists/master/main-blacklist.txt",
+        "https://raw.githubusercontent.com/DandelionSprout/adfilt/master/Alternate%20versions%20Anti-Malware%20List/AntiMalwareHosts.txt",
+    ],
+    "url": [
+        "https://urlhaus.abuse.ch/downloads/text/",
+        "https://openphish.com/feed.txt",
+        "https://phishing.army/download/phishing_army_blocklist_extended.txt",
+    ],
+    "hash": [
+        "https://bazaar.abuse.ch/export/txt/sha256/full/",
+        "https://bazaar.abuse.ch/export/txt/md5/full/",
+        "https://raw.githubusercontent.com/stamparm/maltrail/master/trails/static/malware/generic.txt",
+    ],
+}
+# ---------------------------------------------------------------------------
+
+
+def default_manifest(folder: str) -> list[dict[str, str]]:
+    """Manifest of the default lists, each expected in ``folder`` under the hash of its address."""
+    return [
+        {"feed": url, "kind": kind, "path": f"{folder}/{hashlib.sha256(url.encode()).hexdigest()}"}
+        for kind, urls in DEFAULT_FEEDS.items() for url in urls
+    ]
+
+
 def feed_id(url: Column) -> Column:
     """Name of a feed's stored snapshot."""
     return F.sha2(url, 256)
@@ -94,14 +159,9 @@ def feed_id(url: Column) -> Column:
 
 def read_geo(spark: SparkSession, path: str) -> DataFrame | None:
     """Range table, Parquet or CSV; None, with a warning, if there is none."""
-    try:
-        if path.rstrip("/").endswith(".csv"):
-            table = spark.read.csv(path, header=True)
-        else:
-            table = spark.read.parquet(path)
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
+    is_csv = path.rstrip("/").endswith(".csv")
+    table = _existing(lambda: spark.read.csv(path, header=True) if is_csv else spark.read.parquet(path))
+    if table is None:
         warnings.warn(f"no location table at {path}: events are not located", stacklevel=2)
         return None
     return table.select(
