@@ -283,7 +283,7 @@ flows AS (SELECT event_id, ts,
   CASE WHEN event_id % 50 = 3 THEN '2a00:1450::' || lower(hex(event_id % 4096)) ELSE {T.SRC} END AS source_address,
   CASE WHEN event_id % 50 = 3 THEN 'fe80::1' ELSE {T.DST} END AS destination_address,
   CASE WHEN event_id % 50 = 3 THEN 6 ELSE 4 END AS ip_version,
-  CASE WHEN event_id % 3 = 2 THEN 0 ELSE 1024 + event_id % 50000 END AS source_port,
+  CAST(CASE WHEN event_id % 3 = 2 THEN 0 ELSE 1024 + event_id % 50000 END AS INTEGER) AS source_port,
   CASE WHEN event_id % 3 = 2 OR event_id % 50 = 2 THEN 0 ELSE {T.pick(S.PORTS, 'user_id % 20')} END AS destination_port,
   (['TCP', 'UDP', 'OTHER'])[event_id % 3 + 1] AS ip_protocol,
   CAST(floor(value * 10) AS BIGINT) AS bytes, epoch_us(ts) // 1000 AS timestamp_ms,

@@ -153,6 +153,7 @@ def test_own_rules(spark):
     got = hunted(spark, "Vault 123 and FORKLIFT", "12", pack=pack)
     assert got[0].suspicious_patterns[0].pattern == "digits" and got[0].suspicious_process == "forklift" and got[0].correlation_rules[0].rule == "both"
     assert got[1] is None
+    assert hunted(spark, "nc' drop table", pack=RulePack({}, (), (), {})) == [None]
 
 
 def geo_table(spark):

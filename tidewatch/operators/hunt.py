@@ -16,6 +16,7 @@ from tidewatch.functions.text import TextView, plain_case, sql_text
 from tidewatch.session import computed_once
 
 SAMPLE_CHARS = 100
+_RULES = "array<struct<pattern:string,rule:string>>"
 _HITS = "array<struct<ord:int,pattern:string,field_path:string,sample:string>>"
 
 
@@ -60,11 +61,7 @@ def hunt(events: DataFrame, view: TextView, pack: RulePack = DEFAULT_PACK) -> Da
     """
     kept = [f"`{c}`" for c in events.columns]
     flags = {name: f"_pattern_{i}" for i, name in enumerate(sorted(pack.patterns))}
-    fired = ", ".join(
-        f"if({matches('_joined', pattern)},"
-        f" named_struct('pattern', {sql_text(pattern)}, 'rule', {sql_text(rule)}), null)"
-        for rule, pattern in pack.rules.items()
-    )
+    fired = {rule: f"_rule_{i}" for i, rule in enumerate(pack.rules)}
     # Every projection copies the whole event, so the steps share as few of them as they can.
     searched = (
         events.select("*", view.lines.alias("_lines"), view.joined.alias("_joined"))
@@ -81,7 +78,7 @@ def hunt(events: DataFrame, view: TextView, pack: RulePack = DEFAULT_PACK) -> Da
                 f"{matches('_long' if pattern in LONG_PATTERNS else '_lines', pattern)} as {flags[name]}"
                 for name, pattern in sorted(pack.patterns.items())
             ],
-            f"filter(array({fired}), rule -> rule is not null) as _fired",
+            *[f"{matches('_joined', pattern)} as {fired[rule]}" for rule, pattern in pack.rules.items()],
             f"{first_keyword('_lower', pack.assets)} as _asset",
             f"{first_keyword('_lower', pack.processes)} as _process",
         )
@@ -97,13 +94,21 @@ def hunt(events: DataFrame, view: TextView, pack: RulePack = DEFAULT_PACK) -> Da
         ))
         return F.when(F.col(flags[name]), hits).otherwise(F.array().cast(_HITS))
 
-    any_flag = F.expr(" or ".join(flags.values()))
-    hits = let(view.leaves, lambda leaves: F.array_sort(F.concat(*[fields_with(n, leaves) for n in flags])))
+    any_flag = F.expr(" or ".join(flags.values()) or "false")
+    rules = ", ".join(
+        f"if({fired[rule]}, named_struct('pattern', {sql_text(pattern)}, 'rule', {sql_text(rule)}), null)"
+        for rule, pattern in pack.rules.items()
+    )
+    any_rule = F.expr(" or ".join(fired.values()) or "false")
+    rule_hits = F.expr(f"filter(cast(array({rules}) as {_RULES}), rule -> rule is not null)")
+    hits = let(view.leaves, lambda leaves: F.array_sort(
+        F.concat(F.array().cast(_HITS), *[fields_with(n, leaves) for n in flags])
+    ))
     samples = F.transform(hits, lambda hit: F.struct(
         hit.field_path.alias("field_path"), hit.pattern.alias("pattern"), hit.sample.alias("sample")
     ))
     gathered = computed_once(
-        searched, F.when(any_flag, samples).alias("_hits"), F.col("_fired").alias("_rules"),
+        searched, F.when(any_flag, samples).alias("_hits"), F.when(any_rule, rule_hits).alias("_rules"),
         F.col("_asset").alias("_critical"), F.col("_process").alias("_suspicious"),
     )
     return gathered.selectExpr(

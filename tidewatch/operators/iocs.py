@@ -30,7 +30,7 @@ def ioc_array(lines: Column) -> Column:
         F.split(F.when(lines.contains(DOTTED_I) | lines.contains(DOTLESS_I), read_as).otherwise(lines), "\n", -1),
         lambda line: line.contains(".") | line.contains(":") | (F.length(line) >= 32),
     )
-    return let(candidates, lambda some: F.concat(*[_found(some, kind) for kind in IOC_PATTERNS]))
+    return let(candidates, lambda some: F.flatten(F.array(*[_found(some, kind) for kind in IOC_PATTERNS])))
 
 
 def _found(candidates: Column, kind: str) -> Column:
