@@ -2,12 +2,14 @@
 
 import datetime as dt
 import json
+import os
 
 from pyspark.sql import functions as F
 
 from tidewatch.operators import alerts
 from tidewatch.operators.behavior import behavior
 from tidewatch.plans.enrich import Settings
+from tidewatch.session import work_dir
 from tidewatch.sources import readers
 from tidewatch.sources.snapshots import publish_snapshot
 from tidewatch.streaming.state import batch_behavior
@@ -28,6 +30,12 @@ def drain(query):
         query.stop()
 
 
+def staged(spark):
+    """Names of the tables that streams have staged and not removed."""
+    folder = f"{work_dir(spark).removeprefix('file:')}/staged"
+    return {n for n in (os.listdir(folder) if os.path.isdir(folder) else []) if n.startswith("stream")}
+
+
 def paths(root):
     return StreamPaths(events=f"{root}/events", state=f"{root}/state", checkpoint=f"{root}/checkpoint", rejects=f"{root}/rejects", siem=f"{root}/siem")
 
@@ -39,6 +47,7 @@ def test_enrichment_stream(spark, tmp_path):
     with pytest.raises(RuntimeError, match="before the stream starts"):
         stream_enrich(lines, intel, paths(out))
     publish_snapshot(indicator_table(spark).where("kind <> 'ip'"), intel)
+    before = staged(spark)
 
     def feed(name, count):
         (source / name).write_text("\n".join([common(p8="9.9.9.9", p14="web")] * count + ["not a log"]) + "\n")
@@ -47,6 +56,7 @@ def test_enrichment_stream(spark, tmp_path):
     feed("a.txt", 8)
     publish_snapshot(indicator_table(spark), intel)
     feed("b.txt", 5)
+    assert staged(spark) == before
     rows = [json.loads(r.value) for r in spark.read.text(f"{out}/events").collect()]
     assert len(rows) == 13
     hits = [r for r in rows if "ioc_matches" in r.get("forwarder_enrichment", {})]
@@ -82,6 +92,7 @@ def test_counts_go_on_across_batches(spark, tmp_path):
             flags = batch_behavior(part, str(tmp_path / "state"), batch, "ts", threshold=4).collect()
         got.update({(r.event_id, r.kind): r["count"] for r in flags})
     assert got == want and len(want) > 30
+    assert sorted(os.listdir(tmp_path / "state")) == ["after=4", "after=5", "after=6"]
 
 
 def stream_of(spark, tmp_path, frame, files=1):

@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import tempfile
+import threading
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -61,10 +64,38 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     the columns they need, and a lost executor re-reads files instead of replaying lineage.
     """
     path = stage_path(df.sparkSession, name)
+    scope = getattr(_scopes, "paths", None)
+    if scope is not None:
+        scope.append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+_scopes = threading.local()
+
+
+@contextmanager
+def staging_scope(spark: SparkSession) -> Iterator[None]:
+    """Remove the tables staged inside the block at its end, when their readers have finished.
+
+    Streams use it for every micro-batch; a batch job may put its writes inside one.
+    """
+    outer = getattr(_scopes, "paths", None)
+    _scopes.paths = []
+    try:
+        yield
+    finally:
+        paths, _scopes.paths = _scopes.paths, outer
+        for path in paths:
+            remove(spark, path)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder this package wrote, on whatever file system it is."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def computed_once(df: DataFrame, *columns: Column) -> DataFrame:
     """``df`` plus costly ``columns`` that later filters use but never repeat.
 

@@ -8,7 +8,9 @@ from pyspark.sql import functions as F
 from tidewatch.functions.rules import BEHAVIOR_THRESHOLD, BEHAVIOR_WINDOW_MINUTES
 from tidewatch.operators.behavior import activity_epochs, behavior_keys, flagged, merge_counts, running_counts
 from tidewatch.plans.joins import Lookup
-from tidewatch.session import stage
+from tidewatch.session import remove, stage
+
+KEPT = 3
 
 
 def _path(root: str, batch_id: int) -> str:
@@ -86,3 +88,6 @@ def _write(spark, root: str, batch_id: int, counts: DataFrame | None, last_us, e
     counts.write.mode("overwrite").parquet(f"{_path(root, batch_id)}/counts")
     clock = spark.createDataFrame([(last_us, epoch_us)], "last_us bigint, epoch_us bigint")
     clock.write.mode("overwrite").parquet(f"{_path(root, batch_id)}/clock")
+    # Only the newest batch can be repeated, and it starts from the state before it.
+    if batch_id >= KEPT:
+        remove(spark, _path(root, batch_id - KEPT))
