@@ -7,7 +7,7 @@ from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidewatch.llm import mixing
+from tidewatch.llm import minhash, mixing
 from tidewatch.llm.common import table
 from tidewatch.session import configure
 
@@ -32,3 +32,8 @@ def query(name: str, twin: str | None = None):
 @query("op8_source_mix")
 def source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sizes(table(spark, sf_dir, "documents"))
+
+
+@query("op3_minhash_near_duplicates")
+def minhash_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=4)
