@@ -7,7 +7,7 @@ from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidewatch.llm import minhash, mixing
+from tidewatch.llm import langid, minhash, mixing, token_blocks
 from tidewatch.llm.common import table
 from tidewatch.session import configure
 
@@ -37,3 +37,20 @@ def source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op3_minhash_near_duplicates")
 def minhash_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=4)
+
+
+def tokenizer_file(name: str = "word_bpe_49k.json") -> str:
+    """Where the installed vocabulary lies; every executor has the same package."""
+    import public_tokenizers
+
+    return str(public_tokenizers.path(name))
+
+
+@query("op2_token_blocks")
+def token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_blocks.tokens_round_trip(table(spark, sf_dir, "documents"), tokenizer_file())
+
+
+@query("op4_language_id")
+def language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.identify(table(spark, sf_dir, "documents"))
