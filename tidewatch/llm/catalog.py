@@ -7,7 +7,7 @@ from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidewatch.llm import langid, minhash, mixing, token_blocks
+from tidewatch.llm import decontaminate, langid, minhash, mixing, token_blocks
 from tidewatch.llm.common import table
 from tidewatch.session import configure
 
@@ -54,3 +54,8 @@ def token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op4_language_id")
 def language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(table(spark, sf_dir, "documents"))
+
+
+@query("op1_benchmark_leaks")
+def benchmark_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
