@@ -6,11 +6,65 @@ from collections.abc import Callable
 from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tidewatch.llm import decontaminate, langid, minhash, mixing, token_blocks
+from tidewatch.llm import decontaminate, langid, line_windows, minhash, mixing, secret_scan, token_blocks
 from tidewatch.llm.common import table
 from tidewatch.session import configure
 
+# Window hashes are the windows themselves here; documents have distinct ids in the given tables.
+LINE_WINDOWS = r"""
+WITH lines AS (SELECT doc_id, text, string_split(text, chr(10)) AS l FROM documents),
+windows AS (
+    SELECT doc_id, i AS pos, l[i + 1] || chr(10) || l[i + 2] || chr(10) || l[i + 3] AS w
+    FROM (SELECT doc_id, l, unnest(generate_series(0, len(l) - 3)) AS i FROM lines WHERE len(l) >= 3)
+),
+filled AS (SELECT * FROM windows WHERE length(trim(replace(w, chr(10), ''))) > 0),
+firsts AS (SELECT w, min((doc_id, pos)) AS f FROM filled GROUP BY w HAVING count(*) > 1),
+later AS (
+    SELECT doc_id, CASE WHEN doc_id = f[1] THEN greatest(pos, f[2] + 3) ELSE pos END AS low, pos + 2 AS high
+    FROM filled JOIN firsts USING (w) WHERE NOT (doc_id = f[1] AND pos = f[2])
+),
+covered AS (SELECT doc_id, list(DISTINCT line) AS c FROM (SELECT doc_id, unnest(generate_series(low, high)) AS line FROM later) GROUP BY doc_id),
+kept AS (
+    SELECT doc_id, l, c, CASE WHEN c IS NULL THEN text ELSE
+        coalesce(array_to_string([x FOR x, i IN l IF NOT list_contains(c, i - 1)], chr(10)), '') END AS t
+    FROM lines LEFT JOIN covered USING (doc_id)
+)
+SELECT doc_id, coalesce(len(l), 0)::BIGINT AS n_lines, coalesce(len(c), 0)::BIGINT AS removed, length(t)::BIGINT AS kept_chars, sha256(t) AS kept_sha256 FROM kept
+"""
+
+
+def _secret_sql() -> str:
+    parts = []
+    for rank, rule in enumerate(secret_scan.RULES):
+        p = rule.pattern.replace("'", "''")
+        parts.append(
+            f"SELECT doc_id, {rank} AS rank, '{rule.kind}' AS kind, {rule.base} AS base, {rule.least} AS least, "
+            f"regexp_extract_all(t, '{p}') AS m, regexp_extract_all(t, '{p}', {rule.group}) AS v, string_split_regex(t, '{p}') AS g FROM texts"
+        )
+    return f"""
+WITH texts AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+found AS ({' UNION ALL '.join(parts)}),
+placed AS (
+    SELECT doc_id, rank, kind, base, length(v[i]) AS size, least, length(m[i]) AS chars,
+        coalesce(list_sum([length(x) FOR x IN g[1:i]]), 0) + coalesce(list_sum([length(x) FOR x IN m[1:i - 1]]), 0) AS start
+    FROM (SELECT *, unnest(generate_series(1, len(m))) AS i FROM found WHERE len(m) > 0 AND list_max([length(x) FOR x IN v]) >= least)
+),
+spans AS (SELECT *, kind || ':' || start::BIGINT || ':' || (start + chars)::BIGINT AS s FROM placed WHERE size >= least),
+joined AS (
+    SELECT doc_id, count(*) FILTER (kind = 'assign') AS n_assign, count(*) FILTER (kind = 'access') AS n_access, count(*) FILTER (kind = 'hex') AS n_hex,
+        string_agg(s, ',' ORDER BY start, rank) FILTER (base) AS b, string_agg(s, ',' ORDER BY start, rank) AS spans
+    FROM spans GROUP BY doc_id
+)
+SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
+    sha256(coalesce(b, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM texts LEFT JOIN joined USING (doc_id)
+"""
+
+
+SECRETS = _secret_sql()
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 TWINS: dict[str, str] = {}
 
@@ -59,3 +113,16 @@ def language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op1_benchmark_leaks")
 def benchmark_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query("op6_secret_scan", SECRETS)
+def secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.scan_report(table(spark, sf_dir, "documents"))
+
+
+@query("op10_line_windows", LINE_WINDOWS)
+def repeated_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", F.coalesce(F.size(F.split("text", "\n")), F.lit(0)).cast("long").alias("n_lines"))
+    return line_windows.remove_repeated(docs, removed="removed").select(
+        "doc_id", "n_lines", "removed", F.length("text").cast("long").alias("kept_chars"), F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256")
+    )
