@@ -8,7 +8,7 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewatch.llm import decontaminate, langid, line_windows, minhash, mixing, secret_scan, token_blocks
+from tidewatch.llm import decontaminate, langid, line_windows, minhash, mixing, secret_scan, token_blocks, vector_join, warc
 from tidewatch.llm.common import table
 from tidewatch.session import configure
 
@@ -35,6 +35,16 @@ SELECT doc_id, coalesce(len(l), 0)::BIGINT AS n_lines, coalesce(len(c), 0)::BIGI
 """
 
 
+WARC = """
+WITH p AS (SELECT page_id, coalesce(url, '') AS url, coalesce(html, '') AS html FROM pages),
+d AS (SELECT page_id, url, strlen(html) AS n, sha256(html) AS digest, min(page_id) OVER (PARTITION BY sha256(html)) AS first FROM p)
+SELECT page_id, n::BIGINT AS payload_bytes, digest AS payload_digest, url,
+    CASE WHEN n >= 100 AND page_id > first THEN 'revisit' ELSE 'response' END AS record_type,
+    CASE WHEN n >= 100 AND page_id > first THEN first END AS refers_to
+FROM d
+"""
+
+
 def _secret_sql() -> str:
     parts = []
     for rank, rule in enumerate(secret_scan.RULES):
@@ -126,3 +136,16 @@ def repeated_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_windows.remove_repeated(docs, removed="removed").select(
         "doc_id", "n_lines", "removed", F.length("text").cast("long").alias("kept_chars"), F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256")
     )
+
+
+@query("op5_warc_archive", WARC)
+def warc_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select(F.col("page_id").alias("record_id"), "url", F.col("html").alias("payload"))
+    return warc.archive_round_trip(pages).select(
+        F.col("record_id").alias("page_id"), "payload_bytes", "payload_digest", "record_type", "refers_to", "url"
+    )
+
+
+@query("op9_vector_range_join")
+def near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_join.near_vectors(table(spark, sf_dir, "embeddings"))

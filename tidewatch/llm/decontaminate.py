@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewatch.llm.common import small_batches
-from tidewatch.llm.textarrays import Words, alphanumeric, pieces
+from tidewatch.llm.textarrays import Words, alphanumeric, lists, pieces
 from tidewatch.session import stage
 
 GRAM = 4
@@ -155,9 +155,7 @@ def padded(lists: list[np.ndarray], filler: int, reverse: bool = False) -> np.nd
 def align_batches(batches: Iterator[pa.RecordBatch], least: float) -> Iterator[pa.RecordBatch]:
     """Pairs to ``doc_id, item_id, score, first_word, last_word`` where the score is high enough."""
     for batch in batches:
-        passages, items = (
-            [np.asarray(x, np.int64) for x in batch.column(c).to_pylist()] for c in ("words", "item_words")
-        )
+        passages, items = (lists(batch.column(c)) for c in ("words", "item_words"))
         order = sorted(range(len(passages)), key=lambda i: (len(passages[i]), len(items[i])))
         docs, numbers, offsets = (batch.column(c).to_pylist() for c in ("doc_id", "item_id", "first_word"))
         rows: list[tuple] = []

@@ -7,8 +7,11 @@ similarity 0.8 is missed once in 20 million times.
 
 Hot groups: texts with equal words form one class and only its smallest ``doc_id`` goes on, so
 exact copies cost one row each. In a band's bucket every member meets the smallest one first;
-what that links needs no more comparison. Only members left outside the smallest one's
-component then meet the bucket's other components, so a bucket of near copies is linear.
+what that links needs no more comparison, so a bucket of near copies is linear. Texts that
+share a passage but little else crowd buckets without being similar. Members of buckets that
+still hold several components are therefore regrouped by the rarest shingles of their sets:
+two sets of similarity t share one of the ``n - ceil(t n) + 1`` rarest of each, whatever the
+order of rarity, so this loses nothing, and a shared passage is not among its texts' rarest.
 
 Defined cases: a null or blank text has no shingles and is linked with nothing; a null
 ``doc_id`` is linked with nothing and kept; rows that repeat a ``doc_id`` are judged by their
@@ -22,12 +25,13 @@ from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidewatch.llm.common import small_batches
 from tidewatch.llm.components import components
-from tidewatch.llm.textarrays import ODD, Words, between_blanks, mix64, pieces
+from tidewatch.llm.textarrays import ODD, Words, between_blanks, lists, mix64, pieces
 from tidewatch.session import stage
 
 SHINGLE = 5
@@ -36,6 +40,8 @@ BANDS = 32
 ROWS = 4
 #: Of 128 signature bits, pairs of similarity 0.8 differ in 13 +- 3.4; beyond 36 (one in 10**9) a pair isn't verified.
 MOST_BITS = 36
+#: Places of the table that says how rare a shingle is; a power of two.
+PLACES = 1 << 18
 
 SIGNATURES = "doc_id long, class1 long, class2 long, n_shingles long, bits1 long, bits2 long, bands array<long>"
 
@@ -117,28 +123,105 @@ def verify_batches(batches: Iterator[pa.RecordBatch], shingle: int, percent: int
     for batch in batches:
         for piece in pieces(batch, "text_a"):
             sides = [Words(piece.column(c), is_word).shingles(shingle) for c in ("text_a", "text_b")]
-            good = np.zeros(piece.num_rows, bool)
-            for i in range(piece.num_rows):
-                one, two = (np.unique(h[b[i] : b[i + 1]]) for h, b in sides)
-                both = len(np.intersect1d(one, two, assume_unique=True))
-                good[i] = both > 0 and 100 * both >= percent * (len(one) + len(two) - both)
-            yield pa.RecordBatch.from_arrays([piece.column(c).filter(pa.array(good)) for c in ("a", "b")], names=["a", "b"])
+            sets = [[np.unique(h[b[i] : b[i + 1]]) for i in range(piece.num_rows)] for h, b in sides]
+            yield similar_pairs(piece, sets, percent)
 
 
-def similar_links(pairs: DataFrame, reps: DataFrame, docs: DataFrame, shingle: int, percent: int) -> DataFrame:
-    """The candidate ``pairs(a, b)`` that are similar, confirmed on whole texts."""
-    facts = reps.select("doc_id", "n_shingles", "bits1", "bits2")
-    for side in ("a", "b"):
-        pairs = pairs.join(facts.select(*[F.col(c).alias(f"{c}_{side}") for c in facts.columns]), F.col(side) == F.col(f"doc_id_{side}"))
+def verify_sets(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
+    """The same for pairs that carry their sets."""
+    for batch in batches:
+        yield similar_pairs(batch, [lists(batch.column(c)) for c in ("set_a", "set_b")], percent)
+
+
+def similar_pairs(batch: pa.RecordBatch, sets: list[list[np.ndarray]], percent: int) -> pa.RecordBatch:
+    good = np.zeros(batch.num_rows, bool)
+    for i, (one, two) in enumerate(zip(*sets)):
+        both = len(np.intersect1d(one, two, assume_unique=True))
+        good[i] = both > 0 and 100 * both >= percent * (len(one) + len(two) - both)
+    return pa.RecordBatch.from_arrays([batch.column(c).filter(pa.array(good)) for c in ("a", "b")], names=["a", "b"])
+
+
+def set_batches(batches: Iterator[pa.RecordBatch], shingle: int) -> Iterator[pa.RecordBatch]:
+    is_word = between_blanks()
+    for batch in batches:
+        for piece in pieces(batch, "text"):
+            hashes, bounds = Words(piece.column("text"), is_word).shingles(shingle)
+            sets = [np.unique(hashes[a:b]).view(np.int64) for a, b in zip(bounds[:-1], bounds[1:])]
+            yield pa.RecordBatch.from_arrays(
+                [piece.column("doc_id"), piece.column("group"), pa.array(sets, pa.list_(pa.int64()))], names=["doc_id", "group", "set"]
+            )
+
+
+def place_counts(batches: Iterator[pa.RecordBatch], places: int) -> Iterator[pa.RecordBatch]:
+    """How many sets of this task hold a shingle at each of a fixed number of places."""
+    counts = np.zeros(places, np.int64)
+    for batch in batches:
+        flat = pc.list_flatten(batch.column("set")).to_numpy(zero_copy_only=False)
+        counts += np.bincount(flat & (places - 1), minlength=places)
+    used = np.flatnonzero(counts)
+    yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(counts[used])], names=["place", "n"])
+
+
+def rarest_batches(batches: Iterator[pa.RecordBatch], counts: np.ndarray, percent: int) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        out = []
+        for one in lists(batch.column("set")):
+            most = len(one) - -(-percent * len(one) // 100) + 1
+            out.append(one[np.lexsort((one, counts[one & (len(counts) - 1)]))[:most]])
+        yield pa.RecordBatch.from_arrays(
+            [batch.column("doc_id"), batch.column("group"), pa.array(out, pa.list_(pa.int64()))], names=["doc_id", "group", "keys"]
+        )
+
+
+def might_be_similar(percent: int) -> Column:
+    """What sizes and signature bits allow, for the columns of a pair named ``_a`` and ``_b``."""
     differ = sum(F.bit_count(F.col(f"{c}_a").bitwiseXOR(F.col(f"{c}_b"))) for c in ("bits1", "bits2"))
     small, large = F.least("n_shingles_a", "n_shingles_b"), F.greatest("n_shingles_a", "n_shingles_b")
-    pairs = pairs.where((100 * small >= percent * large) & (differ <= MOST_BITS)).select("a", "b").distinct()
-    pairs = stage(pairs, "minhash-pairs")
-    for side in ("a", "b"):
-        texts = docs.select(F.col("doc_id").alias(side), F.col("text").alias(f"text_{side}"))
-        pairs = pairs.join(texts, side)
-    checked = pairs.mapInArrow(lambda it: verify_batches(it, shingle, percent), "a long, b long")
-    return stage(checked, "minhash-links")
+    return (100 * small >= percent * large) & (differ <= MOST_BITS)
+
+
+def side(rows: DataFrame, suffix: str, keep: tuple = ()) -> DataFrame:
+    return rows.select(*[F.col(c) if c in keep else F.col(c).alias(f"{c}_{suffix}") for c in rows.columns])
+
+
+def star_links(members: DataFrame, reps: DataFrame, docs: DataFrame, shingle: int, percent: int) -> DataFrame:
+    """Links of each bucket's members with its smallest one, confirmed on whole texts."""
+    facts = reps.select("doc_id", "n_shingles", "bits1", "bits2")
+    pairs = members.where("doc_id <> low").select(F.col("doc_id").alias("a"), F.col("low").alias("b")).distinct()
+    for suffix in ("a", "b"):
+        pairs = pairs.join(side(facts, suffix), F.col(suffix) == F.col(f"doc_id_{suffix}"))
+    pairs = stage(pairs.where(might_be_similar(percent)).select("a", "b").distinct(), "minhash-pairs")
+    for suffix in ("a", "b"):
+        pairs = pairs.join(docs.select(F.col("doc_id").alias(suffix), F.col("text").alias(f"text_{suffix}")), suffix)
+    return stage(pairs.mapInArrow(lambda it: verify_batches(it, shingle, percent), "a long, b long"), "minhash-links")
+
+
+def crowd_links(crowd: DataFrame, reps: DataFrame, docs: DataFrame, shingle: int, percent: int) -> DataFrame:
+    """Links between different groups of ``crowd(doc_id, group)``, found by their rarest shingles."""
+    spark = docs.sparkSession
+    texts = docs.join(crowd, "doc_id").select("doc_id", "group", "text")
+    sets = stage(texts.mapInArrow(lambda it: set_batches(it, shingle), "doc_id long, group long, set array<long>"), "minhash-sets")
+    counted = sets.select("set").mapInArrow(lambda it: place_counts(it, PLACES), "place long, n long").groupBy("place").agg(F.sum("n").alias("n"))
+    # One number per place: the table has the same size for any corpus.
+    table, counts = counted.toArrow(), np.zeros(PLACES, np.int64)
+    counts[table.column("place").to_numpy()] = table.column("n").to_numpy()
+    rarest = sets.mapInArrow(lambda it: rarest_batches(it, counts, percent), "doc_id long, group long, keys array<long>")
+    facts = reps.select("doc_id", "n_shingles", "bits1", "bits2")
+    keyed = rarest.join(facts, "doc_id").select(F.posexplode("keys").alias("at", "key"), "doc_id", "group", "n_shingles", "bits1", "bits2")
+    keyed = stage(keyed, "minhash-rarest")
+    mixed = keyed.groupBy("key").agg(F.min("group").alias("low_group"), F.max("group").alias("high_group")).where("low_group < high_group")
+    # The higher of two groups is not the lowest: members of the lowest, the many, are on one side only.
+    left = side(keyed.join(mixed, "key").where("group > low_group").drop("low_group", "high_group"), "a")
+    # The first key that two sets share has nothing shared before it, so what can be shared at most is what follows.
+    follows = F.least(F.col("n_shingles_a") - F.col("at_a"), F.col("n_shingles_b") - F.col("at_b"))
+    enough = (100 + percent) * follows >= percent * (F.col("n_shingles_a") + F.col("n_shingles_b"))
+    apart = (F.col("group_a") > F.col("group_b")) & might_be_similar(percent) & enough
+    pairs = left.join(side(keyed, "b"), (F.col("key_a") == F.col("key_b")) & apart)
+    pairs = stage(pairs.select(F.col("doc_id_a").alias("a"), F.col("doc_id_b").alias("b")).distinct(), "minhash-pairs")
+    for suffix in ("a", "b"):
+        pairs = pairs.join(sets.select(F.col("doc_id").alias(suffix), F.col("set").alias(f"set_{suffix}")), suffix)
+    small_batches(spark, 200)
+    return stage(pairs.mapInArrow(lambda it: verify_sets(it, percent), "a long, b long"), "minhash-links")
 
 
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
@@ -152,18 +235,13 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERC
     entries = reps.select("doc_id", F.explode("bands").alias("key"))
     buckets = entries.groupBy("key").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"), F.count("*").alias("members"))
     members = stage(entries.join(buckets.where("low < high"), "key"), "minhash-members")
-    stars = members.where("doc_id <> low").select(F.col("doc_id").alias("a"), F.col("low").alias("b")).distinct()
-    links = similar_links(stars, reps, docs, shingle, percent)
+    links = star_links(members, reps, docs, shingle, percent)
     grouped = components(links)
-    # Members that the smallest one's component has not taken in meet all others of the bucket.
     placed = members.where("members > 2").join(grouped, F.col("doc_id") == F.col("node"), "left")
-    placed = placed.select("key", "doc_id", "low", F.coalesce("component", "doc_id").alias("group"))
-    lows = placed.where("doc_id = low").select("key", F.col("group").alias("low_group"))
-    outside = placed.join(lows, "key").where("group <> low_group AND doc_id <> low")
-    others = placed.where("doc_id <> low").select("key", F.col("doc_id").alias("other"), F.col("group").alias("other_group"))
-    rest = outside.join(others, "key").where("group <> other_group")
-    rest = rest.select(F.greatest("doc_id", "other").alias("a"), F.least("doc_id", "other").alias("b")).distinct()
-    more = similar_links(rest, reps, docs, shingle, percent)
+    placed = stage(placed.select("key", "doc_id", F.coalesce("component", "doc_id").alias("group")), "minhash-placed")
+    crowded = placed.groupBy("key").agg(F.min("group").alias("low"), F.max("group").alias("high")).where("low < high").select("key")
+    crowd = stage(placed.join(crowded, "key").select("doc_id", "group").distinct(), "minhash-crowd")
+    more = crowd_links(crowd, reps, docs, shingle, percent)
     if not more.isEmpty():
         grouped = components(links.union(more))
     classes = reps.join(grouped, F.col("doc_id") == F.col("node"), "left").select(

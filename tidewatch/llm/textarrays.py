@@ -33,6 +33,13 @@ def text_bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw, at - at[0]
 
 
+def lists(column: pa.ListArray) -> list[np.ndarray]:
+    """The lists of a column as arrays."""
+    flat = pc.list_flatten(column).to_numpy(zero_copy_only=False)
+    ends = np.cumsum(pc.fill_null(pc.list_value_length(column), 0).to_numpy(zero_copy_only=False))
+    return np.split(flat, ends[:-1]) if len(ends) else []
+
+
 @lru_cache(maxsize=4)
 def _powers(exponent: int, base: int) -> np.ndarray:
     out = np.full(1 << exponent, np.uint64(base))
