@@ -6,17 +6,42 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidewatch.llm import mixing
+from tidewatch.llm import decontaminate, langid, minhash, mixing, token_blocks
+from tidewatch.llm.catalog import tokenizer_file
 from tidewatch.session import configure, stage_path
 
 
+def identify_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose language the recurrent network recognises."""
+    return langid.identified(docs)
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near-duplicates: five-word shingles, similarity 0.8 or more."""
+    return minhash.deduplicated(docs)
+
+
+def drop_benchmark_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no copy of a benchmark item."""
+    return decontaminate.without_contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mix takes them; documents on the edge of a block with the words taken."""
     return mixing.mix_documents(docs)
 
 
+def write_token_files(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token files of the mix, read back: place, length and checksum of every document's ids."""
+    return token_blocks.tokens_round_trip(docs, tokenizer_file())
+
+
 STAGES = [
+    ("identify_languages", identify_languages),
+    ("drop_near_duplicates", drop_near_duplicates),
+    ("drop_benchmark_copies", drop_benchmark_copies),
     ("mix_sources", mix_sources),
+    ("write_token_files", write_token_files),
 ]
 
 #: Language identification and tokens cannot be said in SQL; tests/llm compares with brute force.

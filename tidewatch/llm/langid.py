@@ -23,12 +23,15 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tidewatch.llm.common import small_batches
+from tidewatch.llm.common import named, small_batches
 from tidewatch.llm.textarrays import pieces, text_bytes
 
 UNKNOWN = "und"
 HELD_OUT = (4, 2)
+#: Below this mean probability a text has no language that was learned.
+LEAST_SCORE = 0.3
 
 
 @dataclass(frozen=True)
@@ -226,24 +229,37 @@ def learn(docs: DataFrame, settings: Settings = Settings()) -> Network | None:
     return Network(languages, settings).train(data[order], lengths[order], labels[order])
 
 
-def predict_batches(batches: Iterator[pa.RecordBatch], network: Network | None, carried: list[str]) -> Iterator[pa.RecordBatch]:
+def predict_batches(batches: Iterator[pa.RecordBatch], network: Network | None, names: list[str]) -> Iterator[pa.RecordBatch]:
+    """All columns of the batches and two more, named ``names``: the language and its probability."""
     for batch in batches:
         for piece in pieces(batch, "text"):
             texts = piece.column("text")
             letters = pc.fill_null(pc.match_substring_regex(texts, r"\p{L}"), False).to_numpy(zero_copy_only=False)
-            names, scores = np.full(len(texts), UNKNOWN, object), np.zeros(len(texts))
+            langs, scores = np.full(len(texts), UNKNOWN, object), np.zeros(len(texts))
             if network is not None and letters.any():
                 found = network.documents(texts.filter(pa.array(letters)))
-                names[letters] = np.array(network.languages, object)[found.argmax(axis=1)]
+                langs[letters] = np.array(network.languages, object)[found.argmax(axis=1)]
                 scores[letters] = np.clip(found.max(axis=1), 0, 1)
-            yield pa.RecordBatch.from_arrays([*(piece.column(c) for c in carried), pa.array(names, pa.string()), pa.array(scores)], names=[*carried, "lang_pred", "score"])
+            columns = [*piece.columns, pa.array(langs, pa.string()), pa.array(scores)]
+            yield pa.RecordBatch.from_arrays(columns, names=[*piece.schema.names, *names])
 
 
-def identify(docs: DataFrame, training: DataFrame | None = None, settings: Settings = Settings()) -> DataFrame:
-    """``doc_id, held_out, lang_pred, score`` for every row of ``docs``; learned from ``training``, or from ``docs`` itself."""
+def with_language(docs: DataFrame, names: list[str], training: DataFrame | None = None, settings: Settings = Settings()) -> DataFrame:
+    """``docs`` with two more columns; the network learns from ``training``, or from ``docs`` itself."""
     small_batches(docs.sparkSession, 500)
     network = learn(docs if training is None else training, settings)
+    schema = T.StructType([*docs.schema.fields, T.StructField(names[0], T.StringType()), T.StructField(names[1], T.DoubleType())])
+    return docs.mapInArrow(lambda it: predict_batches(it, network, names), schema)
+
+
+def identify(docs: DataFrame, training: DataFrame | None = None, settings: Settings = Settings()) -> DataFrame:
+    """``doc_id, held_out, lang_pred, score`` for every row of ``docs``."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), held_out(F.col("doc_id")).alias("held_out"), "text")
-    return rows.mapInArrow(
-        lambda it: predict_batches(it, network, ["doc_id", "held_out"]), "doc_id long, held_out boolean, lang_pred string, score double"
-    )
+    return with_language(rows, ["lang_pred", "score"], docs if training is None else training, settings).drop("text")
+
+
+def identified(docs: DataFrame, least: float = LEAST_SCORE, settings: Settings = Settings()) -> DataFrame:
+    """``docs`` without rejected texts: those without a language, or whose language is no likelier than chance."""
+    names = [named(docs, "lang_pred"), named(docs, "lang_score")]
+    found = with_language(docs, names, settings=settings)
+    return found.where((F.col(names[0]) != UNKNOWN) & (F.col(names[1]) >= least)).select(*[F.col(f"`{c}`") for c in docs.columns])

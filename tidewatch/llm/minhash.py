@@ -26,10 +26,10 @@ from hashlib import blake2b
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidewatch.llm.common import small_batches
+from tidewatch.llm.common import named, small_batches
 from tidewatch.llm.components import components
 from tidewatch.llm.textarrays import ODD, Words, between_blanks, lists, mix64, pieces
 from tidewatch.session import stage
@@ -253,3 +253,17 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERC
         "doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), found).alias("component_id"),
         F.coalesce(F.col("doc_id") == found, F.lit(True)).alias("kept"),
     )
+
+
+def deduplicated(docs: DataFrame, **options) -> DataFrame:
+    """``docs`` with one row of each group of near-duplicates, that of the smallest ``doc_id``; rows without a ``doc_id`` stay.
+
+    Of rows that repeat this ``doc_id`` the one with the smallest text stays.
+    """
+    found = near_duplicates(docs, **options)
+    firsts = found.where("kept AND doc_id IS NOT NULL").select("doc_id").distinct()
+    number = named(docs, "row_of_id")
+    kept = docs.join(stage(firsts, "minhash-kept"), "doc_id", "left_semi")
+    once = kept.withColumn(number, F.row_number().over(Window.partitionBy("doc_id").orderBy("text"))).where(F.col(number) == 1)
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    return once.select(*columns).union(docs.where("doc_id IS NULL").select(*columns))
