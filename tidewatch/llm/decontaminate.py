@@ -1,8 +1,9 @@
 """Find test items in training texts: rare n-gram seeds, then Smith-Waterman alignment of words.
 
 Words are runs of letters and digits in lower case. All n-grams of the items are counted over the
-whole corpus; of those that occur, the rarer half of each item are its seeds, so an item always
-has seeds however often it leaked. A passage is what lies around the seeds found in a document,
+whole corpus. Seeds are those that are rare there, and those that aren't but whose neighbour in
+the item comes as often: these are frequent because the item leaked, not as a common phrase. So
+an item has seeds however often it leaked, and in whatever version. A passage is what lies around the seeds found in a document,
 one item's length to either side. Each passage is aligned with the items of its seeds: +2 for
 an equal word, -1 for another or a missing one. An alignment that reaches half of what the
 whole item would reach is a copy, whether exact, edited or cut.
@@ -32,7 +33,8 @@ from tidewatch.llm.textarrays import Words, alphanumeric, lists, pieces
 from tidewatch.session import stage
 
 GRAM = 4
-RARER = 0.5
+#: An n-gram is rare if it comes no more than once in so many words of the corpus, or no more than FEW times.
+RARE_IN, FEW = 1_000_000, 32
 LEAST_SCORE = 0.5
 MATCH, MISS, GAP = 2, 1, 1
 #: Bounds of the filter, as powers of two of its bits; 2 MB at most.
@@ -91,9 +93,12 @@ class GramFilter:
 def count_batches(batches: Iterator[pa.RecordBatch], n: int, known: GramFilter) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for piece in pieces(batch, "text"):
-            grams, _ = words_of(piece.column("text")).ngrams(n)
+            words = words_of(piece.column("text"))
+            grams, _ = words.ngrams(n)
             found, counts = np.unique(grams[known(grams)], return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(signed(found)), pa.array(counts)], names=["gram", "found"])
+            # The number of words goes without an n-gram.
+            keys = pa.array([None, *signed(found).tolist()], pa.int64())
+            yield pa.RecordBatch.from_arrays([keys, pa.array(np.concatenate(([len(words.hash)], counts)))], names=["gram", "found"])
 
 
 def passage_batches(batches: Iterator[pa.RecordBatch], n: int, seeds: GramFilter, reach: int) -> Iterator[pa.RecordBatch]:
@@ -180,7 +185,7 @@ def align_batches(batches: Iterator[pa.RecordBatch], least: float) -> Iterator[p
         )
 
 
-def contaminated(docs: DataFrame, items: DataFrame, n: int = GRAM, rarer: float = RARER, least: float = LEAST_SCORE) -> DataFrame:
+def contaminated(docs: DataFrame, items: DataFrame, n: int = GRAM, least: float = LEAST_SCORE) -> DataFrame:
     """``doc_id, item_id, score, first_word, last_word`` of every copy of an item in a document."""
     spark = docs.sparkSession
     small_batches(spark, 500)
@@ -189,10 +194,15 @@ def contaminated(docs: DataFrame, items: DataFrame, n: int = GRAM, rarer: float
     grams = held.select("item_id", F.explode(F.array_distinct("grams")).alias("gram"))
     known = GramFilter(grams.select("gram").distinct())
     counted = docs.mapInArrow(lambda it: count_batches(it, n, known), "gram long, found long").groupBy("gram").agg(F.sum("found").alias("found"))
-    ranked = grams.join(counted, "gram").withColumn(
-        "rank", F.row_number().over(Window.partitionBy("item_id").orderBy("found", "gram"))
-    ).withColumn("of", F.count("*").over(Window.partitionBy("item_id")))
-    seeds = stage(ranked.where(F.col("rank") <= F.ceil(F.col("of") * rarer)).select("gram", "item_id"), "leak-seeds")
+    counted = stage(counted, "leak-counts")
+    total = counted.where("gram IS NULL").first()
+    most = max(FEW, (total["found"] if total else 0) // RARE_IN)
+    placed = held.select("item_id", F.xxhash64("words").alias("version"), F.posexplode("grams").alias("at", "gram"))
+    placed = placed.join(counted, "gram", "left").withColumn("found", F.coalesce("found", F.lit(0)))
+    order = Window.partitionBy("item_id", "version").orderBy("at")
+    beside = F.greatest(F.lag("found", 1, 0).over(order), F.lead("found", 1, 0).over(order))
+    seeds = placed.withColumn("beside", beside).where((F.col("found") > 0) & ((F.col("found") <= most) | (2 * F.col("beside") >= F.col("found"))))
+    seeds = stage(seeds.select("gram", "item_id").distinct(), "leak-seeds")
     wanted = GramFilter(seeds.select("gram").distinct())
     reach = held.agg(F.max(F.size("words"))).first()[0] or 0
     passages = stage(

@@ -95,17 +95,17 @@ def block_quotas(targets: DataFrame, block_words: int = BLOCK_WORDS, most: int =
     ).drop("moved")
 
 
-def taken_before(x: Column) -> Column:
+def taken_before(x: Column, mix: Column) -> Column:
     """Words of the extra blocks that lie before position ``x`` of the source's line, to the next whole word."""
-    block = F.col("mix").getField
+    block = mix.getField
     j = F.least(F.floor(x / block("length")), block("blocks") - 1)
     upto = lambda n: F.floor(n * (block("extra") / block("blocks")) + block("phase"))
     return F.floor(upto(j) * block("length") + (upto(j + 1) - upto(j)) * (x - j * block("length")) + 0.5)
 
 
 def plan_mix(docs: DataFrame, size: str, source: str = "source", doc_id: str = "doc_id", seed: int = SEED,
-             block_words: int = BLOCK_WORDS, docs_per_shard: int = DOCS_PER_SHARD) -> DataFrame:
-    """All columns of ``docs`` plus the struct ``mix``: the source's line, and where the document lies on it.
+             block_words: int = BLOCK_WORDS, docs_per_shard: int = DOCS_PER_SHARD, mix: str = "mix") -> DataFrame:
+    """All columns of ``docs`` plus the struct named ``mix``: the source's line, and where the document lies on it.
 
     ``docs`` is read twice: narrowly for the sums per shard and source, and once with all its
     columns, shuffled by (shard, source). Those groups hold a few hundred rows even where one
@@ -132,13 +132,14 @@ def plan_mix(docs: DataFrame, size: str, source: str = "source", doc_id: str = "
     within = Window.partitionBy("shard", "key").orderBy("order").rowsBetween(Window.unboundedPreceding, -1)
     before = placed.withColumn("before", F.coalesce(F.sum("words").over(within), F.lit(0)))
     joined = before.join(offsets, ["shard", "key"])
-    return joined.select("row.*", F.struct("line.*", (F.col("offset") + F.col("before")).alias("start")).alias("mix"))
+    return joined.select("row.*", F.struct("line.*", (F.col("offset") + F.col("before")).alias("start")).alias(mix))
 
 
 def mix_sizes(docs: DataFrame, text: str = "text", **options) -> DataFrame:
     """``doc_id, size, source_size, target, taken`` for every document: how many of its words the mix takes."""
     sized = stage(docs.select("doc_id", "source", word_count(F.col(text)).alias("size")), "mix-sizes")
-    extra = taken_before(F.col("mix.start") + F.col("size")) - taken_before(F.col("mix.start"))
+    line = F.col("mix")
+    extra = taken_before(line["start"] + F.col("size"), line) - taken_before(line["start"], line)
     taken = F.when(F.col("size") > 0, F.col("mix.base") * F.col("size") + F.least(F.greatest(extra, F.lit(0)), F.col("size")))
     return plan_mix(sized, "size", **options).select(
         "doc_id", "size", F.col("mix.total").alias("source_size"), F.col("mix.target").alias("target"),
@@ -152,13 +153,14 @@ def mix_documents(docs: DataFrame, **options) -> DataFrame:
     A document on the edge of a chosen block gives only the words inside it, with the blanks
     that follow them; its ``n_chars`` is counted anew.
     """
-    size, pieces = named(docs, "mix_size"), F.regexp_extract_all("text", F.lit(r"[^\x20\x09-\x0D]+[\x20\x09-\x0D]*"), F.lit(0))
-    planned = plan_mix(docs.withColumn(size, word_count(F.col("text"))), size, **options).where(F.col(size) > 0)
-    start = F.col("mix.start")
-    extra = F.least(F.greatest(taken_before(start + F.col(size)) - taken_before(start), F.lit(0)), F.col(size))
-    chosen = F.filter(pieces, lambda _, i: taken_before(start + i + 1) > taken_before(start + i))
+    size, line, pieces = named(docs, "mix_size"), named(docs, "mix"), F.regexp_extract_all("text", F.lit(r"[^\x20\x09-\x0D]+[\x20\x09-\x0D]*"), F.lit(0))
+    planned = plan_mix(docs.withColumn(size, word_count(F.col("text"))), size, mix=line, **options).where(F.col(size) > 0)
+    mix = F.col(line)
+    start, base = mix["start"], mix["base"]
+    extra = F.least(F.greatest(taken_before(start + F.col(size), mix) - taken_before(start, mix), F.lit(0)), F.col(size))
+    chosen = F.filter(pieces, lambda _, i: taken_before(start + i + 1, mix) > taken_before(start + i, mix))
     part = F.when(extra == F.col(size), F.col("text")).otherwise(F.rtrim(F.array_join(chosen, "")))
-    whole = F.when(F.col("mix.base") > 0, F.array_repeat("text", F.col("mix.base").cast("int"))).otherwise(F.array().cast("array<string>"))
+    whole = F.when(base > 0, F.array_repeat("text", base.cast("int"))).otherwise(F.array().cast("array<string>"))
     texts = F.concat(whole, F.when(extra > 0, F.array(part)).otherwise(F.array().cast("array<string>")))
     out = named(docs, "mix_text")
     rows = planned.withColumn(out, F.explode(texts))

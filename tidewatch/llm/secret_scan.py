@@ -195,6 +195,7 @@ def span_text(found: Column) -> Column:
 def scan_report(docs: DataFrame) -> DataFrame:
     """Counts of the base kinds, a digest of their spans, and all spans as text, for every row."""
     found, names = F.col("found"), [r.kind for r in BASE]
-    counts = [F.size(F.filter(found, lambda s, k=r.kind: s["kind"] == k)).cast("long").alias(f"n_{r.kind}") for r in BASE]
+    of = lambda kind: F.filter(found, lambda s: s["kind"] == kind)
+    counts = [F.size(of(r.kind)).cast("long").alias(f"n_{r.kind}") for r in BASE]
     base = F.filter(found, lambda s: s["kind"].isin(names))
     return scan(docs).select("doc_id", *counts, F.sha2(span_text(base).cast("binary"), 256).alias("base_sha256"), span_text(found).alias("spans"))
