@@ -71,6 +71,15 @@ def pages(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, TextView]:
     return rows, flat_view({c: c for c in ("url", "html")})
 
 
+def long_lines(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, TextView]:
+    """All documents, some hundred to a line of a megabyte without a line end."""
+    text = F.struct("doc_id", F.translate("text", "\n", " ").alias("text"))
+    rows = S.table(spark, sf_dir, "documents").groupBy(F.expr("doc_id div 500").alias("event_id")).agg(
+        F.array_sort(F.collect_list(text)).alias("all")
+    )
+    return rows.select("event_id", F.array_join("all.text", " ").alias("text")), flat_view({"text": "text"})
+
+
 def conversations(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, TextView]:
     rows = spread(S.table(spark, sf_dir, "conversations")).select(
         (F.col("conv_id") * 1000 + F.col("turn")).alias("event_id"), "role", "text"
@@ -126,7 +135,7 @@ def event_store(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Indicators: extraction, feeds, matching ---------------------------------------
 
 _SOURCES = {"documents": (documents, T.DOC_TEXT, "doc"), "pages": (pages, T.PAGE_TEXT, "page"),
-            "firewall": (firewall, T.FW_SPLIT, "fw"), "conversations": (conversations, T.CONV_TEXT, "conv")}
+            "long": (long_lines, T.LONG_TEXT, "long"), "firewall": (firewall, T.FW_SPLIT, "fw"), "conversations": (conversations, T.CONV_TEXT, "conv")}
 
 
 def _per_source(name: str, source, ctes: str, prefix: str) -> None:

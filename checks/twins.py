@@ -127,6 +127,9 @@ DOC_TEXT = """doc_text AS (SELECT doc_id AS id, lang || chr(10) || source || chr
   lang || ' ' || source || ' ' || text AS joined FROM documents),
 doc_leaves AS (SELECT doc_id AS id, 1 AS ord, 'lang' AS path, lang AS value FROM documents
   UNION ALL SELECT doc_id, 2, 'source', source FROM documents UNION ALL SELECT doc_id, 3, 'text', text FROM documents)"""
+LONG_TEXT = """long_text AS (SELECT doc_id // 500 AS id, string_agg(replace(text, chr(10), ' '), ' ' ORDER BY doc_id) AS lines,
+  string_agg(replace(text, chr(10), ' '), ' ' ORDER BY doc_id) AS joined FROM documents GROUP BY doc_id // 500),
+long_leaves AS (SELECT id, 1 AS ord, 'text' AS path, lines AS value FROM long_text)"""
 CONV_TEXT = """conv_text AS (SELECT conv_id * 1000 + turn AS id, role || chr(10) || text AS lines, role || ' ' || text AS joined FROM conversations),
 conv_leaves AS (SELECT conv_id * 1000 + turn AS id, 1 AS ord, 'role' AS path, role AS value FROM conversations
   UNION ALL SELECT conv_id * 1000 + turn, 2, 'text', text FROM conversations)"""

@@ -1,16 +1,20 @@
 """Address, CSV, time and variant expressions."""
 
 import ipaddress
+import json
 import random
+import time
 
 from pyspark.sql import functions as F
 
 from tidewatch.functions.ip import ip_key, is_public_ip
-from tidewatch.functions.rules import CORRELATION_RULES, DEFAULT_PACK, SCAN_PATTERNS, RulePack, spark_pattern, word_list
+from tidewatch.functions.rules import (
+    CORRELATION_RULES, DEFAULT_PACK, IOC_PATTERNS, OCCURS, SCAN_PATTERNS, RulePack, occurrence_pattern, spark_pattern, word_list,
+)
 from tidewatch.functions.text import csv_fields, flat_view, plain_case, rfc3339, strip
 from tidewatch.functions.variants import all_strings, string_leaves
 from tidewatch.operators.hunt import hunt, matches
-from tidewatch.operators.iocs import extract_iocs
+from tidewatch.operators.iocs import domains, extract_iocs
 
 import pytest
 
@@ -82,12 +86,75 @@ def test_variant_leaves(spark):
     assert row.s == [v for _, v in want]
 
 
-def test_too_deep_an_event_fails(spark):
-    deep = "[" * 4 + '"x"' + "]" * 4
-    frame = spark.createDataFrame([(deep,)], "t string").select(F.parse_json("t").alias("v"))
-    assert frame.select(string_leaves(F.col("v"), 4)).first()[0][0].value == "x"
-    with pytest.raises(Exception, match="nested too deeply"):
-        frame.select(string_leaves(F.col("v"), 3)).first()
+def plain_leaves(value, path=""):
+    if isinstance(value, str):
+        yield path, value
+    elif isinstance(value, dict):
+        for key in sorted(value):
+            yield from plain_leaves(value[key], path + ("" if not path or key.startswith("[") else ".") + key)
+    elif isinstance(value, list):
+        for i, item in enumerate(value):
+            yield from plain_leaves(item, f"{path}[{i}]")
+
+
+def test_leaves_at_any_depth(spark):
+    rng = random.Random(0)
+
+    def some(depth):
+        kind = rng.random()
+        if depth == 0 or kind < 0.3:
+            return rng.choice(["s", "", 'q"\\', "a,b:{[", "é☃", "x:", 5, True, None, 1.5])
+        if kind < 0.65:
+            return {rng.choice(["a", "k.x", "[z]", 'q"', "c:", "é", ""]) + str(rng.randrange(3)): some(depth - 1) for _ in range(rng.randrange(4))}
+        return [some(depth - 1) for _ in range(rng.randrange(4))]
+
+    deep = "bottom"
+    for _ in range(40):
+        deep = {"k": [deep, "beside"]}
+    values = [some(6) for _ in range(300)] + [deep, [["x"] * 3] * 400, {f"k{i}": "v" for i in range(1500)}]
+    frame = spark.createDataFrame([(i, json.dumps(v)) for i, v in enumerate(values)], "i int, t string").withColumn("v", F.parse_json("t"))
+    for row in frame.select("i", string_leaves(F.col("v")).alias("l")).collect():
+        assert [(x.path, x.value) for x in row.l] == list(plain_leaves(values[row.i]))
+
+
+def test_one_pass_expressions_agree_with_the_published_ones(spark):
+    rng = random.Random(1)
+    pieces = {
+        "base64_encoded": ["AbC+" * 4, "Zz09", "=", "==", "-"], "hex_encoded": ["\\x41" * 4, "\\xZZ", "\\x"], "unicode_encoded": ["\\u0041", "\\u00"],
+        "obfuscated_powershell": ["powershell", "PowerShell", " -e ", "-enc", "/E", "-EncodedCommand", " ", "\n", "A" * 10, "b" * 20, "="],
+        "obfuscated_script": ["cmd", "SH", "bash", "powershell", "{", "(", "$", "`;", "|&", " ", "\n", "z"],
+        "sql_injection": [" or ", " AND", "1=1", "  ", "\n", "union", "select", "drop", "table", "x", "or", "update", "set"],
+    }
+    assert set(pieces) == {name for name, p in SCAN_PATTERNS.items() if p in OCCURS}
+    for name, parts in pieces.items():
+        texts = ["".join(rng.choices(parts, k=rng.randint(1, 20))) for _ in range(1500)]
+        there, found = F.col("t").rlike(spark_pattern(SCAN_PATTERNS[name])), F.col("t").rlike(occurrence_pattern(SCAN_PATTERNS[name]))
+        row = spark.createDataFrame([(t,) for t in texts], "t string").agg(F.count_if(there != found), F.count_if(there)).first()
+        assert row[0] == 0 and 20 < row[1] < 1500, name
+
+
+def test_domains_are_those_of_the_published_expression(spark):
+    rng = random.Random(2)
+    pieces = ["a", "b1", "com", "net", ".", ".", ".", "-", "1", "x" * 62, "x" * 63, "x" * 64, "y" * 70, "1" * 64, "\u212a", "\u017f", " ", "_", "A", "..", "-.", ".-", "\n", "co.uk"]
+    texts = ["".join(rng.choices(pieces, k=rng.randint(1, 14))) for _ in range(8000)]
+    frame = spark.createDataFrame([(t,) for t in texts], "t string").select(
+        "t", F.regexp_extract_all("t", F.lit(spark_pattern(IOC_PATTERNS["domain"])), 0).alias("want"), domains(F.col("t")).alias("got"))
+    assert frame.where("want <> got").collect() == [] and frame.agg(F.sum(F.size("want"))).first()[0] > 2000
+
+
+HOSTILE = {
+    "labels": "a." * 100_000 + "com", "no ending": "1a." * 100_000 + "1", "long label": "1a." * 100_000 + "1" * 64 + ".com", "cut chains": ("x" * 64 + ".1a.") * 15_000,
+    "keywords": "sh " * 350_000, "options": "powershell -e " * 80_000, "base64": "AbC9" * 1_250_000, "hex": "\\x41" * 250_000, "half hex": "\\x4" * 350_000, "blanks": " " * 1_000_000,
+}
+
+
+@pytest.mark.parametrize("name", HOSTILE)
+def test_hostile_lines_take_little_time(spark, name):
+    rows = spark.createDataFrame([(1, HOSTILE[name])], "event_id int, t string")
+    hunt(rows, flat_view({"t": "t"})).collect(), extract_iocs(rows, F.col("t")).collect()  # compiled
+    start = time.time()
+    hunt(rows, flat_view({"t": "t"})).collect(), extract_iocs(rows, F.col("t")).collect()
+    assert time.time() - start < 10
 
 
 def test_rule_pack_is_validated(spark):

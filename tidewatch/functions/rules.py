@@ -88,9 +88,40 @@ def spark_pattern(pattern: str) -> str:
     ``U``: blanks, digits, word boundaries and case folding follow Unicode;
     ``d``: only a line feed ends a line, so ``.`` matches everything else.
     """
-    if pattern.startswith("(?i)"):
-        return "(?iUd)" + pattern[4:]
-    return "(?Ud)" + pattern
+    flags = re.match(r"\(\?([im]+)\)", pattern)
+    return f"(?{flags[1]}Ud){pattern[flags.end():]}" if flags else "(?Ud)" + pattern
+
+
+# Published expressions that start anew at every keyword of a line, at every blank of a run, or
+# keep on past what decides, each with one that finds in one pass whether the published one
+# occurs. A line's first keyword is enough: what follows a later one follows the first one too.
+_OCCURS = {
+    "base64_encoded": r"[A-Za-z0-9+/]{40}",
+    "hex_encoded": r"(?:\\x[0-9a-fA-F]{2}){10}",
+    "unicode_encoded": r"(?:\\u[0-9a-fA-F]{4}){5}",
+    "obfuscated_powershell": r"(?im)^(?>.*?powershell).*[-/][eE](?:ncodedcommand|nc)?\s++[a-zA-Z0-9+/=]{20}",
+    "obfuscated_script": r"(?im)^(?>.*?(?:cmd|powershell|bash|sh)).*[{()}$`|&;]{3}",
+    "sql_injection": r"(?i)(?:union\s+select|drop\s+table|insert\s+into|update\s+set|delete\s+from|'|\sor\s+1=1|\sand\s+1=1)",
+}
+OCCURS = {SCAN_PATTERNS[name]: pattern for name, pattern in _OCCURS.items()}
+
+
+def occurrence_pattern(pattern: str) -> str:
+    """An expression, ready for Java, that is found in the same texts as ``pattern``."""
+    return spark_pattern(OCCURS.get(pattern, pattern))
+
+
+# Domains. The published expression repeats a group, for which Java needs stack by the number of
+# labels, and it starts anew at every character. The texts are cut first where no domain
+# goes across: beside two marks in a row, and before a label that is too long to be one and
+# no ending either. Of a run of what can be in a domain, the rest after its last ending is dropped.
+# Then every start that gets past its first label succeeds. Labels that aren't followed by an
+# ending, and groups that go up to one, are taken without a way back; the last ending is found.
+_LABEL = r"[a-z0-9](?:[a-z0-9\-]{0,61}[a-z0-9])?\."
+DOMAIN_CUTS = r"(?iUd)(?<=\.)(?=[.\-])|(?<=-)(?=\.)|(?<=\.)(?=[a-z0-9\-]{64})(?![a-z]{2})"
+DOMAIN_RUNS = r"(?iUd)[a-z0-9.\-]++"
+DOMAIN_HEAD = r"(?iUd)^.*\.[a-z]{2,}"
+DOMAIN_FIND = rf"(?iUd)(?:(?:{_LABEL}(?![a-z]{{2}}))*+{_LABEL}(?=[a-z]{{2}}))++[a-z]{{2,}}"
 
 
 # Lower-case texts of which every match of an expression holds at least one. Looking for a

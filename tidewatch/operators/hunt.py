@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tidewatch.functions.ip import let
 from tidewatch.functions.rules import (
     DEFAULT_PACK, DOTLESS_I, DOTTED_I, HOLDS, LONG_LINE, LONG_PATTERNS, OTHER_LETTER, RulePack,
-    spark_pattern, word_list,
+    occurrence_pattern, word_list,
 )
 from tidewatch.functions.text import TextView, plain_case, sql_text
 from tidewatch.session import computed_once
@@ -39,7 +39,7 @@ def matches(text: str, pattern: str) -> str:
     A choice of words is looked up as such. Other expressions run only on events that hold
     one of the words they need.
     """
-    test = f"{text} rlike {sql_text(spark_pattern(pattern))}"
+    test = f"{text} rlike {sql_text(occurrence_pattern(pattern))}"
     words = word_list(pattern)
     if words:
         return f"({_any_word(words)})"
@@ -85,7 +85,7 @@ def hunt(events: DataFrame, view: TextView, pack: RulePack = DEFAULT_PACK) -> Da
     )
 
     def fields_with(name: str, leaves: Column) -> Column:
-        pattern = spark_pattern(pack.patterns[name])
+        pattern = occurrence_pattern(pack.patterns[name])
         holding = F.filter(leaves, lambda leaf: F.translate(
             leaf.value, DOTTED_I + DOTLESS_I, OTHER_LETTER * 2).rlike(pattern))
         hits = F.transform(holding, lambda leaf: F.struct(

@@ -6,7 +6,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidewatch.functions.ip import let
-from tidewatch.functions.rules import DOTLESS_I, DOTTED_I, IOC_PATTERNS, OTHER_LETTER, spark_pattern
+from tidewatch.functions.rules import (
+    DOMAIN_CUTS, DOMAIN_FIND, DOMAIN_HEAD, DOMAIN_RUNS, DOTLESS_I, DOTTED_I, IOC_PATTERNS, OTHER_LETTER, spark_pattern,
+)
 
 # What a line must at least have to hold an indicator of a kind. Most fields of an event are
 # short words, so the expressions see only a small part of its text.
@@ -33,9 +35,16 @@ def ioc_array(lines: Column) -> Column:
     return let(candidates, lambda some: F.flatten(F.array(*[_found(some, kind) for kind in IOC_PATTERNS])))
 
 
+def domains(text: Column) -> Column:
+    """All matches of the domain expression, in a time that grows with the text and without recursion."""
+    runs = F.regexp_extract_all(F.regexp_replace(text, DOMAIN_CUTS, "\n"), F.lit(DOMAIN_RUNS), 0)
+    heads = F.filter(F.transform(runs, lambda run: F.regexp_extract(run, DOMAIN_HEAD, 0)), lambda head: head != "")
+    return F.regexp_extract_all(F.array_join(heads, "\n"), F.lit(DOMAIN_FIND), 0)
+
+
 def _found(candidates: Column, kind: str) -> Column:
     text = F.array_join(F.filter(candidates, _WORTH[kind]), "\n")
-    matches = F.regexp_extract_all(text, F.lit(spark_pattern(IOC_PATTERNS[kind])), 0)
+    matches = domains(text) if kind == "domain" else F.regexp_extract_all(text, F.lit(spark_pattern(IOC_PATTERNS[kind])), 0)
     return F.transform(F.array_distinct(matches), lambda value, i: F.struct(
         F.lit(kind).alias("kind"), value.alias("value"), i.alias("ord")
     ))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tidewatch.functions.text import TextView, array_view
 from tidewatch.functions.variants import (
-    MAX_DEPTH, all_strings, as_map, member, string_leaves, string_value,
+    all_strings, as_map, member, string_leaves, string_value,
 )
 from tidewatch.session import computed_once
 
@@ -99,6 +99,6 @@ def packet_object() -> Column:
     return F.to_variant_object(F.map_concat(raw, flow))
 
 
-def packet_text(max_depth: int = MAX_DEPTH) -> TextView:
+def packet_text() -> TextView:
     """Text of a packet event: the strings at any depth of it, keys in byte order."""
-    return array_view(all_strings(F.col("event")), string_leaves(F.col("event"), max_depth))
+    return array_view(all_strings(F.col("event")), string_leaves(F.col("event")))
