@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 from functools import wraps
 
@@ -17,7 +18,7 @@ from tidewatch.operators.behavior import (
     activity_epochs, behavior, behavior_keys, key_counts, merge_counts, running_counts, sliding_counts,
 )
 from tidewatch.operators.filters import has_anomaly, has_enrichment, has_ioc, has_rule
-from tidewatch.operators.geo import geolocate
+from tidewatch.operators.geo import geolocate, rejected_ranges
 from tidewatch.operators.hunt import hunt, keyword_rows, pattern_rows, rule_rows
 from tidewatch.operators.indicators import build_indicators, feed_union, indicator_counts, latest_valid_snapshot
 from tidewatch.operators.iocs import extract_iocs
@@ -57,17 +58,17 @@ def stamp(col: Column | str) -> Column:
 
 
 def spread(rows: DataFrame) -> DataFrame:
-    """The given tables are single files of one row group, which only one task can read."""
+    """For stored samples: the given tables are single files of one row group, which only one task can read."""
     return rows.repartition(rows.sparkSession.sparkContext.defaultParallelism)
 
 
 def documents(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, TextView]:
-    rows = spread(S.table(spark, sf_dir, "documents")).select(F.col("doc_id").alias("event_id"), "lang", "source", "text")
+    rows = S.table(spark, sf_dir, "documents").select(F.col("doc_id").alias("event_id"), "lang", "source", "text")
     return rows, flat_view({c: c for c in ("lang", "source", "text")})
 
 
 def pages(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, TextView]:
-    rows = spread(S.table(spark, sf_dir, "pages")).select(F.col("page_id").alias("event_id"), "url", "html")
+    rows = S.table(spark, sf_dir, "pages").select(F.col("page_id").alias("event_id"), "url", "html")
     return rows, flat_view({c: c for c in ("url", "html")})
 
 
@@ -81,7 +82,7 @@ def long_lines(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, TextView]:
 
 
 def conversations(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, TextView]:
-    rows = spread(S.table(spark, sf_dir, "conversations")).select(
+    rows = S.table(spark, sf_dir, "conversations").select(
         (F.col("conv_id") * 1000 + F.col("turn")).alias("event_id"), "role", "text"
     )
     return rows, flat_view({c: c for c in ("role", "text")})
@@ -123,7 +124,7 @@ def indicators(spark: SparkSession, sf_dir: str) -> DataFrame:
 def firewall_run(spark: SparkSession, sf_dir: str) -> FirewallRun:
     return enrich_firewall(
         raw_lines(spark, sf_dir), indicators(spark, sf_dir), S.geo_ranges(spark, sf_dir),
-        Settings(threshold=THRESHOLD),
+        Settings(threshold=THRESHOLD, time_col="ingest_ts"),
     )
 
 
@@ -484,6 +485,22 @@ def _enrich_firewall(spark, sf_dir):
     )
 
 
+_SECONDS = "fw_seconds AS (SELECT * REPLACE (date_trunc('second', ts) AS ts) FROM fw_events)"
+
+
+@query("enrich_by_event_time", f"""WITH {T.FW_EVENTS}, {_SECONDS}, {T.epochs('fw_seconds')},
+  counted AS (SELECT f.event_id, f.source_address, f.ts, count(*) OVER (PARTITION BY source_address, epoch ORDER BY f.ts
+    RANGE UNBOUNDED PRECEDING) AS n FROM fw_seconds f JOIN epoch_of e USING (event_id))
+  SELECT source_address, epoch_us(ts) AS us, max(n) AS ip_count FROM counted WHERE n > {THRESHOLD} GROUP BY ALL""")
+def _enrich_by_event_time(spark, sf_dir):
+    """Lines read back from files all arrive at once; their counts follow the time in the line."""
+    path = stage_path(spark, "landing")
+    raw_lines(spark, sf_dir).select(F.col("raw").alias("value")).write.text(path)
+    run = enrich_firewall(readers.read_log_lines(spark, path), indicators(spark, sf_dir), settings=Settings(threshold=THRESHOLD))
+    often = F.col("forwarder_enrichment.behavioral_anomalies.high_frequency_ip.count")
+    return run.events.where(often.isNotNull()).groupBy("source_address", F.unix_micros("event_ts").alias("us")).agg(F.max(often).alias("ip_count"))
+
+
 @query("enrich_off", f"WITH {T.FW_EVENTS} SELECT event_id, source_address, false AS has_enrichment FROM fw_events")
 def _enrich_off(spark, sf_dir):
     run = enrich_firewall(raw_lines(spark, sf_dir), indicators(spark, sf_dir), settings=Settings(enrich=False))
@@ -589,11 +606,29 @@ def _route_events(spark, sf_dir):
     )
 
 
-@query("route_daily", f"WITH {T.COLLECTED} SELECT {_INDEX} AS index_name, count(*) AS events FROM dated GROUP BY ALL")
+@query("route_daily", f"""WITH {T.COLLECTED} SELECT event_id, log_type, {_INDEX} AS index_name,
+  CASE WHEN log_type = 'fortigate_raw' THEN 'fw ' || (event_id % 7) END AS devname FROM dated""")
 def _route_daily(spark, sf_dir):
     path = stage_path(spark, "routed")
-    sinks.write_routed(routing.route(S.collected_logs(spark, sf_dir)).drop("kv"), path)
-    return spark.read.parquet(path).groupBy("index_name").agg(F.count("*").alias("events"))
+    sinks.write_routed(routing.route(S.collected_logs(spark, sf_dir)), path)
+    return spark.read.parquet(path).select("event_id", "log_type", "index_name", F.try_element_at("kv", F.lit("devname")).alias("devname"))
+
+
+@query("route_json", f"""WITH {T.COLLECTED} SELECT event_id, log_type, {_INDEX} AS index_name, epoch_us(at_ts) AS at_us,
+  CASE WHEN log_type = 'fortigate_raw' THEN 'fw ' || (event_id % 7) END AS devname,
+  CASE WHEN log_type = 'fortigate_raw' THEN '134' END AS syslog_pri FROM dated""")
+def _route_json(spark, sf_dir):
+    """JSON documents with what the collector has added to each."""
+    path = stage_path(spark, "routed-json")
+    logs = S.collected_logs(spark, sf_dir)
+    sinks.write_routed(routing.route(logs.withColumn("event", F.parse_json(F.to_json(F.struct("event_id", "message", "timestamp"))))), path)
+    rows = spark.read.text(path).withColumn("v", F.parse_json("value"))
+    part = lambda key, kind: F.try_variant_get("v", f"$['{key}']", kind)
+    return rows.select(
+        part("event_id", "bigint").alias("event_id"), part("log_type", "string").alias("log_type"), "index_name",
+        F.unix_micros(part("@timestamp", "string").cast("timestamp")).alias("at_us"), part("devname", "string").alias("devname"),
+        part("syslog_pri", "string").alias("syslog_pri"),
+    )
 
 
 @query("kv_logs", f"""WITH {T.COLLECTED} SELECT event_id, '134' AS syslog_pri, 'fw ' || (event_id % 7) AS devname, {T.SRC} AS srcip,
@@ -611,6 +646,30 @@ def _tagged_alerts(spark, sf_dir):
 
 # Reports -------------------------------------------------------------------------------
 
+
+@query("stored_report", f"""WITH {T.FW_EVENTS} SELECT source_address, count(*) AS count FROM fw_events
+  WHERE ts >= TIMESTAMP '2024-01-05 06:00:00' AND ts < TIMESTAMP '2024-01-12' AND source_address IS NOT NULL
+  GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 15""")
+def _stored_report(spark, sf_dir):
+    """A report on one week of a store by days opens only that week's folders."""
+    path = stage_path(spark, "store-by-day")
+    sinks.write_event_store(event_store(spark, sf_dir), path)
+    week = sinks.read_event_store(spark, path, dt.datetime(2024, 1, 5, 6), dt.datetime(2024, 1, 12))
+    return reports.top_source_ips(week)
+
+
+@query("geo_rejects", "SELECT 'an end is no address' AS reason, count(*) AS ranges FROM supplier WHERE s_suppkey % 3 = 0 "
+                      "UNION ALL SELECT 'ends of two families', count(*) FROM supplier WHERE s_suppkey % 3 = 1")
+def _geo_rejects(spark, sf_dir):
+    """Ranges with one end that is no address, or of another family; every third one is right."""
+    n = F.col("s_suppkey") % 250
+    rows = S.table(spark, sf_dir, "supplier").select(
+        F.concat(F.lit("10.0.0."), n.cast("string")).alias("ip_lo"),
+        F.when(F.col("s_suppkey") % 3 == 0, "none").when(F.col("s_suppkey") % 3 == 1, "2001::1").otherwise("10.0.1.0").alias("ip_hi"),
+    )
+    return rejected_ranges(rows).groupBy("reason").agg(F.count("*").alias("ranges"))
+
+
 _HOUR = "strftime(date_trunc('hour', ts), '%Y-%m-%d %H:%M:%S')"
 _SPINE = f"""hours AS (SELECT date_trunc('hour', ts) AS h, count(*) AS n FROM found GROUP BY 1),
 spine AS (SELECT unnest(generate_series(min(h), max(h), INTERVAL 1 HOUR)) AS h FROM hours)"""

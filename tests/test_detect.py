@@ -12,7 +12,7 @@ from tidewatch.operators.indicators import build_indicators, feed_union, indicat
 from tidewatch.operators.iocs import extract_iocs
 from tidewatch.operators.match import match_indicators, regroup_hits
 from tidewatch.plans.enrich import Settings, enrich, enrich_firewall, enrich_packets
-from tidewatch.plans.joins import Lookup
+from tidewatch.plans.joins import Lookup, heavy_keys
 from tidewatch.schema import ENRICHMENT_FIELD
 from tidewatch.sources.readers import clean_feed, feed_id, parse_packets, read_feeds, read_geo
 
@@ -115,7 +115,7 @@ def test_salted_join_equals_broadcast_join(spark):
     lookup = Lookup(spark.createDataFrame([("hot", 1, 5), ("k1", 2, 9), ("k2", 3, 0)], "k string, v int, lo int"), "t")
     assert 0 < lookup.bytes < 1000
     for how in ("inner", "left", "left_semi"):
-        small, big = (lookup.join(facts, ["k"], how, "event_id", limit=limit) for limit in (10**9, 0))
+        small, big = (lookup.join(facts, ["k"], how, "event_id", limit=limit, heavy_rows=1000) for limit in (10**9, 0))
         assert "Broadcast" in small._jdf.queryExecution().executedPlan().toString()
         assert sorted(map(str, small.collect())) == sorted(map(str, big.select(*small.columns).collect()))
     near = F.col("l.event_id") > F.col("r.lo")
@@ -123,6 +123,20 @@ def test_salted_join_equals_broadcast_join(spark):
     assert counts[0] == counts[1] > 6000
 
 
+def test_only_heavy_keys_are_split(spark):
+    key = F.when(F.col("id") % 2 == 0, "hot").otherwise(F.concat(F.lit("k"), F.col("id") % 997))
+    facts = spark.range(80_000).select(F.col("id").alias("event_id"), key.alias("k"))
+    assert [r.k for r in heavy_keys(facts, ["k"], 1000).collect()] == ["hot"] and heavy_keys(facts, ["k"], 50_000).count() == 0
+    lookup = Lookup(facts.select("k", F.lit(1).alias("v")).distinct(), "t")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        joined = lookup.join(facts, ["k"], "inner", "event_id", limit=0, heavy_rows=1000)
+        parts = [r["count"] for r in joined.groupBy(F.spark_partition_id()).count().collect()]
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert sum(parts) == 80_000 and max(parts) <= 2 * sum(parts) / 8
+
+
 def hunted(spark, *values, pack=None):
     rows = hunt(texts(spark, *values), flat_view({"t": "t"}), *([pack] if pack else [])).orderBy("event_id").collect()
     return [r.threat_hunting for r in rows]

@@ -2,10 +2,12 @@
 
 import datetime as dt
 import json
+import os
 
 from pyspark.sql import functions as F
 
 from tidewatch.operators import alerts, reports, routing
+from tidewatch.plans.enrich import enrich_firewall
 from tidewatch.schema import ENRICHMENT_FIELD, ENRICHMENT_TYPE
 from tidewatch.sources import readers, sinks
 from tidewatch.sources.snapshots import newest_version, publish_snapshot, read_snapshot
@@ -31,12 +33,17 @@ def test_lines_and_json_sources(spark, tmp_path):
     rows = readers.read_log_lines(spark, str(tmp_path / "l.txt")).collect()
     assert [r.raw for r in rows] == ["one", "� two"] and len({r.event_id for r in rows}) == 2
     (tmp_path / "j.txt").write_text('{"message":"m","timestamp":"2030-01-02T00:00:00Z","n":1}\n{bad\n')
+    (tmp_path / "l2.txt").write_text("one\n")
+    again = readers.read_log_lines(spark, str(tmp_path / "l.txt")).collect()
+    other = readers.read_log_lines(spark, str(tmp_path / "l2.txt"), options={"encoding": "UTF-8"}).collect()
+    assert {r.event_id for r in again} == {r.event_id for r in rows} and other[0].event_id not in {r.event_id for r in rows}
     good, bad = readers.read_alerts(spark, str(tmp_path / "j.txt"))
     assert good.first()["log_type"] == "wazuh_alert" and [r.raw for r in bad.collect()] == ["{bad"]
     routed = routing.route(readers.json_columns(good))
     assert routed.first()["index_name"] == "wazuh-alerts-2030.01.02"
     sinks.write_routed(routed, str(tmp_path / "out"))
-    assert json.loads(spark.read.text(str(tmp_path / "out")).first()["value"])["n"] == 1
+    written = json.loads(spark.read.text(str(tmp_path / "out")).first()["value"])
+    assert written == {"message": "m", "timestamp": "2030-01-02T00:00:00Z", "n": 1, "log_type": "wazuh_alert", "@timestamp": "2030-01-02T00:00:00+00:00"}
     good, _ = readers.read_events_json(spark, str(tmp_path / "j.txt"))
     assert good.first()["log_type"] == "prodepa_json"
 
@@ -79,6 +86,25 @@ def test_reports(spark):
     assert empty.count() == 0
 
 
+def test_topic_records_are_named_by_their_offset(spark):
+    records = spark.createDataFrame([("t", 0, i, f"line {i % 2}".encode()) for i in range(4)], "topic string, partition int, offset long, value binary").withColumn("timestamp", F.current_timestamp())
+    lines = readers.with_event_ids(readers.clean_lines(readers.topic_columns(records)))
+    assert len({r.event_id for r in lines.collect()}) == 4 and {r.event_id for r in lines.collect()} == {r.event_id for r in lines.repartition(3).collect()}
+
+
+def test_a_far_off_time_does_not_break_the_timeline(spark):
+    rows = spark.sql("select timestamp'2030-01-01 00:10:00' as ingest_ts union all select timestamp'2230-01-01 00:10:00'")
+    assert reports.events_over_time(rows).agg(F.count("*"), F.sum("count")).first()[:] == ((dt.date(2230, 1, 1) - dt.date(2030, 1, 1)).days * 24 + 1, 2)
+
+
+def test_staged_tables_of_a_run_are_removed(spark):
+    lines = spark.createDataFrame([(1, "no log")], "event_id bigint, raw string")
+    indicators = spark.createDataFrame([], "kind string, value string, sources array<string>, source_count int, last_updated timestamp")
+    with enrich_firewall(lines, indicators) as run:
+        assert run.rejects.count() == 1 and all(os.path.isdir(p.removeprefix("file:")) for p in run.paths) and len(run.paths) > 2
+    assert not any(os.path.isdir(p.removeprefix("file:")) for p in run.paths)
+
+
 def test_alerts(spark):
     frame = enriched(spark, [(t, "s", "a", 1, True, False, ["r"]) for t in (0, 59, 60, 61, 299, 301, 900)])
     runs = {r.run_ts.minute: (r.new_hits, r.window_hits) for r in alerts.alert_runs(frame, alerts.IOC_ALERT).collect()}

@@ -6,11 +6,11 @@ import os
 
 from pyspark.sql import functions as F
 
-from tidewatch.operators import alerts
+from tidewatch.operators import alerts, reports
 from tidewatch.operators.behavior import behavior
 from tidewatch.plans.enrich import Settings
 from tidewatch.session import work_dir
-from tidewatch.sources import readers
+from tidewatch.sources import readers, sinks
 from tidewatch.sources.snapshots import publish_snapshot
 from tidewatch.streaming.state import batch_behavior
 from tidewatch.streaming.streams import StreamPaths, stream_alert_runs, stream_behavior, stream_enrich, stream_enrich_packets
@@ -36,6 +36,34 @@ def staged(spark):
     return {n for n in (os.listdir(folder) if os.path.isdir(folder) else []) if n.startswith("stream")}
 
 
+def test_stream_feeds_alerts_and_reports_through_the_store(spark, tmp_path):
+    source, intel, store = tmp_path / "in", str(tmp_path / "intel"), str(tmp_path / "store")
+    source.mkdir()
+    publish_snapshot(indicator_table(spark), intel)
+    lines = readers.read_log_lines(spark, str(source), streaming=True, options={"maxFilesPerTrigger": "1"})
+    where = StreamPaths(**{**vars(paths(str(tmp_path / "out"))), "store": store})
+    for name, count in (("a.txt", 3), ("b.txt", 2)):
+        (source / name).write_text("\n".join([common(p8="9.9.9.9")] * count) + "\n")
+    drain(stream_enrich(lines, intel, where, trigger={"availableNow": True}))
+    stored = sinks.read_event_store(spark, store)
+    assert stored.count() == 5 and stored.select("event_id").distinct().count() == 5
+    assert [(r.source_address, r["count"]) for r in reports.top_blocklisted_sources(stored).collect()][0][1] == 5
+    raw = spark.read.parquet(store)
+    source_stream = spark.readStream.schema(raw.schema).parquet(store)
+    # Two marks far later close the windows of the events.
+    late = raw.limit(1).withColumn("ingest_ts", F.col("ingest_ts") + F.expr("interval 1 day")).drop("batch", "day")
+    runs = alerts.IOC_ALERT
+    query = stream_alert_runs(source_stream, runs, "ingest_ts").writeStream.format("memory").queryName("stored_runs").outputMode("append").option(
+        "checkpointLocation", str(tmp_path / "alerts")).start()
+    try:
+        query.processAllAvailable()
+        sinks.write_event_store(late, f"{store}/batch=90")
+        query.processAllAvailable()
+    finally:
+        query.stop()
+    assert spark.table("stored_runs").agg(F.sum("new_hits")).first()[0] == 5
+
+
 def paths(root):
     return StreamPaths(events=f"{root}/events", state=f"{root}/state", checkpoint=f"{root}/checkpoint", rejects=f"{root}/rejects", siem=f"{root}/siem")
 

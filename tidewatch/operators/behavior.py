@@ -160,24 +160,31 @@ def merge_counts(*parts: DataFrame) -> DataFrame:
 def sliding_counts(keyed: DataFrame, minutes: int) -> DataFrame:
     """(kind, key, ts, events, in_window): per key and time, events of the last ``minutes``.
 
-    Both ends are included. Equal times are counted together first. Every time then goes to
-    the slice of that length it lies in and, as history only, to the next one, so a busy key
-    is spread over as many tasks as there are slices.
+    Both ends are included. Equal times are counted together first. A window holds what the
+    key has up to its time less what it has before its start, so each time is taken twice: with
+    its events, and as a mark at the start. Running sums are made as in ``running_counts``:
+    on ranges of (kind, key, time), which cut a busy key into many slices.
     """
     width = minutes * 60_000_000
-    per_time = keyed.groupBy("kind", "key", "ts").agg(F.count("*").alias("events")).withColumn(
-        "at", F.unix_micros("ts")
-    )
-    own = F.floor(F.col("at") / width)
-    copies = F.inline(F.array(
-        F.struct(own.alias("slice"), F.lit(True).alias("own")),
-        F.struct((own + 1).alias("slice"), F.lit(False).alias("own")),
+    per_time = keyed.groupBy("kind", "key", "ts").agg(F.count("*").alias("events")).withColumn("us", F.unix_micros("ts"))
+    # A mark comes before events of its time, as these belong to the window.
+    twice = F.inline(F.array(
+        F.struct(F.col("us").alias("at"), F.lit(True).alias("own"), F.col("events").alias("n")),
+        F.struct((F.col("us") - width).alias("at"), F.lit(False).alias("own"), F.lit(0).cast("bigint").alias("n")),
     ))
-    window = (
-        Window.partitionBy("kind", "key", "slice").orderBy("at").rangeBetween(-width, Window.currentRow)
+    marked = per_time.select("kind", "key", "ts", "events", twice)
+    slices = stage(
+        marked.repartitionByRange("kind", "key", "at", "own").withColumn("slice", F.spark_partition_id()), "window-slices"
+    )
+    earlier = Window.partitionBy("kind", "key").orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
+    # Only the first key of a slice goes on from earlier ones, so these are fewer rows than slices.
+    carried = (
+        slices.groupBy("slice", "kind", "key").agg(F.sum("n").alias("n"))
+        .select("slice", "kind", "key", F.sum("n").over(earlier).alias("carried")).where(F.col("carried").isNotNull())
     )
-    return (
-        per_time.select("kind", "key", "ts", "at", "events", copies)
-        .withColumn("in_window", F.sum("events").over(window))
-        .where("own").select("kind", "key", "ts", "events", "in_window")
+    so_far = F.sum("n").over(Window.partitionBy("slice", "kind", "key").orderBy("at", "own").rowsBetween(Window.unboundedPreceding, 0))
+    sums = slices.join(F.broadcast(carried), ["slice", "kind", "key"], "left").withColumn("upto", so_far + F.coalesce("carried", F.lit(0)))
+    return sums.groupBy("kind", "key", "ts").agg(
+        F.max(F.when(F.col("own"), F.col("events"))).alias("events"),
+        (F.max(F.when(F.col("own"), F.col("upto"))) - F.max(F.when(~F.col("own"), F.col("upto")))).alias("in_window"),
     )

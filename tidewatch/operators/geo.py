@@ -18,17 +18,31 @@ def _shared_digits(lo: Column, hi: Column) -> Column:
     ))
 
 
+def _keyed(geo: DataFrame) -> DataFrame:
+    return geo.withColumn("lo", ip_key(F.col("ip_lo"))).withColumn("hi", ip_key(F.col("ip_hi")))
+
+
+def rejected_ranges(geo: DataFrame) -> DataFrame:
+    """The rows that ``prepare_geo`` can't use, each with its ``reason``."""
+    return _keyed(geo).withColumn(
+        "reason",
+        F.when(F.col("lo").isNull() | F.col("hi").isNull(), "an end is no address")
+        .when(F.length("lo") != F.length("hi"), "ends of two families")
+        .when(F.col("lo") > F.col("hi"), "ends in the wrong order"),
+    ).where("reason IS NOT NULL").drop("lo", "hi")
+
+
 def prepare_geo(geo: DataFrame) -> DataFrame:
     """Range table -> (family, depth, bucket, lo, hi, place).
 
     A range is filed under the digits its ends share. Ranges that share exactly ``depth``
     digits each cross a boundary of the next digit, so a bucket holds at most 16 ranges of
-    any disjoint set, and no range is ever copied.
+    any disjoint set, and no range is ever copied. ``rejected_ranges`` lists the rows left out.
     """
-    keyed = geo.withColumn("lo", ip_key(F.col("ip_lo"))).withColumn("hi", ip_key(F.col("ip_hi")))
+    keyed = _keyed(geo)
     placed = F.col("lat").isNotNull() & F.col("lon").isNotNull()
     return (
-        keyed.where(F.length("lo") == F.length("hi"))
+        keyed.where((F.length("lo") == F.length("hi")) & (F.col("lo") <= F.col("hi")))
         .withColumn("depth", _shared_digits(F.col("lo"), F.col("hi")))
         .select(
             F.length("lo").alias("family"), "depth", F.left("lo", "depth").alias("bucket"), "lo", "hi",
@@ -48,17 +62,25 @@ def prepare_geo(geo: DataFrame) -> DataFrame:
 def locate_addresses(addresses: DataFrame, geo: DataFrame) -> DataFrame:
     """``addresses(address)``, distinct -> (address, place) of the narrowest range around each.
 
-    An equi-join on (family, depth, bucket): an address looks under each prefix of its key.
+    An equi-join on (family, depth, bucket): an address looks under those prefixes of its key
+    whose depth the table has; there are 42 depths at most.
     """
+    ranges = Lookup(prepare_geo(geo), "geo")
+    depths: dict[int, list[int]] = {}
+    for row in ranges.table.select("family", "depth").distinct().collect():
+        depths.setdefault(row["family"], []).append(row["depth"])
+    probed = F.array().cast("array<int>")
+    for family, some in depths.items():
+        probed = F.when(F.length("key") == family, F.array(*[F.lit(d) for d in sorted(some)])).otherwise(probed)
     keyed = addresses.where(is_public_ip(F.col("address"))).select(
         "address", ip_key(F.col("address")).alias("key")
     )
     probes = keyed.select(
         "address", "key", F.length("key").alias("family"),
-        F.explode(F.sequence(F.lit(0), F.length("key"))).alias("depth"),
+        F.explode(probed).alias("depth"),
     ).withColumn("bucket", F.left("key", "depth"))
     around = F.col("l.key").between(F.col("r.lo"), F.col("r.hi"))
-    hits = Lookup(prepare_geo(geo), "geo").join(
+    hits = ranges.join(
         probes, ["family", "depth", "bucket"], "inner", spread_by="address", extra=around
     )
     # Of nested ranges the narrowest starts last and, at the same start, ends first.

@@ -11,7 +11,11 @@ STATUS = "blocklisted"
 
 
 def indicator_lookup(indicators: DataFrame) -> Lookup:
-    return Lookup(indicators.select("kind", "value", "sources", "source_count"), "indicators")
+    """The indicators, worked out and written once; ``seen`` has the time of their last update."""
+    table = indicators.select("kind", "value", "sources", "source_count", "last_updated")
+    lookup = Lookup(table, "indicators", last_updated=F.max("last_updated"))
+    lookup.table = lookup.table.drop("last_updated")
+    return lookup
 
 
 def match_indicators(

@@ -37,17 +37,26 @@ def top_terms(events: DataFrame, col: str | Column, k: int, other: bool = False,
 
 
 def histogram(events: DataFrame, bucket: str = "1 hour", time_col: str = TIME, empty: bool = False) -> DataFrame:
-    """(bucket, count) by event time; ``empty`` also lists buckets without events."""
+    """(bucket, count) by event time; ``empty`` also lists buckets without events.
+
+    For a report on some time, give it the events of that time (``read_event_store``): the
+    buckets go from the first event to the last.
+    """
     start = F.window(F.col(time_col).cast("timestamp"), bucket).start
     counts = events.select(start.alias("bucket")).groupBy("bucket").agg(F.count("*").alias("count"))
     return _with_empty(counts, bucket) if empty else counts
 
 
 def _with_empty(counts: DataFrame, bucket: str) -> DataFrame:
-    """Add the buckets between the first and the last that have no events."""
-    spine = counts.agg(F.min("bucket").alias("lo"), F.max("bucket").alias("hi")).where(
-        F.col("lo").isNotNull()
-    ).select(F.explode(F.sequence("lo", "hi", F.expr(f"interval {bucket}"))).alias("bucket"))
+    """Add the buckets between the first and the last that have no events.
+
+    They are listed a thousand at a time: one far-off time is many rows, but not one huge array.
+    """
+    step = F.expr(f"interval {bucket}")
+    ends = counts.agg(F.min("bucket").alias("lo"), F.max("bucket").alias("hi")).where(F.col("lo").isNotNull())
+    blocks = ends.select("hi", F.explode(F.sequence("lo", "hi", step * 1000)).alias("from"))
+    last = F.least(F.col("hi"), F.col("from") + step * 999)
+    spine = blocks.select(F.explode(F.sequence("from", last, step)).alias("bucket"))
     return spine.join(counts, "bucket", "left").select(
         "bucket", F.coalesce("count", F.lit(0).cast("bigint")).alias("count")
     )

@@ -23,7 +23,7 @@ from tidewatch.operators.normalize_packets import normalize_packets, packet_text
 from tidewatch.operators.reports import stage_metrics
 from tidewatch.operators.siem import format_siem_syslog
 from tidewatch.schema import ENRICHMENT_FIELD, ENRICHMENT_TYPE, GEO_PLACE
-from tidewatch.session import stage
+from tidewatch.session import remove, stage, staged_paths
 
 
 @dataclass(frozen=True)
@@ -34,6 +34,11 @@ class Settings:
     threshold: int = BEHAVIOR_THRESHOLD
     window_minutes: int = BEHAVIOR_WINDOW_MINUTES
     enrich: bool = True
+    # The time that behaviour counts follow; by default an event's own, and else that of its arrival.
+    time_col: str | None = None
+
+    def time(self, *columns: str) -> Column:
+        return F.coalesce(*[F.col(c).cast("timestamp") for c in ([self.time_col] if self.time_col else columns)])
 
 
 DEFAULTS = Settings()
@@ -48,7 +53,7 @@ def assemble(
     detected: DataFrame,
     indicators: DataFrame,
     geo: DataFrame | None,
-    time_col: str,
+    time: str | Column,
     settings: Settings = DEFAULTS,
     flags: DataFrame | None = None,
 ) -> DataFrame:
@@ -62,9 +67,8 @@ def assemble(
     lookup = indicator_lookup(indicators)
     hits = match_indicators(detected.select("event_id", F.inline("_iocs")), lookup)
     if flags is None:
-        flags = behavior(
-            detected, time_col, threshold=settings.threshold, window_minutes=settings.window_minutes
-        )
+        timed = detected.withColumn("_at", F.col(time) if isinstance(time, str) else time)
+        flags = behavior(timed, "_at", threshold=settings.threshold, window_minutes=settings.window_minutes)
     findings = hits.select("event_id", "kind", "ord", "value", "sources", "source_count").unionByName(
         flags.select("event_id", F.concat(F.lit("high_frequency_"), "kind").alias("kind"), "count"),
         allowMissingColumns=True,
@@ -109,8 +113,7 @@ def assemble(
             "malicious_domains", "malicious_hashes", "malicious_ips", "malicious_urls")]),
             F.col("ioc")).alias("_matches"),
     )
-    updated = indicators.agg(F.max("last_updated").alias("at")).first()["at"]
-    stamp = rfc3339(F.lit(updated or dt.datetime.now(dt.timezone.utc)))
+    stamp = rfc3339(F.lit(lookup.seen["last_updated"] or dt.datetime.now(dt.timezone.utc)))
     return (
         detected.drop("_iocs").join(shaped, "event_id", "left")
         .withColumn(
@@ -133,22 +136,37 @@ def enrich(
     view: TextView,
     indicators: DataFrame,
     geo: DataFrame | None,
-    time_col: str,
+    time: str | Column,
     settings: Settings = DEFAULTS,
 ) -> DataFrame:
     """Attach ``forwarder_enrichment`` to any event table with an ``event_id``."""
     if not settings.enrich:
         return events
-    return assemble(stage(detect(events, view, settings.pack), "detected"), indicators, geo, time_col, settings)
+    return assemble(stage(detect(events, view, settings.pack), "detected"), indicators, geo, time, settings)
 
 
 @dataclass(frozen=True)
 class FirewallRun:
-    """Results of ``enrich_firewall``, all read from one staged pass over the lines."""
+    """Results of ``enrich_firewall``, all read from one staged pass over the lines.
+
+    ``paths`` are the staged tables; ``close``, or the end of a ``with`` block, removes them
+    once the results are written.
+    """
 
     events: DataFrame
     rejects: DataFrame
     settings: Settings
+    paths: tuple[str, ...] = ()
+
+    def close(self) -> None:
+        for path in self.paths:
+            remove(self.events.sparkSession, path)
+
+    def __enter__(self) -> FirewallRun:
+        return self
+
+    def __exit__(self, *_) -> None:
+        self.close()
 
     def siem_lines(self) -> DataFrame:
         return format_siem_syslog(self.events)
@@ -170,14 +188,14 @@ def enrich_firewall(
     are two filters on it.
     """
     classified = classify_lines(lines)
-    if not settings.enrich:
-        return FirewallRun(
-            accepted(classified).withColumn(ENRICHMENT_FIELD, F.lit(None).cast(ENRICHMENT_TYPE)),
-            rejected(classified), settings,
-        )
-    staged = stage(detect(classified, firewall_text(), settings.pack), "firewall")
-    events = assemble(accepted(staged), indicators, geo, "ingest_ts", settings)
-    return FirewallRun(events, rejected(staged), settings)
+    with staged_paths() as paths:
+        if settings.enrich:
+            staged = stage(detect(classified, firewall_text(), settings.pack), "firewall")
+            events = assemble(accepted(staged), indicators, geo, settings.time("event_ts", "ingest_ts"), settings)
+        else:
+            staged = stage(classified, "firewall")
+            events = accepted(staged).withColumn(ENRICHMENT_FIELD, F.lit(None).cast(ENRICHMENT_TYPE))
+    return FirewallRun(events, rejected(staged), settings, tuple(paths))
 
 
 def enrich_packets(
@@ -185,7 +203,7 @@ def enrich_packets(
 ) -> DataFrame:
     """Packet JSON -> enriched flow events. Behaviour counts follow the packet's own time."""
     flows = normalize_packets(packets)
-    return enrich(flows, packet_text(), indicators, geo, "event_ts", settings)
+    return enrich(flows, packet_text(), indicators, geo, settings.time("event_ts"), settings)
 
 
 def refresh_indicators(

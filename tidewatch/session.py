@@ -90,6 +90,19 @@ def staging_scope(spark: SparkSession) -> Iterator[None]:
             remove(spark, path)
 
 
+@contextmanager
+def staged_paths() -> Iterator[list[str]]:
+    """List the tables staged inside the block; its user removes them when they are no longer read."""
+    outer = getattr(_scopes, "paths", None)
+    _scopes.paths = mine = []
+    try:
+        yield mine
+    finally:
+        _scopes.paths = outer
+        if outer is not None:
+            outer.extend(mine)
+
+
 def remove(spark: SparkSession, path: str) -> None:
     """Delete a folder this package wrote, on whatever file system it is."""
     folder = spark._jvm.org.apache.hadoop.fs.Path(path)

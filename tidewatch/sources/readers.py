@@ -25,31 +25,55 @@ def clean_lines(lines: DataFrame, raw: str = "raw") -> DataFrame:
     return lines.withColumn(raw, strip(F.make_valid_utf8(F.col(raw)))).where(F.col(raw) != "")
 
 
-def _text(spark: SparkSession, path: str | list[str], streaming: bool) -> DataFrame:
-    reader = spark.readStream if streaming else spark.read
-    return reader.text(path).select(F.col("value").alias("raw"), F.col("_metadata.file_path").alias("src_file"))
+def _text(spark: SparkSession, path: str | list[str], streaming: bool, options: dict[str, str] | None) -> DataFrame:
+    reader = (spark.readStream if streaming else spark.read).options(**(options or {}))
+    return reader.text(path).select(
+        F.col("value").alias("raw"), F.col("_metadata.file_path").alias("src_file"),
+        F.col("_metadata.file_block_start").alias("src_block"),
+    )
+
+
+# Where a line comes from, as far as its reader says so.
+PLACE_COLUMNS = ("src_file", "src_block", "src_topic", "src_partition", "src_offset")
 
 
 def with_event_ids(lines: DataFrame) -> DataFrame:
-    """Number the lines by their place in the scan.
+    """Name every line by a hash of where it comes from: file, block and place in the scan, or topic and offset.
 
-    The number is fixed for one scan. Jobs that read the lines in several branches stage
-    them first, as ``enrich_firewall`` does; streams number every micro-batch.
+    Lines of different files or offsets get different ids, so tables written by many runs
+    and micro-batches can be joined by them. Jobs that read the lines in several branches
+    stage them first, as ``enrich_firewall`` does.
     """
-    return lines.withColumn("event_id", F.monotonically_increasing_id())
+    places = [c for c in PLACE_COLUMNS if c in lines.columns]
+    row = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+    counted = [] if "src_offset" in places else [row, F.col("raw")]
+    return lines.withColumn("event_id", F.xxhash64(*places, *counted))
 
 
-def read_log_lines(spark: SparkSession, path: str | list[str], streaming: bool = False) -> DataFrame:
-    """(raw, src_file, ingest_ts[, event_id]): one row per line that is not blank."""
-    lines = clean_lines(_text(spark, path, streaming)).withColumn("ingest_ts", F.current_timestamp())
+def read_log_lines(
+    spark: SparkSession, path: str | list[str], streaming: bool = False, options: dict[str, str] | None = None
+) -> DataFrame:
+    """(raw, src_file, src_block, ingest_ts[, event_id]): one row per line that is not blank.
+
+    ``options`` go to the reader; for a stream, ``maxFilesPerTrigger`` bounds a micro-batch.
+    """
+    lines = clean_lines(_text(spark, path, streaming, options)).withColumn("ingest_ts", F.current_timestamp())
     return lines if streaming else with_event_ids(lines)
 
 
 def read_topic_lines(spark: SparkSession, options: dict[str, str], streaming: bool = True) -> DataFrame:
     """Lines from a message topic; needs the Kafka connector of Spark on the class path."""
     reader = (spark.readStream if streaming else spark.read).format("kafka").options(**options)
-    lines = reader.load().select(F.col("value").cast("string").alias("raw"), F.col("timestamp").alias("ingest_ts"))
-    return clean_lines(lines)
+    lines = clean_lines(topic_columns(reader.load()))
+    return lines if streaming else with_event_ids(lines)
+
+
+def topic_columns(records: DataFrame) -> DataFrame:
+    """Records of a topic as lines, with the place that names them."""
+    return records.select(
+        F.col("value").cast("string").alias("raw"), F.col("timestamp").alias("ingest_ts"), F.col("topic").alias("src_topic"),
+        F.col("partition").alias("src_partition"), F.col("offset").alias("src_offset"),
+    )
 
 
 def parse_packets(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -63,8 +87,8 @@ def parse_packets(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
     return good, parsed.where(F.col("packet").isNull()).select("event_id", "raw")
 
 
-def read_packets(spark: SparkSession, path: str | list[str], streaming: bool = False) -> tuple[DataFrame, DataFrame]:
-    return parse_packets(read_log_lines(spark, path, streaming))
+def read_packets(spark: SparkSession, path: str | list[str]) -> tuple[DataFrame, DataFrame]:
+    return parse_packets(read_log_lines(spark, path))
 
 
 def clean_feed(lines: DataFrame) -> DataFrame:
