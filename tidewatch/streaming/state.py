@@ -1,28 +1,61 @@
-"""Behaviour counts across the micro-batches of a stream, kept as small versioned tables."""
+"""Behaviour counts across the micro-batches of a stream, kept as small versioned tables.
+
+A batch writes only the keys it has seen, under its own number: their counts since the epoch
+began. Counts never fall within an epoch, so a key's count is the largest of those written
+since; every COMPACT batches they are put together in a base table. Tables are split into
+buckets of keys, and a batch reads the buckets of its own keys. When an epoch ends, everything
+written before is no longer referred to and goes.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from tidewatch.functions.rules import BEHAVIOR_THRESHOLD, BEHAVIOR_WINDOW_MINUTES
-from tidewatch.operators.behavior import activity_epochs, behavior_keys, flagged, merge_counts, running_counts
+from tidewatch.operators.behavior import activity_epochs, behavior_keys, flagged, running_counts
 from tidewatch.plans.joins import Lookup
 from tidewatch.session import remove, stage
 
-KEPT = 3
+BUCKETS = 256
+COMPACT = 16
+_COUNTS = "kind string, key string, count bigint, bucket int"
+_CLOCK = "last_us bigint, epoch_us bigint, base bigint, first bigint"
 
 
 def _path(root: str, batch_id: int) -> str:
     return f"{root}/after={batch_id}"
 
 
-def _read(spark: SparkSession, root: str, batch_id: int) -> tuple[DataFrame, object] | None:
-    """Counts left by an earlier batch and its row (last_us, epoch_us); None at the start."""
-    if batch_id < 0:
-        return None
-    counts = spark.read.parquet(f"{_path(root, batch_id)}/counts")
-    return counts, spark.read.parquet(f"{_path(root, batch_id)}/clock").first()
+def _bucket() -> Column:
+    return F.pmod(F.xxhash64("kind", "key"), F.lit(BUCKETS)).cast("int").alias("bucket")
+
+
+def _clock(spark: SparkSession, root: str, batch_id: int) -> Row | None:
+    """What a batch has left: the newest time, the running epoch, and which tables hold its counts."""
+    return spark.read.schema(_CLOCK).parquet(f"{_path(root, batch_id)}/clock").first() if batch_id >= 0 else None
+
+
+def _tables(root: str, clock: Row | None, batch_id: int) -> list[str]:
+    """The tables that hold the counts after ``batch_id``."""
+    if clock is None or clock["epoch_us"] is None:
+        return []
+    base = [f"{_path(root, clock['base'])}/base"] if clock["base"] is not None else []
+    return base + [f"{_path(root, n)}/counts" for n in range(clock["first"], batch_id + 1)]
+
+
+def _folders(root: str, clock: Row | None, batch_id: int) -> set[str]:
+    return {table.rpartition("/")[0] for table in _tables(root, clock, batch_id)} | {_path(root, batch_id)}
+
+
+def stored_counts(spark: SparkSession, tables: list[str], buckets: list[int] | None = None) -> DataFrame:
+    """(kind, key, count) over the tables, of some buckets or all."""
+    rows = spark.createDataFrame([], _COUNTS)
+    for table in tables:
+        rows = rows.unionByName(spark.read.schema(_COUNTS).parquet(table))
+    if buckets is not None:
+        rows = rows.where(F.col("bucket").isin(buckets))
+    return rows.groupBy("kind", "key").agg(F.max("count").alias("count"))
 
 
 def batch_behavior(
@@ -36,12 +69,11 @@ def batch_behavior(
     """(event_id, kind, key, count) above the threshold, counting on from earlier batches.
 
     The counts equal those of one batch job over all events, as long as no batch holds
-    events older than the batch before it. State is one row per key of the running epoch; it is
-    written under the batch's number, so a repeated batch starts from the same state.
+    events older than the batch before it. State is written under the batch's number, so a
+    repeated batch starts from the same state.
     """
     spark = events.sparkSession
-    earlier = _read(spark, root, batch_id - 1)
-    clock = earlier[1] if earlier else None
+    clock = _clock(spark, root, batch_id - 1)
     minutes = stage(activity_epochs(events, time_col, window_minutes), "stream-epochs")
     span = minutes.agg(
         F.min(F.unix_micros("first_ts")).alias("first_us"), F.min(F.unix_micros("epoch")).alias("opening_us"),
@@ -50,16 +82,19 @@ def batch_behavior(
     times = events.agg(F.max(F.unix_micros(F.col(time_col).cast("timestamp"))).alias("last_us")).first()
     if span["first_us"] is None:
         # No events: the state goes on as it is.
-        _write(spark, root, batch_id, earlier[0] if earlier else None,
-               clock["last_us"] if clock else None, clock["epoch_us"] if clock else None)
+        old = (clock["last_us"], clock["epoch_us"], clock["base"], clock["first"]) if clock else (None, None, None, batch_id)
+        _write(spark, root, batch_id, spark.createDataFrame([], "kind string, key string, count bigint"), old)
         return spark.createDataFrame([], _flag_schema(events))
     silence = (window_minutes + 1) * 60_000_000
     goes_on = clock is not None and clock["last_us"] is not None and span["first_us"] - clock["last_us"] < silence
     counts = stage(running_counts(behavior_keys(events, time_col), minutes), "stream-counts")
+    opening = F.unix_micros("epoch") == span["opening_us"]
     if goes_on:
-        base = earlier[0].select("kind", "key", F.col("count").alias("base"))
+        seen = counts.where(opening).select("kind", "key").distinct()
+        buckets = sorted(r["bucket"] for r in seen.select(_bucket()).distinct().collect())
+        before = stored_counts(spark, _tables(root, clock, batch_id - 1), buckets).join(seen, ["kind", "key"], "left_semi")
+        base = before.select("kind", "key", F.col("count").alias("base"))
         counts = Lookup(base, "stream-base").join(counts, ["kind", "key"], "left", spread_by="event_id")
-        opening = F.unix_micros("epoch") == span["opening_us"]
         counts = counts.withColumn(
             "count", F.col("count") + F.when(opening, F.coalesce("base", F.lit(0))).otherwise(0)
         ).drop("base")
@@ -68,13 +103,11 @@ def batch_behavior(
         .groupBy("kind", "key").agg(F.max("count").alias("count"))
     )
     if goes_on and span["opening_us"] == span["epoch_us"]:
-        unseen = earlier[0].join(newest, ["kind", "key"], "left_anti")
-        newest = merge_counts(newest, unseen)
-        epoch_us = clock["epoch_us"]
+        kept = (clock["epoch_us"], clock["base"], clock["first"])
     else:
-        epoch_us = span["epoch_us"]
+        kept = (span["epoch_us"], None, batch_id)
     last_us = max(times["last_us"], clock["last_us"] if goes_on else times["last_us"])
-    _write(spark, root, batch_id, newest, last_us, epoch_us)
+    _write(spark, root, batch_id, newest, (last_us, *kept))
     return flagged(counts, threshold).select("event_id", "kind", "key", "count")
 
 
@@ -82,12 +115,21 @@ def _flag_schema(events: DataFrame) -> str:
     return f"event_id {events.schema['event_id'].dataType.simpleString()}, kind string, key string, count bigint"
 
 
-def _write(spark, root: str, batch_id: int, counts: DataFrame | None, last_us, epoch_us) -> None:
-    if counts is None:
-        counts = spark.createDataFrame([], "kind string, key string, count bigint")
-    counts.write.mode("overwrite").parquet(f"{_path(root, batch_id)}/counts")
-    clock = spark.createDataFrame([(last_us, epoch_us)], "last_us bigint, epoch_us bigint")
-    clock.write.mode("overwrite").parquet(f"{_path(root, batch_id)}/clock")
+def _save(counts: DataFrame, path: str) -> None:
+    counts.select("kind", "key", "count", _bucket()).hint("rebalance", "bucket").write.mode("overwrite").partitionBy("bucket").parquet(path)
+
+
+def _write(spark: SparkSession, root: str, batch_id: int, newest: DataFrame, clock: tuple) -> None:
+    last_us, epoch_us, base, first = clock
+    _save(newest, f"{_path(root, batch_id)}/counts")
+    if batch_id - first >= COMPACT:
+        tables = _tables(root, Row(epoch_us=epoch_us, base=base, first=first), batch_id)
+        _save(stored_counts(spark, tables), f"{_path(root, batch_id)}/base")
+        base, first = batch_id, batch_id + 1
+    state = spark.createDataFrame([(last_us, epoch_us, base, first)], _CLOCK)
+    state.write.mode("overwrite").parquet(f"{_path(root, batch_id)}/clock")
     # Only the newest batch can be repeated, and it starts from the state before it.
-    if batch_id >= KEPT:
-        remove(spark, _path(root, batch_id - KEPT))
+    if batch_id >= 2:
+        now, before, older = (_folders(root, _clock(spark, root, n), n) for n in (batch_id, batch_id - 1, batch_id - 2))
+        for path in older - before - now:
+            remove(spark, path)
