@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from checks import samples as S
 from checks import twins as T
 from tidewatch.functions.ip import is_public_ip
+from tidewatch.functions.rules import RulePack
 from tidewatch.functions.text import TextView, flat_view
 from tidewatch.operators import alerts, reports, routing
 from tidewatch.operators.behavior import (
@@ -26,6 +27,7 @@ from tidewatch.operators.match import match_indicators, regroup_hits
 from tidewatch.operators.normalize_firewall import firewall_text, normalize_firewall
 from tidewatch.operators.normalize_packets import normalize_packets, packet_text
 from tidewatch.plans.enrich import FirewallRun, Settings, enrich_firewall, enrich_packets, refresh_indicators
+from tidewatch.schema import TRAFFIC_POSITIONS
 from tidewatch.session import configure, stage_path
 from tidewatch.sources import readers, sinks
 
@@ -554,6 +556,64 @@ def _json_output(spark, sf_dir):
     return spark.read.text(path).select(F.col("value").alias("json"))
 
 
+@query("json_output_enriched", f"WITH {T.ENRICHED} SELECT session_id, CAST(n_rules AS INTEGER) AS n_rules, ip_count, src_country FROM found")
+def _json_output_enriched(spark, sf_dir):
+    """Findings as they stand in the JSON of the enriched events."""
+    path = stage_path(spark, "enriched-json")
+    sinks.write_events_json(event_store(spark, sf_dir), path)
+    v, found = spark.read.text(path).select(F.parse_json("value").alias("v")), "$.forwarder_enrichment"
+    rules = F.try_variant_get("v", f"{found}.threat_hunting.correlation_rules", "array<variant>")
+    return v.select(
+        F.try_variant_get("v", "$.session_id", "bigint").alias("session_id"), F.coalesce(F.size(rules), F.lit(0)).alias("n_rules"),
+        F.try_variant_get("v", f"{found}.behavioral_anomalies.high_frequency_ip.count", "bigint").alias("ip_count"),
+        F.try_variant_get("v", f"{found}.geoip.src.country_name", "string").alias("src_country"),
+    )
+
+
+@query("json_output_packets", f"""WITH {_PACKET_LEAVES}, {T.fired('pk_text')} SELECT source_address, destination_address, CAST(bytes AS VARCHAR) AS frame_len,
+  (SELECT CAST(count(*) AS INTEGER) FROM fired r WHERE r.id = f.event_id) AS n_rules FROM flows f""")
+def _json_output_packets(spark, sf_dir):
+    path = stage_path(spark, "packets-json")
+    sinks.write_events_json(enrich_packets(packets(spark, sf_dir), indicators(spark, sf_dir), None, Settings(threshold=THRESHOLD)), path)
+    v = spark.read.text(path).select(F.parse_json("value").alias("v"))
+    rules = F.try_variant_get("v", "$.forwarder_enrichment.threat_hunting.correlation_rules", "array<variant>")
+    return v.select(
+        *[F.try_variant_get("v", f"$.{name}", "string").alias(name) for name in ("source_address", "destination_address")],
+        F.try_variant_get("v", "$.frame.frame_frame_len", "string").alias("frame_len"), F.coalesce(F.size(rules), F.lit(0)).alias("n_rules"),
+    )
+
+
+_OWN_PATTERN, _OWN_RULE = r"(?i)th[ae]\w+ing", r"(?i)(whre|andnd)"
+
+
+@query("rule_pack_own", f"""WITH {T.DOC_TEXT} SELECT id AS event_id, 'pattern' AS what, path || ' ' || left(value, 100) AS value FROM doc_leaves
+  WHERE regexp_matches(value, {T.q(_OWN_PATTERN)}) UNION ALL SELECT id, 'rule', 'own' FROM doc_text WHERE regexp_matches(joined, {T.q(_OWN_RULE)})
+  UNION ALL SELECT id, 'process', 'ststion' FROM doc_text WHERE contains(lower(joined), 'ststion')""")
+def _rule_pack_own(spark, sf_dir):
+    """A user's own pattern, rule and word in place of the published ones."""
+    pack = RulePack(patterns={"mine": _OWN_PATTERN}, processes=("ststion",), assets=(), rules={"own": _OWN_RULE}).validate(spark)
+    hunted = hunt(*documents(spark, sf_dir), pack)
+    found = [
+        pattern_rows(hunted).select("event_id", F.lit("pattern").alias("what"), F.concat("field_path", F.lit(" "), "sample").alias("value")),
+        rule_rows(hunted).select("event_id", F.lit("rule").alias("what"), F.col("rule").alias("value")),
+        keyword_rows(hunted).select("event_id", F.lit("process").alias("what"), F.col("suspicious_process").alias("value")),
+    ]
+    return found[0].unionByName(found[1]).unionByName(found[2])
+
+
+@query("firewall_floats", """SELECT event_id, CASE event_id % 5 WHEN 0 THEN 1500.0::DOUBLE WHEN 1 THEN -2.25 WHEN 2 THEN 0.0 WHEN 4 THEN 0.5 END AS time,
+  CASE WHEN event_id % 5 = 3 THEN 'abc' END AS kept FROM events""")
+def _firewall_floats(spark, sf_dir):
+    """Lines long enough to reach a float field, with numbers, a special value and a text in it."""
+    at = TRAFFIC_POSITIONS["high_resolution_timestamp"]
+    fixed = {0: "1", 1: "2024/01/02 03:04:05", 3: "TRAFFIC", 6: "2024/01/02 03:04:05"}
+    number = S.pick(["1.5e3", "-2.25", "nan", "abc", "0.5"], F.col("event_id") % 5)
+    raw = F.concat_ws(",", *[number if i == at else F.lit(fixed.get(i, "")) for i in range(at + 2)])
+    events = normalize_firewall(S.table(spark, sf_dir, "events").select("event_id", raw.alias("raw")))[0]
+    name = "high_resolution_timestamp"
+    return events.select("event_id", F.col(name).alias("time"), F.try_element_at("unparsed", F.lit(name)).alias("kept"))
+
+
 @query("read_log_lines", f"WITH {T.FW_RAW} SELECT raw FROM fw_raw")
 def _read_log_lines(spark, sf_dir):
     path = stage_path(spark, "lines")
@@ -658,6 +718,29 @@ def _stored_report(spark, sf_dir):
     return reports.top_source_ips(week)
 
 
+@query("read_geo", f"""WITH sides AS (SELECT event_id, 'src' AS side, {T.SRC} AS address FROM events UNION ALL
+  SELECT event_id, 'dst', {T.DST} FROM events), {T.located('sides')} SELECT event_id, side, country_name, lat, lon FROM located""")
+def _read_geo(spark, sf_dir):
+    """The range table through a CSV file."""
+    path = stage_path(spark, "geo") + ".csv"
+    S.geo_ranges(spark, sf_dir).write.option("header", True).csv(path)
+    events = S.table(spark, sf_dir, "events").select(
+        "event_id", S.source_address().alias("source_address"), S.destination_address().alias("destination_address")
+    )
+    return geolocate(events, readers.read_geo(spark, path)).select("event_id", "side", "place.country_name", "place.location.lat", "place.location.lon")
+
+
+@query("geo_packets", f"""WITH {_PACKETS}, sides AS (SELECT event_id, 'src' AS side, source_address AS address FROM flows WHERE ip_version = 4 UNION ALL
+  SELECT event_id, 'dst', destination_address FROM flows WHERE ip_version = 4), {T.located('sides')}
+  SELECT event_id, side, country_name, lat, lon FROM located UNION ALL
+  SELECT event_id, 'src', coalesce(country_name, 'Unknown'), CASE WHEN lat IS NULL OR lon IS NULL THEN 0.0 ELSE lat END,
+    CASE WHEN lat IS NULL OR lon IS NULL THEN 0.0 ELSE lon END FROM flows, geo WHERE ip_version = 6 AND ip_lo = '2a00::'""")
+def _geo_packets(spark, sf_dir):
+    """Flows of both families; link-local addresses have no place."""
+    flows = normalize_packets(packets(spark, sf_dir))
+    return geolocate(flows, S.geo_ranges(spark, sf_dir)).select("event_id", "side", "place.country_name", "place.location.lat", "place.location.lon")
+
+
 @query("geo_rejects", "SELECT 'an end is no address' AS reason, count(*) AS ranges FROM supplier WHERE s_suppkey % 3 = 0 "
                       "UNION ALL SELECT 'ends of two families', count(*) FROM supplier WHERE s_suppkey % 3 = 1")
 def _geo_rejects(spark, sf_dir):
