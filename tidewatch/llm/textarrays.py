@@ -15,10 +15,23 @@ BLANKS = b"\x20\x09\x0a\x0b\x0c\x0d"
 ODD = np.uint64(0x9E3779B97F4A7C15)
 
 
-def pieces(batch: pa.RecordBatch, column: str) -> Iterator[pa.RecordBatch]:
-    """Slices of a batch whose texts hold about PIECE_BYTES together."""
+def gathered(batches: Iterator[pa.RecordBatch], column: str, size: int) -> Iterator[pa.RecordBatch]:
+    """Batches put together until their texts hold about ``size`` bytes."""
+    held, total = [], 0
+    for batch in batches:
+        held.append(batch)
+        total += pc.sum(pc.binary_length(batch.column(column))).as_py() or 0
+        if total >= size:
+            yield pa.concat_batches(held)
+            held, total = [], 0
+    if held:
+        yield pa.concat_batches(held)
+
+
+def pieces(batch: pa.RecordBatch, column: str, size: int = PIECE_BYTES) -> Iterator[pa.RecordBatch]:
+    """Slices of a batch whose texts hold about ``size`` bytes together."""
     sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
-    piece = np.cumsum(sizes.astype(np.int64)) // PIECE_BYTES
+    piece = np.cumsum(sizes.astype(np.int64)) // size
     cuts = np.flatnonzero(np.diff(piece, prepend=-1)) if len(piece) else np.array([], int)
     for start, stop in zip(cuts, [*cuts[1:], len(piece)]):
         yield batch.slice(start, stop - start)

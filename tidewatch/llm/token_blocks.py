@@ -17,8 +17,10 @@ they come; a text of any length is one segment; an empty table gives empty files
 
 from __future__ import annotations
 
+import os
 import zlib
 from collections.abc import Iterator
+from functools import lru_cache
 from itertools import chain
 
 import numpy as np
@@ -29,7 +31,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidewatch.llm.common import small_batches
-from tidewatch.llm.textarrays import pieces
+from tidewatch.llm.textarrays import gathered, pieces
 from tidewatch.session import stage_path
 
 END_ID = 1
@@ -38,8 +40,10 @@ BLOCK = 512
 PERCENTILE = 0.9
 SEGMENT_IDS = 1 << 16
 SHARD_DOCS = 8192
-#: Distinct words whose ids a worker remembers; when there are more it starts anew.
-MEMORY_WORDS = 300_000
+#: Distinct words whose ids a worker remembers; when there are more it keeps those that came again.
+MEMORY_WORDS = 150_000
+#: Texts are encoded about so many bytes at a time: the more, the fewer words come twice.
+WORK_BYTES = 3 << 20
 
 SEGMENTS = (
     "shard long, segment long, first_id long, n_ids long, doc_id array<long>, doc_ids_end array<long>, "
@@ -52,12 +56,14 @@ class Encoder:
     """Encodes whole texts with a tokenizer that never joins ids across white space.
 
     Ids of a text are the ids of its words one after the other, so each distinct word goes to
-    the tokenizer once and is remembered. Words of plain letters go there joined by blanks:
-    each gives ids up to the first that ends a word. Vocabularies without such ids, or with
-    other rules, take their words one by one.
+    the tokenizer once and is remembered. Words of letters alone go there joined by blanks:
+    each gives ids up to the first that ends a word. Where that doesn't give as many words as
+    went in, they are encoded one by one.
     """
 
     def __init__(self, path: str):
+        # Spark's tasks share the cores already; threads of the library's own only take memory.
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
@@ -70,7 +76,20 @@ class Encoder:
     def forget(self) -> None:
         self.known: dict[str, int] = {}
         self.ids, self.filled = np.empty(1 << 20, np.uint32), 0
-        self.starts, self.sizes = np.empty(0, np.int64), np.empty(0, np.int64)
+        self.starts, self.sizes, self.again = np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, bool)
+
+    def keep_used(self) -> None:
+        """Forget words that came in one batch only."""
+        kept = np.flatnonzero(self.again)
+        if len(kept) > MEMORY_WORDS // 2:
+            return self.forget()
+        place = np.full(len(self.again), -1)
+        place[kept] = np.arange(len(kept))
+        self.known = {w: int(i) for w, n in self.known.items() if (i := place[n]) >= 0}
+        starts, sizes = self.starts[kept], self.sizes[kept]
+        ids = self.ids[run_positions(starts, sizes)]
+        self.ids, self.filled = np.concatenate((ids, np.empty(1 << 20, np.uint32))), len(ids)
+        self.starts, self.sizes, self.again = np.cumsum(sizes) - sizes, sizes, np.zeros(len(kept), bool)
 
     def encode_words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         encoded = self.tokenizer.encode_batch_fast(words, add_special_tokens=False)
@@ -79,7 +98,7 @@ class Encoder:
         return np.fromiter(chain.from_iterable(lists), np.uint32, int(sizes.sum())), sizes
 
     def encode_letters(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """As ``encode_words`` for words of plain letters, many in one call."""
+        """As ``encode_words`` for words of letters, many in one call."""
         joined = [" ".join(words[i : i + 256]) for i in range(0, len(words), 256)]
         ids, _ = self.encode_words(joined)
         ends = np.flatnonzero(self.ends_word[ids]) + 1
@@ -87,20 +106,24 @@ class Encoder:
             return self.encode_words(words)
         return ids, np.diff(ends, prepend=0)
 
-    def learn(self, words: list[str]) -> None:
-        plain = [w for w in words if w.isascii() and w.isalpha()]
-        other = [w for w in words if not (w.isascii() and w.isalpha())]
-        for some, encode in ((plain, self.encode_letters), (other, self.encode_words)):
-            if some:
-                ids, sizes = encode(some)
-                need = self.filled + len(ids)
-                if need > len(self.ids):
-                    self.ids = np.concatenate((self.ids[: self.filled], np.empty(2 * need - self.filled, np.uint32)))
-                self.ids[self.filled : need] = ids
-                self.known.update(zip(some, range(len(self.sizes), len(self.sizes) + len(some))))
-                self.starts = np.concatenate((self.starts, self.filled + np.cumsum(sizes) - sizes))
-                self.sizes = np.concatenate((self.sizes, sizes))
-                self.filled = need
+    def learn(self, words: np.ndarray) -> np.ndarray:
+        """Encode new words; the place of each."""
+        letters, places = np.fromiter(map(str.isalpha, words), bool, len(words)), np.empty(len(words), np.int64)
+        for kind, encode in ((letters, self.encode_letters), (~letters, self.encode_words)):
+            for some in np.split(rows := np.flatnonzero(kind), range(20_000, len(rows), 20_000)):
+                if len(some):
+                    ids, sizes = encode(words[some].tolist())
+                    need = self.filled + len(ids)
+                    if need > len(self.ids):
+                        self.ids = np.concatenate((self.ids[: self.filled], np.empty(2 * need - self.filled, np.uint32)))
+                    self.ids[self.filled : need] = ids
+                    places[some] = np.arange(len(self.sizes), len(self.sizes) + len(some))
+                    self.starts = np.concatenate((self.starts, self.filled + np.cumsum(sizes) - sizes))
+                    self.sizes = np.concatenate((self.sizes, sizes))
+                    self.again = np.concatenate((self.again, np.zeros(len(some), bool)))
+                    self.filled = need
+        self.known.update(zip(words.tolist(), places.tolist()))
+        return places
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids, and how many each text has."""
@@ -111,18 +134,26 @@ class Encoder:
             texts = pc.ascii_lower(texts)
         lists = pc.ascii_split_whitespace(pc.replace_substring_regex(texts, r"([A-Za-z])([.,;:!?]+)(\s|$)", r"\1 \2\3"))
         coded = pc.list_flatten(lists).dictionary_encode()
-        words = coded.dictionary.to_pylist()
+        words = np.array(coded.dictionary.to_pylist(), object)
         if len(self.known) > MEMORY_WORDS:
-            self.forget()
-        missing = [w for w in words if w not in self.known]
-        if missing:
-            self.learn(missing)
-        which = np.fromiter(map(self.known.__getitem__, words), np.int64, len(words))
+            self.keep_used()
+        get = self.known.get
+        which = np.fromiter((get(w, -1) for w in words), np.int64, len(words))
+        new = which < 0
+        self.again[which[~new]] = True
+        if new.any():
+            which[new] = self.learn(words[new])
         uses = which[coded.indices.to_numpy(zero_copy_only=False)]
         size = self.sizes[uses]
         return self.ids[run_positions(self.starts[uses], size)], segment_sums(size, pc.list_value_length(lists).to_numpy(zero_copy_only=False))
 
 
+@lru_cache(maxsize=1)
+def encoder(path: str) -> Encoder:
+    """One for all tasks of a worker, so that it keeps the words it knows."""
+    return Encoder(path)
+
+
 def run_positions(start: np.ndarray, size: np.ndarray) -> np.ndarray:
     """``start[0], start[0] + 1, ...`` for ``size[0]`` steps, then the next run."""
     ends = np.cumsum(size)
@@ -217,7 +248,7 @@ def unpack(row: dict, first: int = 0, stop: int | None = None) -> np.ndarray:
 
 def segment_batches(batches: Iterator[pa.RecordBatch], tokenizer: str, end_id: int) -> Iterator[pa.RecordBatch]:
     """A shard's documents, in order, to its segments."""
-    encoder, shard = Encoder(tokenizer), TaskContext.get().partitionId()
+    known, shard = encoder(tokenizer), TaskContext.get().partitionId()
     number, first = 0, 0
     docs: list[int | None] = []
     sizes: list[int] = []
@@ -232,9 +263,9 @@ def segment_batches(batches: Iterator[pa.RecordBatch], tokenizer: str, end_id: i
             [pa.array([v], types.get(k, pa.binary() if isinstance(v, bytes) else pa.int64())) for k, v in row.items()], names=list(row)
         )
 
-    for batch in batches:
-        for piece in pieces(batch, "text"):
-            ids, counts = encoder.encode(piece.column("text"))
+    for batch in gathered(batches, "text", WORK_BYTES):
+        for piece in pieces(batch, "text", WORK_BYTES):
+            ids, counts = known.encode(piece.column("text"))
             bounds = np.concatenate((np.zeros(1, np.int64), np.cumsum(counts)))
             for i, doc in enumerate(piece.column("doc_id").to_pylist()):
                 docs.append(doc)
@@ -246,6 +277,8 @@ def segment_batches(batches: Iterator[pa.RecordBatch], tokenizer: str, end_id: i
                     docs, sizes, held = [], [], []
     if docs:
         yield segment()
+    # The worker stays for other tasks; what it no longer needs goes back to the system.
+    pa.default_memory_pool().release_unused()
 
 
 def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int = END_ID, shard_docs: int = SHARD_DOCS) -> str:
