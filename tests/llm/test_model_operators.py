@@ -7,6 +7,7 @@ import random
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from tests.llm.helpers import SMALL, no_docs, odd_docs, odd_rows, united
 from tidewatch.llm import catalog, kneser_ney, langid, vector_join
@@ -66,6 +67,8 @@ def test_language_of_odd_and_empty_tables(spark):
     assert langid.identify(no_docs(spark)).count() == 0
     nothing = langid.identify(odd_docs(spark).where("doc_id = 4"))
     assert [(r.lang_pred, r.score) for r in nothing.collect()] == [("und", 0.0)]
+    unlabelled = langid.identified(odd_docs(spark).withColumn("lang", F.lit(None).cast("string")))
+    assert {r.doc_id for r in unlabelled.collect()} == {0, 1, 2, 3, 7, 8, 9, 10, 11, 12, 13, 15, None}
     kept = langid.identified(odd_docs(spark), settings=QUICK)
     assert kept.columns == odd_docs(spark).columns and {4, 5, 6, 14}.isdisjoint({r.doc_id for r in kept.collect()})
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tests.llm.helpers import SMALL, no_docs, odd_docs, odd_rows, rows_of, sentence, shingle_set, twin_rows, united
 from tidewatch.llm import catalog, decontaminate, line_windows, minhash, secret_scan
 
-TWINS = ["op5_warc_archive", "op6_secret_scan", "op10_line_windows"]
+TWINS = ["op3_minhash_near_duplicates", "op5_warc_archive", "op6_secret_scan", "op9_vector_range_join", "op10_line_windows"]
 
 
 @pytest.mark.parametrize("name", TWINS)

@@ -45,6 +45,31 @@ FROM d
 """
 
 
+_REACHED = """both_ways AS (SELECT a AS me, b AS other FROM links UNION ALL SELECT b, a FROM links),
+reach(node, seen) AS (SELECT id, id FROM nodes UNION SELECT r.node, l.other FROM reach r JOIN both_ways l ON l.me = r.seen),
+reached AS (SELECT node AS id, min(seen) AS component_id FROM reach GROUP BY node)"""
+
+# All pairs that share a shingle are counted here; fit for the small tables it is compared on.
+NEAR_DUPLICATES = rf"""
+WITH RECURSIVE nodes AS (SELECT doc_id AS id, regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+shingles AS (SELECT DISTINCT id, unnest(CASE WHEN len(w) >= 4 THEN [array_to_string(w[i:i + 3], ' ') FOR i IN range(1, len(w) - 2)]
+    WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS s FROM nodes),
+sizes AS (SELECT id, count(*) AS n FROM shingles GROUP BY id),
+shared AS (SELECT x.id AS a, y.id AS b, count(*) AS c FROM shingles x JOIN shingles y ON x.s = y.s AND x.id < y.id GROUP BY ALL),
+links AS (SELECT a, b FROM shared JOIN sizes x ON x.id = a JOIN sizes y ON y.id = b WHERE 100 * c >= 80 * (x.n + y.n - c)),
+{_REACHED}
+SELECT id AS doc_id, coalesce(n, 0)::BIGINT AS n_shingles, component_id, id = component_id AS kept FROM reached LEFT JOIN sizes USING (id)
+"""
+
+NEAR_VECTORS = f"""
+WITH RECURSIVE nodes AS (SELECT vec_id AS id, embedding::DOUBLE[] AS v FROM embeddings),
+links AS (SELECT x.id AS a, y.id AS b FROM nodes x JOIN nodes y ON x.id < y.id WHERE list_cosine_similarity(x.v, y.v) >= 0.9),
+{_REACHED}
+SELECT id AS vec_id, (SELECT count(*) FROM both_ways WHERE me = id)::BIGINT AS n_links, component_id, id = component_id AS kept FROM reached
+"""
+
+
 def _secret_sql() -> str:
     parts = []
     for rank, rule in enumerate(secret_scan.RULES):
@@ -98,7 +123,7 @@ def source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sizes(table(spark, sf_dir, "documents"))
 
 
-@query("op3_minhash_near_duplicates")
+@query("op3_minhash_near_duplicates", NEAR_DUPLICATES)
 def minhash_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=4)
 
@@ -146,7 +171,7 @@ def warc_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query("op9_vector_range_join")
+@query("op9_vector_range_join", NEAR_VECTORS)
 def near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vector_join.near_vectors(table(spark, sf_dir, "embeddings"))
 

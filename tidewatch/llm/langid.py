@@ -244,22 +244,29 @@ def predict_batches(batches: Iterator[pa.RecordBatch], network: Network | None,
             yield pa.RecordBatch.from_arrays(columns, names=[*piece.schema.names, *names])
 
 
-def with_language(docs: DataFrame, names: list[str], training: DataFrame | None = None, settings: Settings = Settings()) -> DataFrame:
-    """``docs`` with two more columns; the network learns from ``training``, or from ``docs`` itself."""
-    small_batches(docs.sparkSession, 500)
-    network = learn(docs if training is None else training, settings)
+def with_language(docs: DataFrame, names: list[str], network: Network | None) -> DataFrame:
+    """``docs`` with two more columns."""
     schema = T.StructType([*docs.schema.fields, T.StructField(names[0], T.StringType()), T.StructField(names[1], T.DoubleType())])
     return docs.mapInArrow(lambda it: predict_batches(it, network, names), schema)
 
 
 def identify(docs: DataFrame, training: DataFrame | None = None, settings: Settings = Settings()) -> DataFrame:
-    """``doc_id, held_out, lang_pred, score`` for every row of ``docs``."""
+    """``doc_id, held_out, lang_pred, score`` for every row of ``docs``; learned from ``training``, or from ``docs`` itself."""
+    small_batches(docs.sparkSession, 500)
+    network = learn(docs if training is None else training, settings)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), held_out(F.col("doc_id")).alias("held_out"), "text")
-    return with_language(rows, ["lang_pred", "score"], docs if training is None else training, settings).drop("text")
+    return with_language(rows, ["lang_pred", "score"], network).drop("text")
 
 
 def identified(docs: DataFrame, least: float = LEAST_SCORE, settings: Settings = Settings()) -> DataFrame:
-    """``docs`` without rejected texts: those without a language, or whose language is no likelier than chance."""
+    """``docs`` without rejected texts: those without a letter, or whose language is no likelier than chance.
+
+    Where no labelled row can be learned from, every text with a letter stays.
+    """
+    small_batches(docs.sparkSession, 500)
+    network = learn(docs, settings)
+    if network is None:
+        return docs.where(F.col("text").rlike(r"\p{L}"))
     names = [named(docs, "lang_pred"), named(docs, "lang_score")]
-    found = with_language(docs, names, settings=settings)
+    found = with_language(docs, names, network)
     return found.where((F.col(names[0]) != UNKNOWN) & (F.col(names[1]) >= least)).select(*[F.col(f"`{c}`") for c in docs.columns])
