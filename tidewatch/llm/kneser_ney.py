@@ -151,7 +151,7 @@ def store_model(counts: DataFrame, shard_rows: int = SHARD_ROWS) -> tuple[str, i
     rows = alphas.select(last(F.shiftrightunsigned("gram", 16)).alias("shard"), F.lit("alpha").alias("kind"), "size", "lang", F.col("gram").alias("key"), F.col("alpha").alias("value"))
     rows = rows.union(gammas.select(last(F.col("context")), F.lit("gamma"), "size", "lang", "context", "gamma"))
     path = stage_path(spark, "kn-shards")
-    rows.repartition("shard", "kind", "size").write.partitionBy("shard").parquet(path)
+    rows.hint("rebalance", "shard").write.partitionBy("shard").parquet(path)
     return path, shards
 
 
@@ -219,7 +219,8 @@ def quality(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE, slac
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), marked.alias("lang"), "text")
     trusted = labels.where("doc_id IS NOT NULL").groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.min("quality").alias("least")).where("least = 1").select("doc_id")
     kept_out = F.pmod(F.xxhash64("doc_id"), F.lit(KEPT_OUT)) == 0
-    counted = docs.join(trusted.where(~kept_out), "doc_id", "left_semi").select("lang", "text").mapInArrow(count_batches, "lang string, gram long, n long")
+    # The labels grow with the corpus: joined by a shuffle at every size, never by a broadcast.
+    counted = docs.join(trusted.where(~kept_out).hint("merge"), "doc_id", "left_semi").select("lang", "text").mapInArrow(count_batches, "lang string, gram long, n long")
     path, shards = store_model(counted.groupBy("lang", "gram").agg(F.sum("n").alias("n")))
     scored = docs.mapInArrow(lambda it: score_batches(it, path, shards), "doc_id long, lang string, n_symbols long, perplexity double")
     scored = stage(scored, "kn-scores")
