@@ -48,11 +48,19 @@ def main() -> None:
         catalog.QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
         seconds[name] = round(time.time() - start, 3)
     events = spark.read.parquet(f"{sf_dir}/events.parquet").count()
+    slope = {}
+    smaller = sf_dir.replace("sf0.1", "sf0.01")
+    if smaller != sf_dir and os.path.isdir(smaller):
+        # The same job on a tenth of the events: what it takes besides its rows, and for each row.
+        start = time.time()
+        catalog.QUERIES["enrich_firewall"](spark, smaller).write.format("noop").mode("overwrite").save()
+        few, fewer = time.time() - start, spark.read.parquet(f"{smaller}/events.parquet").count()
+        slope = {"enrich_small_sec": round(few, 3), "enrich_ms_per_event": round(1000 * (seconds["enrich_firewall"] - few) / (events - fewer), 4)}
     print(json.dumps({
         "metric": "headline_queries_total", "value": round(sum(seconds.values()), 3), "unit": "sec", "queries": seconds,
         "sf": os.path.basename(sf_dir.rstrip("/")).removeprefix("sf"), "cpus": int(cpus), "events": events,
         "enrich_events_per_sec": round(events / seconds["enrich_firewall"]), "spark": spark.version,
-    }))
+    } | slope))
     spark.stop()
 
 

@@ -126,21 +126,21 @@ def test_counts_go_on_across_batches(spark, tmp_path):
 
 
 def test_a_batch_reads_and_writes_only_its_own_keys(spark, tmp_path, monkeypatch):
-    monkeypatch.setattr(state, "COMPACT", 3)
+    monkeypatch.setattr(state, "COMPACT", 2)
     root = str(tmp_path / "state")
     many = spark.range(50_000).select(F.col("id").alias("event_id"), F.timestamp_seconds(F.lit(1_900_000_000)).alias("ts"), F.col("id").cast("string").alias("src"))
     batch_behavior(many, root, 0, "ts", threshold=0).count()
     got = []
-    for batch in range(1, 9):
-        few = events(spark, []).sparkSession.createDataFrame([(10**6 + batch, dt.datetime(2030, 3, 17, 17, 46, 40 + batch), "7")], "event_id long, ts timestamp, src string")
+    for batch in range(1, 6):
+        few = spark.createDataFrame([(10**6 + batch, dt.datetime(2030, 3, 17, 17, 46, 40 + batch), "7")], "event_id long, ts timestamp, src string")
         got += [r["count"] for r in batch_behavior(few, root, batch, "ts", threshold=0).collect()]
         counts = f"{root}/after={batch}/counts"
-        assert spark.read.parquet(counts).count() == 1 and [n for n in os.listdir(counts) if n.startswith("bucket=")].__len__() == 1
-    assert got == list(range(2, 10))
-    clock = state._clock(spark, root, 8)
-    everything = state.stored_counts(spark, state._tables(root, clock, 8))
-    assert everything.count() == 50_000 and everything.where("key = '7'").first()["count"] == 9
-    assert len(os.listdir(root)) < 8
+        assert spark.read.parquet(counts).count() == 1 and sum(n.startswith("bucket=") for n in os.listdir(counts)) == 1
+    assert got == list(range(2, 7))
+    clock = state._clock(spark, root, 5)
+    everything = state.stored_counts(spark, state._tables(root, clock, 5))
+    assert everything.count() == 50_000 and everything.where("key = '7'").first()["count"] == 6
+    assert len(os.listdir(root)) < 6
 
 
 def test_sharded_counts_need_their_state_store(spark, tmp_path):
