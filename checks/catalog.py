@@ -64,13 +64,19 @@ def spread(rows: DataFrame) -> DataFrame:
     return rows.repartition(rows.sparkSession.sparkContext.defaultParallelism)
 
 
+def shared_out(rows: DataFrame) -> DataFrame:
+    """Rows of a table whose few files would leave most cores idle, dealt out; a table of many files is read as it is."""
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    return rows if rows.rdd.getNumPartitions() >= cores else spread(rows)
+
+
 def documents(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, TextView]:
-    rows = S.table(spark, sf_dir, "documents").select(F.col("doc_id").alias("event_id"), "lang", "source", "text")
+    rows = shared_out(S.table(spark, sf_dir, "documents")).select(F.col("doc_id").alias("event_id"), "lang", "source", "text")
     return rows, flat_view({c: c for c in ("lang", "source", "text")})
 
 
 def pages(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, TextView]:
-    rows = S.table(spark, sf_dir, "pages").select(F.col("page_id").alias("event_id"), "url", "html")
+    rows = shared_out(S.table(spark, sf_dir, "pages")).select(F.col("page_id").alias("event_id"), "url", "html")
     return rows, flat_view({c: c for c in ("url", "html")})
 
 
@@ -84,7 +90,7 @@ def long_lines(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, TextView]:
 
 
 def conversations(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, TextView]:
-    rows = S.table(spark, sf_dir, "conversations").select(
+    rows = shared_out(S.table(spark, sf_dir, "conversations")).select(
         (F.col("conv_id") * 1000 + F.col("turn")).alias("event_id"), "role", "text"
     )
     return rows, flat_view({c: c for c in ("role", "text")})
