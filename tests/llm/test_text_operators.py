@@ -202,6 +202,14 @@ def test_secret_scan_equals_plain_expressions(spark):
     assert got == sorted(want, key=repr)
 
 
+def test_rules_without_trigrams_scan_everything(spark):
+    rules = (secret_scan.Rule("short", "ab[0-9]+", 0, 6), secret_scan.Rule("digits", "[0-9]+", 0, 4))
+    rows = [(0, "ab1234 ab12 1234"), (1, "ab123"), (2, "none")]
+    found = secret_scan.scan(spark.createDataFrame(rows, "doc_id long, text string"), rules).collect()
+    assert {r.doc_id: sorted((s.kind, s.start, s.end) for s in r.found) for r in found} == {
+        0: [("digits", 2, 6), ("digits", 12, 16), ("short", 0, 6)], 1: [], 2: []}
+
+
 def test_trigram_queries():
     assert secret_scan.trigram_query(r"[0-9a-f]+") == []
     assert secret_scan.trigram_query("(?i)abcd") == [[frozenset({"abc", "bcd"})]]

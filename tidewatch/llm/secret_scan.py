@@ -15,6 +15,7 @@ table gives an empty result.
 from __future__ import annotations
 
 import math
+import re
 from collections.abc import Callable
 from dataclasses import dataclass
 from re import _constants as code
@@ -181,9 +182,11 @@ def scan(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     for rule in rules:
         if trigram_query(rule.pattern):
             ask = F.col("doc_id").isNull() | F.array_contains("kinds", rule.kind)
+        elif not rule.group and re.fullmatch(r"\[[^\]\\]+\]\+", rule.pattern):
+            # A run of one class counts from a length on; most texts have none that long.
+            ask = F.col("text").rlike(f"{rule.pattern.removesuffix('+')}{{{rule.least}}}")
         else:
-            # The expression itself, asked once for a text without a long enough match.
-            ask = F.col("text").rlike(f"{rule.pattern.removesuffix('+')}{{{rule.least}}}") if rule.pattern.endswith("+") and not rule.group else F.lit(True)
+            ask = F.lit(True)
         parts.append(F.coalesce(F.when(ask, spans(F.col("text"), rule)), nothing))
     return joined.select("doc_id", "text", F.array_sort(F.concat(*parts)).alias("found"))
 

@@ -11,6 +11,8 @@ import pyarrow.compute as pc
 
 #: Texts are worked on in pieces of about so many bytes; one longer text is a piece of its own.
 PIECE_BYTES = 1 << 21
+#: Words are hashed a stretch of text at a time.
+HASHED_BYTES = 1 << 20
 BLANKS = b"\x20\x09\x0a\x0b\x0c\x0d"
 ODD = np.uint64(0x9E3779B97F4A7C15)
 
@@ -92,11 +94,18 @@ class Words:
         self.doc = np.searchsorted(at, self.start, "right") - 1
         #: Where each text's words begin among all words.
         self.first = np.searchsorted(self.doc, np.arange(self.texts + 1))
-        exponent = max(16, int(len(raw)).bit_length())
-        base = 0xD1342543DE82EF95
-        sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(byte_values(fold_case)[raw] * _powers(exponent, base)[: len(raw)])))
-        inverse = _powers(exponent, pow(base, -1, 1 << 64))
-        self.hash = mix64((sums[self.end] - sums[self.start]) * inverse[self.start] + (self.end - self.start).astype(np.uint64))
+        self.hash = np.empty(len(self.start), np.uint64)
+        values, base = byte_values(fold_case), 0xD1342543DE82EF95
+        # Stretch by stretch, so that a very long text needs no table of its own length.
+        cuts = np.unique(np.searchsorted(self.start, np.arange(0, len(raw) + HASHED_BYTES, HASHED_BYTES)))
+        for low, high in zip(cuts[:-1], cuts[1:]):
+            at, stop = self.start[low], self.end[high - 1]
+            exponent = max(HASHED_BYTES.bit_length(), int(stop - at + 1).bit_length())
+            start, end = self.start[low:high] - at, self.end[low:high] - at
+            weighted = values[raw[at:stop]] * _powers(exponent, base)[: stop - at]
+            sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(weighted)))
+            own = (sums[end] - sums[start]) * _powers(exponent, pow(base, -1, 1 << 64))[start]
+            self.hash[low:high] = mix64(own + (end - start).astype(np.uint64))
 
     def counts(self) -> np.ndarray:
         return np.diff(self.first)
