@@ -18,9 +18,10 @@ they come; a text of any length is one segment; an empty table gives empty files
 from __future__ import annotations
 
 import os
+import unicodedata
 import zlib
 from collections.abc import Iterator
-from functools import lru_cache
+from functools import lru_cache, partial
 from itertools import chain
 
 import numpy as np
@@ -52,6 +53,11 @@ SEGMENTS = (
 DOCUMENTS = "doc_id long, shard long, in_shard long, n_tokens long, ids_crc32 long"
 
 
+def is_plain(word: str) -> bool:
+    """Whether composing and lower-casing would leave the word as it is."""
+    return word.islower() and (word.isascii() or (word.lower() == word and unicodedata.is_normalized("NFC", word)))
+
+
 class Encoder:
     """Encodes whole texts with a tokenizer that never joins ids across white space.
 
@@ -64,9 +70,16 @@ class Encoder:
     def __init__(self, path: str):
         # Spark's tasks share the cores already; threads of the library's own only take memory.
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
+        # Composed lower-case words of letters are what normalising would leave, so they go to the model as they are.
+        self.plain = Tokenizer(self.tokenizer.model)
+        as_bytes = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        self.plain.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.WhitespaceSplit(), as_bytes])
+        probe = "abcdefghijklmnopqrstuvwxyz the quick brown foxes àéîõüßñ žluťoučký"
+        if self.plain.encode(probe).ids != self.tokenizer.encode(probe, add_special_tokens=False).ids:
+            self.plain = self.tokenizer
         size = self.tokenizer.get_vocab_size(with_added_tokens=True)
         self.ends_word = np.zeros(size, bool)
         for token, i in self.tokenizer.get_vocab().items():
@@ -91,16 +104,16 @@ class Encoder:
         self.ids, self.filled = np.concatenate((ids, np.empty(1 << 20, np.uint32))), len(ids)
         self.starts, self.sizes, self.again = np.cumsum(sizes) - sizes, sizes, np.zeros(len(kept), bool)
 
-    def encode_words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        encoded = self.tokenizer.encode_batch_fast(words, add_special_tokens=False)
+    def encode_words(self, words: list[str], plain: bool = False) -> tuple[np.ndarray, np.ndarray]:
+        encoded = (self.plain if plain else self.tokenizer).encode_batch_fast(words, add_special_tokens=False)
         lists = [e.ids for e in encoded]
         sizes = np.fromiter(map(len, lists), np.int64, len(lists))
         return np.fromiter(chain.from_iterable(lists), np.uint32, int(sizes.sum())), sizes
 
-    def encode_letters(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    def encode_letters(self, words: list[str], plain: bool = False) -> tuple[np.ndarray, np.ndarray]:
         """As ``encode_words`` for words of letters, many in one call."""
         joined = [" ".join(words[i : i + 256]) for i in range(0, len(words), 256)]
-        ids, _ = self.encode_words(joined)
+        ids, _ = self.encode_words(joined, plain)
         ends = np.flatnonzero(self.ends_word[ids]) + 1
         if len(ends) != len(words) or (len(ends) and ends[-1] != len(ids)):
             return self.encode_words(words)
@@ -109,7 +122,9 @@ class Encoder:
     def learn(self, words: np.ndarray) -> np.ndarray:
         """Encode new words; the place of each."""
         letters, places = np.fromiter(map(str.isalpha, words), bool, len(words)), np.empty(len(words), np.int64)
-        for kind, encode in ((letters, self.encode_letters), (~letters, self.encode_words)):
+        simple = letters & np.fromiter(map(is_plain, words), bool, len(words))
+        kinds = ((simple, partial(self.encode_letters, plain=True)), (letters & ~simple, self.encode_letters), (~letters, self.encode_words))
+        for kind, encode in kinds:
             for some in np.split(rows := np.flatnonzero(kind), range(20_000, len(rows), 20_000)):
                 if len(some):
                     ids, sizes = encode(words[some].tolist())
@@ -132,7 +147,7 @@ class Encoder:
         # both only make fewer distinct words. Special tokens are case-sensitive.
         if not pc.any(pc.match_substring(texts, "<|")).as_py():
             texts = pc.ascii_lower(texts)
-        lists = pc.ascii_split_whitespace(pc.replace_substring_regex(texts, r"([A-Za-z])([.,;:!?]+)(\s|$)", r"\1 \2\3"))
+        lists = pc.ascii_split_whitespace(pc.replace_substring_regex(texts, r"(\pL)([.,;:!?]+)(\s|$)", r"\1 \2\3"))
         coded = pc.list_flatten(lists).dictionary_encode()
         words = np.array(coded.dictionary.to_pylist(), object)
         if len(self.known) > MEMORY_WORDS:
