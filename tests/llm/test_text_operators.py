@@ -167,6 +167,50 @@ def test_line_windows_on_odd_and_empty_tables(spark):
     assert line_windows.remove_repeated(no_docs(spark)).count() == 0
 
 
+def plain_units(text):
+    return re.split(line_windows.UNIT_ENDS, text, flags=re.ASCII)
+
+
+def plain_unit_removal(docs):
+    """For distinct ids: what is left of each text, and how many units went."""
+    seen, gone, cut = {}, {i: set() for i, _ in docs}, {i: plain_units(t or "") for i, t in docs}
+    for i, _ in sorted(docs):
+        filled = [(k, u.strip(line_windows.BLANKS)) for k, u in enumerate(cut[i]) if u.strip(line_windows.BLANKS)]
+        for at in range(max(1, len(filled) - 2) if filled else 0):
+            some = filled[at : at + 3]
+            low, high = some[0][0], some[-1][0]
+            first = seen.setdefault(tuple(u for _, u in some), (i, low, high))
+            if first != (i, low, high):
+                gone[i] |= set(range(max(low, first[2] + 1) if first[0] == i else low, high + 1))
+    return {i: (t if not gone[i] else "".join(u for k, u in enumerate(cut[i]) if k not in gone[i]), len(gone[i])) for i, t in docs}
+
+
+def test_sentence_windows_equal_a_plain_pass(spark):
+    rng = random.Random(2)
+    units, ends = ["Ab c", "d", "E f g", "h"], [". ", "! ", ".\n", "\n", " \n\n", '." ', "。", " "]
+    docs = [(i, "".join(rng.choice(units) + rng.choice(ends) for _ in range(rng.randrange(0, 25)))) for i in range(80)]
+    docs += [(80, None), (81, ""), (82, " \n "), (83, "One. Two."), (84, "One.\nTwo."), (85, "One. Two. Three."), (86, "Ab. " * 30)]
+    found = line_windows.remove_repeated(spark.createDataFrame(docs, "doc_id long, text string"), removed="n", sentences=True)
+    got = {r.doc_id: (r.text, r.n) for r in found.collect()}
+    assert got == plain_unit_removal(docs)
+    assert got[83] == ("One. Two.", 0) and got[84] == ("", 2) and got[85][1] == 0
+
+
+def test_sentence_windows_find_passages_inside_lines(spark):
+    passage = "The first sentence is here. The second one\nhas a line break. A third one ends it."
+    docs = [(1, f"Own words. {passage} More own words."), (2, f"Other words before it. {passage} And after."), (3, "A text of one line."), (4, "A text of one line.")]
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    got = {r.doc_id: r.text for r in line_windows.remove_repeated(frame, sentences=True).collect()}
+    assert got == {1: docs[0][1], 2: "Other words before it. And after.", 3: docs[2][1], 4: ""}
+
+
+def test_sentence_windows_query(spark):
+    docs = [(r.doc_id, r.text) for r in spark.read.parquet(f"{SMALL}/documents.parquet").collect()]
+    got = {r.doc_id: (r.kept_chars, r.removed, r.kept_sha256) for r in catalog.QUERIES["op10_sentence_windows"](spark, SMALL).collect()}
+    want = {i: (len(t), n, hashlib.sha256(t.encode()).hexdigest()) for i, (t, n) in plain_unit_removal(docs).items()}
+    assert got == want and any(n for _, n, _ in got.values())
+
+
 # Secret scans ---------------------------------------------------------------------
 
 

@@ -163,6 +163,13 @@ def repeated_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("op10_sentence_windows")
+def repeated_sentences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_windows.remove_repeated(table(spark, sf_dir, "documents").select("doc_id", "text"), removed="removed", sentences=True).select(
+        "doc_id", "removed", F.length("text").cast("long").alias("kept_chars"), F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256")
+    )
+
+
 @query("op5_warc_archive", WARC)
 def warc_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages").select(F.col("page_id").alias("record_id"), "url", F.col("html").alias("payload"))
