@@ -76,6 +76,30 @@ def test_contaminated_on_odd_and_empty_tables(spark):
     assert kept.columns == odd_docs(spark).columns and {r.doc_id for r in kept.collect()}.isdisjoint({0, 1, 2, 13})
 
 
+def test_contaminated_finds_copies_with_words_replaced_all_over(spark):
+    rng = random.Random(8)
+    items = [(i, sentence(rng, size)) for i, size in enumerate([15, 16, 20, 31, 40, 60])]
+    docs = []
+    for item, text in items:
+        for step in (3, 4):
+            for start in range(step):
+                copy = text.split()
+                copy[start::step] = [f"other{rng.randrange(10**6)}" for _ in copy[start::step]]
+                docs.append((len(docs), f"{sentence(rng, 30)} {' '.join(copy)} {sentence(rng, 30)}"))
+        for share in (0.25, 0.3, 0.35):
+            copy = [w if rng.random() > share else "other" for w in text.split()]
+            docs.append((len(docs), " ".join(copy)))
+    found = decontaminate.contaminated(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"))
+    got = {(r.doc_id, r.item_id) for r in found.collect()}
+    want = {(d, i) for d, t in docs for i, u in items if score(alnum(t), alnum(u)) >= 0.5}
+    assert got == want and len(want) > 45
+
+
+def test_contaminated_finds_every_fourth_word_replaced(spark):
+    items = spark.createDataFrame([(1, odd_rows()[0][1]), (2, None)], "item_id long, text string")
+    assert {0, 1, 2, 3, 13, None} == {r.doc_id for r in decontaminate.contaminated(odd_docs(spark), items).collect()}
+
+
 # Near-duplicates ----------------------------------------------------------------
 
 

@@ -1,7 +1,9 @@
 """Find test items in training texts: rare n-gram seeds, then Smith-Waterman alignment of words.
 
-Words are runs of letters and digits in lower case. All n-grams of the items are counted over the
-whole corpus. Seeds are those that are rare there, and those that aren't but whose neighbour in
+Words are runs of letters and digits in lower case. Grams are runs of two and three words and every
+choice of four words out of six in order: two thirds of equal words, the least that half the score
+allows where words are replaced, leave one of them whatever the places of the others. All grams of
+the items are counted over the whole corpus. Seeds are those that are rare there, and those that aren't but whose neighbour in
 the item comes as often: these are frequent because the item leaked, not as a common phrase. So
 an item has seeds however often it leaked, and in whatever version. A passage is what lies around the seeds found in a document,
 one item's length to either side. Each passage is aligned with the items of its seeds: +2 for
@@ -20,6 +22,7 @@ give an empty result.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -29,7 +32,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewatch.llm.common import small_batches
-from tidewatch.llm.textarrays import Words, alphanumeric, lists, pieces
+from tidewatch.llm.textarrays import Words, alphanumeric, factors, lists, pieces
 from tidewatch.session import stage
 
 GRAM = 4
@@ -54,14 +57,43 @@ def list_column(flat: np.ndarray, sizes: np.ndarray) -> pa.ListArray:
     return pa.ListArray.from_arrays(np.concatenate((np.zeros(1, np.int32), np.cumsum(sizes, dtype=np.int32))), pa.array(flat))
 
 
+def reach_of(n: int) -> int:
+    """How many words a gram can span."""
+    return n + n // 2
+
+
+def shapes(n: int) -> list[tuple[int, ...]]:
+    """Where the words of a gram stand: unbroken runs of fewer than ``n``, and each ``n`` of half as many more."""
+    return [tuple(range(k)) for k in range(2, n)] + [(0, *rest) for rest in combinations(range(1, reach_of(n)), n - 1)]
+
+
+def grams_of(words: Words, n: int, known: GramFilter | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hash, index of the first word and number of the shape of all grams inside one text, or of those that ``known`` passes."""
+    terms = [words.hash * factor for factor in factors(reach_of(n))]
+    out = []
+    for number, shape in enumerate(shapes(n)):
+        count = max(0, len(words.hash) - shape[-1])
+        total = terms[0][:count].copy()
+        for at in shape[1:]:
+            total += terms[at][at : at + count]
+        index = known(total) if known else np.arange(count)
+        index = index[words.doc[index] == words.doc[index + shape[-1]]]
+        out.append((total[index], index, np.full(len(index), number)))
+    return tuple(np.concatenate(column) for column in zip(*out))
+
+
 def item_batches(batches: Iterator[pa.RecordBatch], n: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         words = words_of(batch.column("text"))
-        grams, index = words.ngrams(n)
+        grams, index, shape = grams_of(words, n)
+        order = np.lexsort((index, shape, words.doc[index]))
         sizes = np.bincount(words.doc[index], minlength=words.texts)
         yield pa.RecordBatch.from_arrays(
-            [batch.column("item_id").cast(pa.int64()), list_column(signed(words.hash), words.counts()), list_column(signed(grams), sizes)],
-            names=["item_id", "words", "grams"],
+            [
+                batch.column("item_id").cast(pa.int64()), list_column(signed(words.hash), words.counts()),
+                list_column(signed(grams[order]), sizes), list_column(shape[order], sizes),
+            ],
+            names=["item_id", "words", "grams", "shapes"],
         )
 
 
@@ -94,8 +126,7 @@ def count_batches(batches: Iterator[pa.RecordBatch], n: int, known: GramFilter)
     for batch in batches:
         for piece in pieces(batch, "text"):
             words = words_of(piece.column("text"))
-            grams, _ = words.ngrams(n)
-            found, counts = np.unique(grams[known(grams)], return_counts=True)
+            found, counts = np.unique(grams_of(words, n, known)[0], return_counts=True)
             # The number of words goes without an n-gram.
             keys = pa.array([None, *signed(found).tolist()], pa.int64())
             yield pa.RecordBatch.from_arrays([keys, pa.array(np.concatenate(([len(words.hash)], counts)))], names=["gram", "found"])
@@ -107,13 +138,14 @@ def passage_batches(batches: Iterator[pa.RecordBatch], n: int, seeds: GramFilter
     for batch in batches:
         for piece in pieces(batch, "text"):
             words = words_of(piece.column("text"))
-            grams, index = words.ngrams(n)
-            hits = seeds(grams)
-            if not len(hits):
+            grams, index, _ = grams_of(words, n, seeds)
+            if not len(grams):
                 continue
-            doc = words.doc[index[hits]]
-            low = np.maximum(index[hits] - reach, words.first[doc])
-            high = np.minimum(index[hits] + n + reach, words.first[doc + 1])
+            order = np.argsort(index, kind="stable")
+            grams, index = grams[order], index[order]
+            doc = words.doc[index]
+            low = np.maximum(index - reach, words.first[doc])
+            high = np.minimum(index + reach_of(n) + reach, words.first[doc + 1])
             fresh = np.concatenate(([True], (doc[1:] != doc[:-1]) | (low[1:] > high[:-1])))
             begin = np.flatnonzero(fresh)
             start, stop = low[begin], np.maximum.reduceat(high, begin)
@@ -124,7 +156,7 @@ def passage_batches(batches: Iterator[pa.RecordBatch], n: int, seeds: GramFilter
                 [
                     pa.array(number + np.arange(rows)), piece.column("doc_id").take(pa.array(doc[begin])).cast(pa.int64()),
                     pa.array(start - words.first[doc[begin]]), list_column(signed(words.hash)[inside], sizes),
-                    list_column(signed(grams[hits]), np.diff(begin, append=len(hits))),
+                    list_column(signed(grams), np.diff(begin, append=len(grams))),
                 ],
                 names=["passage", "doc_id", "first_word", "words", "grams"],
             )
@@ -190,18 +222,20 @@ def contaminated(docs: DataFrame, items: DataFrame, n: int = GRAM, least: float
     spark = docs.sparkSession
     small_batches(spark, 500)
     docs, items = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), items.select("item_id", "text")
-    held = stage(items.mapInArrow(lambda it: item_batches(it, n), "item_id long, words array<long>, grams array<long>"), "leak-items")
+    held = stage(items.mapInArrow(lambda it: item_batches(it, n), "item_id long, words array<long>, grams array<long>, shapes array<long>"), "leak-items")
     grams = held.select("item_id", F.explode(F.array_distinct("grams")).alias("gram"))
     known = GramFilter(grams.select("gram").distinct())
     counted = docs.mapInArrow(lambda it: count_batches(it, n, known), "gram long, found long").groupBy("gram").agg(F.sum("found").alias("found"))
     counted = stage(counted, "leak-counts")
     total = counted.where("gram IS NULL").first()
     most = max(FEW, (total["found"] if total else 0) // RARE_IN)
-    placed = held.select("item_id", F.xxhash64("words").alias("version"), F.posexplode("grams").alias("at", "gram"))
-    placed = placed.join(counted, "gram", "left").withColumn("found", F.coalesce("found", F.lit(0)))
-    order = Window.partitionBy("item_id", "version").orderBy("at")
+    placed = held.select("item_id", F.xxhash64("words").alias("version"), "shapes", F.posexplode("grams").alias("at", "gram"))
+    placed = placed.withColumn("shape", F.get("shapes", "at")).drop("shapes").join(counted, "gram", "left").withColumn("found", F.coalesce("found", F.lit(0)))
+    order = Window.partitionBy("item_id", "version", "shape").orderBy("at")
     beside = F.greatest(F.lag("found", 1, 0).over(order), F.lead("found", 1, 0).over(order))
-    seeds = placed.withColumn("beside", beside).where((F.col("found") > 0) & ((F.col("found") <= most) | (2 * F.col("beside") >= F.col("found"))))
+    # Frequent runs of fewer words have frequent neighbours without any leak.
+    leaked = (F.col("shape") >= n - 2) & (2 * F.col("beside") >= F.col("found"))
+    seeds = placed.withColumn("beside", beside).where((F.col("found") > 0) & ((F.col("found") <= most) | leaked))
     seeds = stage(seeds.select("gram", "item_id").distinct(), "leak-seeds")
     wanted = GramFilter(seeds.select("gram").distinct())
     reach = held.agg(F.max(F.size("words"))).first()[0] or 0
