@@ -8,7 +8,7 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewatch.llm import decontaminate, kneser_ney, langid, line_windows, minhash, mixing, secret_scan, token_blocks, vector_join, warc
+from tidewatch.llm import decontaminate, kneser_ney, langid, line_windows, minhash, mixing, secret_scan, sharding, token_blocks, vector_join, warc
 from tidewatch.llm.common import table
 from tidewatch.session import configure
 
@@ -186,3 +186,8 @@ def near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op7_kneser_ney_quality")
 def text_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kneser_ney.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query("op11_packed_shards")
+def packed_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shard_places(table(spark, sf_dir, "documents"))
