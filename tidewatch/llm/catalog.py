@@ -8,7 +8,7 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewatch.llm import decontaminate, kneser_ney, langid, line_windows, minhash, mixing, secret_scan, sharding, token_blocks, vector_join, warc
+from tidewatch.llm import decontaminate, kneser_ney, langid, line_windows, minhash, mixing, prefix_trie, secret_scan, sharding, token_blocks, vector_join, warc
 from tidewatch.llm.common import table
 from tidewatch.session import configure
 
@@ -191,3 +191,8 @@ def text_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op11_packed_shards")
 def packed_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_places(table(spark, sf_dir, "documents"))
+
+
+@query("op12_prefix_trie")
+def conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.prefix_trie(table(spark, sf_dir, "conversations")).drop("k1", "k2")
