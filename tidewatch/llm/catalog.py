@@ -8,7 +8,7 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewatch.llm import decontaminate, kneser_ney, langid, line_windows, minhash, mixing, prefix_trie, secret_scan, sharding, token_blocks, vector_join, warc
+from tidewatch.llm import decontaminate, hard_negatives, kneser_ney, langid, line_windows, minhash, mixing, prefix_trie, secret_scan, sharding, token_blocks, vector_join, warc
 from tidewatch.llm.common import table
 from tidewatch.session import configure
 
@@ -70,6 +70,23 @@ SELECT id AS vec_id, (SELECT count(*) FROM both_ways WHERE me = id)::BIGINT AS n
 """
 
 
+HARD_NEGATIVES = """
+WITH q AS (
+    SELECT vec_id, (CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END) AS label, [floor(256 * x::DOUBLE) FOR x IN embedding] AS v
+    FROM embeddings WHERE label IS NOT NULL AND len(embedding) > 0 AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
+),
+s AS (
+    SELECT a.vec_id AS a, c.vec_id AS c, a.label = c.label AS same, list_inner_product(a.v, c.v)::BIGINT AS score
+    FROM q a JOIN q c ON a.vec_id % 100 = 0 AND a.vec_id <> c.vec_id
+),
+p AS (SELECT a, c, score FROM s WHERE same QUALIFY row_number() OVER (PARTITION BY a ORDER BY score DESC, c) <= 5)
+SELECT p.a AS anchor_id, p.c AS positive_id, row_number() OVER (PARTITION BY p.a, p.c ORDER BY s.score DESC, s.c)::INTEGER AS rank, s.c AS negative_id,
+    p.score AS positive_score, s.score AS negative_score
+FROM p JOIN s ON s.a = p.a AND NOT s.same AND 80 * p.score <= 100 * s.score AND s.score <= p.score
+QUALIFY rank <= 5
+"""
+
+
 def _secret_sql() -> str:
     parts = []
     for rank, rule in enumerate(secret_scan.RULES):
@@ -196,3 +213,8 @@ def packed_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op12_prefix_trie")
 def conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie.prefix_trie(table(spark, sf_dir, "conversations")).drop("k1", "k2")
+
+
+@query("op13_hard_negatives", HARD_NEGATIVES)
+def mined_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hard_negatives.mine_embeddings(table(spark, sf_dir, "embeddings"))
