@@ -3,9 +3,12 @@
 import collections
 import gzip
 import hashlib
+import random
+import unicodedata
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -57,6 +60,28 @@ def test_token_files_of_odd_documents(spark, shard_docs):
     assert middle[0]["start"] == total // 3 and sum(len(r["ids"]) for r in middle) == total // 2 - total // 3
 
 
+def wrong_ids(texts):
+    """The texts whose ids are not the tokenizer's."""
+    path = catalog.tokenizer_file()
+    ids, sizes = token_blocks.Encoder(path).encode(pa.array(texts))
+    want = Tokenizer.from_file(path).encode_batch_fast(texts, add_special_tokens=False)
+    ends = np.cumsum(sizes)
+    return [t for t, w, n, end in zip(texts, want, sizes, ends) if w.ids != ids[end - n : end].tolist()]
+
+
+def test_every_letter_before_every_mark():
+    letters = [c for c in map(chr, range(0x21, 0x20000)) if unicodedata.category(c)[0] in "LM"]
+    closed = [" ".join([f"{c}{m} ab{c}{m}" for m in ".,;:!?"]) for c in letters]
+    inside = [f"{c}b, a{c}b a{c}{c}!?. É{c}.,; {c}" for c in letters]
+    assert len(letters) > 30_000 and wrong_ids([f"{a} {b}" for a, b in zip(closed, inside)]) == []
+
+
+def test_random_texts_with_letters_that_decompose():
+    rng = random.Random(1)
+    odd = [*"İıΣςßǅẞﬁǄ", "\u0958", "\u09df", "\u05d9\u05b4", "\ufb1d", "\ufb2a", "e\u0301", "\u0345", "'s", "'RE", "<|endoftext|>"]
+    assert wrong_ids(["".join(rng.choice([*odd, *"abcXYZ .,;:!?'0 -\n"]) for _ in range(rng.randrange(60))) for _ in range(6000)]) == []
+
+
 def test_token_query_and_empty_table(spark):
     docs = [(r.doc_id, r.text) for r in spark.read.parquet(f"{SMALL}/documents.parquet").collect()]
     got = sorted((tuple(r) for r in catalog.QUERIES["op2_token_blocks"](spark, SMALL).collect()), key=lambda r: r[1])

@@ -53,6 +53,25 @@ SEGMENTS = (
 DOCUMENTS = "doc_id long, shard long, in_shard long, n_tokens long, ids_crc32 long"
 
 
+def letters_apart(tokenizer) -> str:
+    """The inside of a class of letters after which closing marks are pieces of their own, whatever came before.
+
+    Normalising may end a letter in a combining mark, as the dotted capital I, and that joins
+    the closing mark. So the tokenizer itself says for each letter below U+3000 what it does.
+    """
+    letters = [c for c in map(chr, range(0x3000)) if unicodedata.category(c).startswith("L")]
+    words = tokenizer.normalizer.normalize_str(" ".join(f"{c}," for c in letters)).split(" ")
+    pieces = [[p for p, _ in tokenizer.pre_tokenizer.pre_tokenize_str(word)] for word in words]
+    apart = [ord(c) for c, some in zip(letters, pieces, strict=True) if len(some) > 1 and some[-1] == ","]
+    runs = [[c, c] for c in apart[:1]]
+    for c in apart[1:]:
+        if c == runs[-1][1] + 1:
+            runs[-1][1] = c
+        else:
+            runs.append([c, c])
+    return "".join(rf"\x{{{low:x}}}-\x{{{high:x}}}" for low, high in runs)
+
+
 def is_plain(word: str) -> bool:
     """Whether composing and lower-casing would leave the word as it is."""
     return word.islower() and (word.isascii() or (word.lower() == word and unicodedata.is_normalized("NFC", word)))
@@ -84,6 +103,7 @@ class Encoder:
         self.ends_word = np.zeros(size, bool)
         for token, i in self.tokenizer.get_vocab().items():
             self.ends_word[i] = token.endswith("</w>")
+        self.closing = rf"([{letters_apart(self.tokenizer)}])([.,;:!?]+)(\s|$)"
         self.forget()
 
     def forget(self) -> None:
@@ -143,11 +163,11 @@ class Encoder:
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids, and how many each text has."""
         texts = pc.fill_null(texts, "")
-        # The vocabulary has lower case only, and a letter and a closing mark are never one id;
-        # both only make fewer distinct words. Special tokens are case-sensitive.
+        # The vocabulary has lower case only, and closing marks after most letters are pieces of
+        # their own; both only make fewer distinct words. Special tokens are case-sensitive.
         if not pc.any(pc.match_substring(texts, "<|")).as_py():
             texts = pc.ascii_lower(texts)
-        lists = pc.ascii_split_whitespace(pc.replace_substring_regex(texts, r"(\pL)([.,;:!?]+)(\s|$)", r"\1 \2\3"))
+        lists = pc.ascii_split_whitespace(pc.replace_substring_regex(texts, self.closing, r"\1 \2\3"))
         coded = pc.list_flatten(lists).dictionary_encode()
         words = np.array(coded.dictionary.to_pylist(), object)
         if len(self.known) > MEMORY_WORDS:
