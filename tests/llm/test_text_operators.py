@@ -140,6 +140,36 @@ def test_near_duplicates_equal_all_pairs(spark, n):
     assert got == plain_groups(rows, n)
 
 
+@pytest.mark.parametrize("percent", [50, 60])
+def test_no_link_is_lost_at_other_similarities(spark, percent):
+    rng = random.Random(percent)
+    rows, links = [], 0
+    for i in range(0, 600, 2):
+        base = sentence(rng, 60, 10**6).split()
+        sets = [shingle_set(" ".join(base), 3)]
+        for changed in range(25, 0, -1):
+            near = base[:]
+            for at in rng.sample(range(60), changed):
+                near[at] = "x" + near[at]
+            sets[1:] = [shingle_set(" ".join(near), 3)]
+            if 100 * len(sets[0] & sets[1]) >= percent * len(sets[0] | sets[1]):
+                links += 1
+                break
+        rows += [(i, " ".join(base)), (i + 1, " ".join(near))]
+    found = minhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), shingle=3, percent=percent)
+    assert links == 300 and found.where("component_id = doc_id").count() == 300
+
+
+def test_a_large_group_is_split(spark, monkeypatch):
+    monkeypatch.setattr(minhash, "PAIRS_PER_COPY", 7)
+    rng = random.Random(11)
+    base = sentence(rng, 80)
+    near = [base.replace(" ", f" n{i} ", 1) for i in range(400)]
+    rows = [(i, t) for i, t in enumerate([base, *near, *[sentence(rng, 30) for _ in range(50)]])]
+    got = {r.doc_id: r.component_id for r in minhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {i: 0 if i <= 400 else i for i in range(451)}
+
+
 def test_near_duplicates_query(spark):
     docs = spark.read.parquet(f"{SMALL}/documents.parquet")
     got = {r.doc_id: (r.n_shingles, r.component_id) for r in catalog.QUERIES["op3_minhash_near_duplicates"](spark, SMALL).collect()}

@@ -2,12 +2,15 @@
 
 Two permutations make the whole signature: ``sigma`` scatters the shingles over 2**32 places,
 and coordinate ``k`` is the smallest ``pi(place + k)``, that is ``pi`` shifted circularly by
-``k``. Texts that agree in all rows of a band are candidates. With 32 bands of 4 rows a pair of
-similarity 0.8 is missed once in 20 million times.
+``k``. Texts that agree in all rows of a band are candidates. ``banding`` takes as many rows a band
+as miss a pair of the asked similarity once in a million times at most: 32 bands of 4 rows at
+0.8, where one in 20 million is missed, 64 of 2 at 0.5.
 
 Hot groups: texts with equal words form one class and only its smallest ``doc_id`` goes on, so
 exact copies cost one row each. In a band's bucket every member meets the smallest one first;
-what that links needs no more comparison, so a bucket of near copies is linear. Texts that
+what that links needs no more comparison, so a bucket of near copies is linear; the few buckets
+with many members are broadcast, and the text that many others meet is given out in as many
+copies as they need. Texts that
 share a passage but little else crowd buckets without being similar. Members of buckets that
 still hold several components are therefore regrouped by the rarest shingles of their sets:
 two sets of similarity t share one of the ``n - ceil(t n) + 1`` rarest of each, whatever the
@@ -20,6 +23,7 @@ own text; an empty table gives an empty result.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from hashlib import blake2b
 
@@ -31,21 +35,47 @@ from pyspark.sql import functions as F
 
 from tidewatch.llm.common import named, small_batches
 from tidewatch.llm.components import components
+from tidewatch.llm.numbering import join_uneven
 from tidewatch.llm.textarrays import ODD, Words, between_blanks, lists, mix64, pieces
 from tidewatch.session import stage
 
 SHINGLE = 5
 PERCENT = 80
-BANDS = 32
-ROWS = 4
-#: Of 128 signature bits, pairs of similarity 0.8 differ in 13 +- 3.4; beyond 36 (one in 10**9) a pair isn't verified.
-MOST_BITS = 36
+#: Coordinates of a signature, and signature bits that are kept of them.
+COORDINATES = 128
+BITS = 128
+#: How often banding may miss a pair of the asked similarity, and how often its bits may rule one out.
+MISSED = 1e-6
+RULED_OUT = 1e-10
+#: Pairs that meet one copy of a text.
+PAIRS_PER_COPY = 512
 #: Places of the table that says how rare a shingle is; a power of two.
 PLACES = 1 << 18
 
 SIGNATURES = "doc_id long, class1 long, class2 long, n_shingles long, bits1 long, bits2 long, bands array<long>"
 
 
+def banding(percent: int, coordinates: int = COORDINATES) -> tuple[int, int]:
+    """Bands and rows: the longest rows, a power of two, that miss no more than MISSED of the pairs of similarity ``percent``."""
+    rows, similarity = 1, percent / 100
+    while 2 * rows <= coordinates and (1 - similarity ** (2 * rows)) ** (coordinates // (2 * rows)) <= MISSED:
+        rows *= 2
+    return coordinates // rows, rows
+
+
+def most_bits(percent: int, bits: int = BITS) -> int:
+    """In how many signature bits a pair of similarity ``percent`` differs at most, but for RULED_OUT of all pairs.
+
+    Where two coordinates differ, their bits do in half of all cases.
+    """
+    p, tail = (1 - percent / 100) / 2, 0.0
+    for differ in range(bits, -1, -1):
+        tail += math.comb(bits, differ) * p**differ * (1 - p) ** (bits - differ)
+        if tail > RULED_OUT:
+            return differ
+    return 0
+
+
 def _pi(x: np.ndarray, spare: np.ndarray) -> np.ndarray:
     """A fixed permutation of the 32-bit numbers, in place."""
     for shift, factor in ((16, 0x7FEB352D), (15, 0x846CA68B)):
@@ -177,7 +207,7 @@ def might_be_similar(percent: int) -> Column:
     """What sizes and signature bits allow, for the columns of a pair named ``_a`` and ``_b``."""
     differ = sum(F.bit_count(F.col(f"{c}_a").bitwiseXOR(F.col(f"{c}_b"))) for c in ("bits1", "bits2"))
     small, large = F.least("n_shingles_a", "n_shingles_b"), F.greatest("n_shingles_a", "n_shingles_b")
-    return (100 * small >= percent * large) & (differ <= MOST_BITS)
+    return (100 * small >= percent * large) & (differ <= most_bits(percent))
 
 
 def side(rows: DataFrame, suffix: str, keep: tuple = ()) -> DataFrame:
@@ -185,14 +215,22 @@ def side(rows: DataFrame, suffix: str, keep: tuple = ()) -> DataFrame:
 
 
 def star_links(members: DataFrame, reps: DataFrame, docs: DataFrame, shingle: int, percent: int) -> DataFrame:
-    """Links of each bucket's members with its smallest one, confirmed on whole texts."""
+    """Links of each bucket's members with its smallest one, confirmed on whole texts.
+
+    The smallest member of a large group is in as many pairs as the group has members. Facts
+    about the few such documents are broadcast, and their texts are given out in copies.
+    """
     facts = reps.select("doc_id", "n_shingles", "bits1", "bits2")
-    pairs = members.where("doc_id <> low").select(F.col("doc_id").alias("a"), F.col("low").alias("b")).distinct()
-    for suffix in ("a", "b"):
-        pairs = pairs.join(side(facts, suffix), F.col(suffix) == F.col(f"doc_id_{suffix}"))
-    pairs = stage(pairs.where(might_be_similar(percent)).select("a", "b").distinct(), "minhash-pairs")
-    for suffix in ("a", "b"):
-        pairs = pairs.join(docs.select(F.col("doc_id").alias(suffix), F.col("text").alias(f"text_{suffix}")), suffix)
+    pairs = stage(members.where("doc_id <> low").select(F.col("doc_id").alias("a"), F.col("low").alias("b")).distinct(), "minhash-stars")
+    met = stage(pairs.groupBy("b").agg(F.count("*").alias("met")), "minhash-hubs")
+    hubs = side(facts, "b").withColumnRenamed("doc_id_b", "b").join(met, "b")
+    pairs = join_uneven(pairs.join(side(facts, "a").withColumnRenamed("doc_id_a", "a"), "a"), hubs, ["b"], "met", pairs.count())
+    copies = F.ceil(F.col("met") / PAIRS_PER_COPY)
+    part = F.pmod(F.xxhash64("a"), copies).alias("part")
+    pairs = stage(pairs.where(might_be_similar(percent)).select("a", "b", part), "minhash-pairs")
+    needed = pairs.select("b", "part").distinct()
+    texts = docs.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b"))
+    pairs = pairs.join(docs.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a")), "a").join(needed.join(texts, "b"), ["b", "part"])
     return stage(pairs.mapInArrow(lambda it: verify_batches(it, shingle, percent), "a long, b long"), "minhash-links")
 
 
@@ -209,9 +247,11 @@ def crowd_links(crowd: DataFrame, reps: DataFrame, docs: DataFrame, shingle: int
     facts = reps.select("doc_id", "n_shingles", "bits1", "bits2")
     keyed = rarest.join(facts, "doc_id").select(F.posexplode("keys").alias("at", "key"), "doc_id", "group", "n_shingles", "bits1", "bits2")
     keyed = stage(keyed, "minhash-rarest")
-    mixed = keyed.groupBy("key").agg(F.min("group").alias("low_group"), F.max("group").alias("high_group")).where("low_group < high_group")
+    mixed = keyed.groupBy("key").agg(
+        F.min("group").alias("low_group"), F.max("group").alias("high_group"), F.count("*").alias("n")
+    ).where("low_group < high_group")
     # The higher of two groups is not the lowest: members of the lowest, the many, are on one side only.
-    left = side(keyed.join(mixed, "key").where("group > low_group").drop("low_group", "high_group"), "a")
+    left = side(join_uneven(keyed, mixed, ["key"], "n", keyed.count()).where("group > low_group").drop("low_group", "high_group", "n"), "a")
     # The first key that two sets share has nothing shared before it, so what can be shared at most is what follows.
     follows = F.least(F.col("n_shingles_a") - F.col("at_a"), F.col("n_shingles_b") - F.col("at_b"))
     enough = (100 + percent) * follows >= percent * (F.col("n_shingles_a") + F.col("n_shingles_b"))
@@ -224,8 +264,9 @@ def crowd_links(crowd: DataFrame, reps: DataFrame, docs: DataFrame, shingle: int
     return stage(pairs.mapInArrow(lambda it: verify_sets(it, percent), "a long, b long"), "minhash-links")
 
 
-def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
+def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """``doc_id, n_shingles, component_id, kept`` for every row of ``docs(doc_id, text)``."""
+    bands, rows = banding(percent)
     small_batches(docs.sparkSession, 500)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     signed = stage(docs.mapInArrow(lambda it: sign_batches(it, shingle, bands, rows), SIGNATURES), "minhash-signed")
@@ -234,13 +275,14 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERC
     reps = stage(usable.groupBy("class1", "class2").agg(F.min(carried).alias("rep")).select("class1", "class2", "rep.*"), "minhash-reps")
     entries = reps.select("doc_id", F.explode("bands").alias("key"))
     buckets = entries.groupBy("key").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"), F.count("*").alias("members"))
-    members = stage(entries.join(buckets.where("low < high"), "key"), "minhash-members")
+    entered = reps.count() * bands
+    members = stage(join_uneven(entries, buckets.where("low < high"), ["key"], "members", entered), "minhash-members")
     links = star_links(members, reps, docs, shingle, percent)
     grouped = components(links)
     placed = members.where("members > 2").join(grouped, F.col("doc_id") == F.col("node"), "left")
     placed = stage(placed.select("key", "doc_id", F.coalesce("component", "doc_id").alias("group")), "minhash-placed")
-    crowded = placed.groupBy("key").agg(F.min("group").alias("low"), F.max("group").alias("high")).where("low < high").select("key")
-    crowd = stage(placed.join(crowded, "key").select("doc_id", "group").distinct(), "minhash-crowd")
+    crowded = placed.groupBy("key").agg(F.min("group").alias("low"), F.max("group").alias("high"), F.count("*").alias("n")).where("low < high")
+    crowd = stage(join_uneven(placed, crowded.select("key", "n"), ["key"], "n", placed.count()).select("doc_id", "group").distinct(), "minhash-crowd")
     more = crowd_links(crowd, reps, docs, shingle, percent)
     if not more.isEmpty():
         grouped = components(links.union(more))

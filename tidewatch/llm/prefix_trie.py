@@ -220,9 +220,8 @@ def subtree_totals(nodes: DataFrame, steps: DataFrame, names: tuple[str, ...], p
     root down. Each round splits every component above ``piece`` at its centroid; the driver
     sees one number a round.
     """
-    spark = nodes.sparkSession
     zero = F.lit(0).cast("long")
-    current = nodes.select(*_ID, *_UP, "depth", "owner", "weight", *names, zero.alias("c1"), zero.alias("c2"))
+    current = stage(nodes.select(*_ID, *_UP, "depth", "owner", "weight", *names, zero.alias("c1"), zero.alias("c2")), "trie-roots")
     small, added = [], []
     while True:
         tops = current.where("k1 = c1 AND k2 = c2").select(*_COMPONENT, F.col("weight").alias("whole"), F.col("depth").alias("top"))
@@ -260,7 +259,7 @@ def subtree_totals(nodes: DataFrame, steps: DataFrame, names: tuple[str, ...], p
         rest = rest.unionByName(more)
     rest = stage(rest, "trie-small")
     bundles = max(1, math.ceil(rest.count() / BUNDLE))
-    small_batches(spark)
+    small_batches(nodes.sparkSession)
     kind = "k1 long, k2 long, " + ", ".join(f"{c} long" for c in names)
     local = rest.withColumn("bundle", F.pmod(F.xxhash64(*_COMPONENT), F.lit(bundles))).groupBy("bundle").applyInArrow(lambda table: _totals_of(table, names), kind)
     for more in added:
