@@ -155,7 +155,9 @@ def member_digests(ends: DataFrame) -> DataFrame:
     several = parts.join(F.broadcast(counted.where("parts > 1").select(*_ID)), _ID, "left_semi")
     small_batches(ends.sparkSession, 1)
     ordered = several.repartition(*_ID).sortWithinPartitions(*_ID, "slice").select(*_ID, "joined")
-    long = ordered.mapInArrow(_hash_batches, "k1 long, k2 long, ends_sha256 string")
+    # Written here, as batches of one text are for this step alone.
+    long = stage(ordered.mapInArrow(_hash_batches, "k1 long, k2 long, ends_sha256 string"), "trie-long")
+    small_batches(ends.sparkSession)
     return counted.where("parts = 1").select(*_ID, "ends_sha256").unionByName(long)
 
 
