@@ -49,6 +49,8 @@ MISSED = 1e-6
 RULED_OUT = 1e-10
 #: Pairs that meet one copy of a text.
 PAIRS_PER_COPY = 512
+#: Buckets, hubs and shingles are joined by broadcasting those above one in so many of all rows; there are no more of them.
+HEAVY_BUCKETS = 16_384
 #: Places of the table that says how rare a shingle is; a power of two.
 PLACES = 1 << 18
 
@@ -224,13 +226,16 @@ def star_links(members: DataFrame, reps: DataFrame, docs: DataFrame, shingle: in
     pairs = stage(members.where("doc_id <> low").select(F.col("doc_id").alias("a"), F.col("low").alias("b")).distinct(), "minhash-stars")
     met = stage(pairs.groupBy("b").agg(F.count("*").alias("met")), "minhash-hubs")
     hubs = side(facts, "b").withColumnRenamed("doc_id_b", "b").join(met, "b")
-    pairs = join_uneven(pairs.join(side(facts, "a").withColumnRenamed("doc_id_a", "a"), "a"), hubs, ["b"], "met", pairs.count())
-    copies = F.ceil(F.col("met") / PAIRS_PER_COPY)
-    part = F.pmod(F.xxhash64("a"), copies).alias("part")
-    pairs = stage(pairs.where(might_be_similar(percent)).select("a", "b", part), "minhash-pairs")
-    needed = pairs.select("b", "part").distinct()
-    texts = docs.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b"))
-    pairs = pairs.join(docs.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a")), "a").join(needed.join(texts, "b"), ["b", "part"])
+    pairs = join_uneven(pairs.join(side(facts, "a").withColumnRenamed("doc_id_a", "a"), "a"), hubs, ["b"], "met", pairs.count(), HEAVY_BUCKETS)
+    pairs = stage(pairs.where(might_be_similar(percent)).select("a", "b"), "minhash-pairs")
+    # Beyond one copy's pairs a hub has several; there are few such hubs.
+    several = F.broadcast(met.where(F.col("met") > PAIRS_PER_COPY).select("b", F.ceil(F.col("met") / PAIRS_PER_COPY).alias("copies")))
+    copies = F.coalesce("copies", F.lit(1))
+    left = pairs.join(docs.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a")), "a").join(several, "b", "left")
+    left = left.select("a", "b", "text_a", F.pmod(F.xxhash64("a"), copies).alias("part"))
+    texts = docs.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b")).join(pairs.select("b").distinct(), "b").join(several, "b", "left")
+    texts = texts.select("b", "text_b", F.explode(F.sequence(F.lit(0).cast("long"), copies - 1)).alias("part"))
+    pairs = left.join(texts, ["b", "part"])
     return stage(pairs.mapInArrow(lambda it: verify_batches(it, shingle, percent), "a long, b long"), "minhash-links")
 
 
@@ -251,7 +256,7 @@ def crowd_links(crowd: DataFrame, reps: DataFrame, docs: DataFrame, shingle: int
         F.min("group").alias("low_group"), F.max("group").alias("high_group"), F.count("*").alias("n")
     ).where("low_group < high_group")
     # The higher of two groups is not the lowest: members of the lowest, the many, are on one side only.
-    left = side(join_uneven(keyed, mixed, ["key"], "n", keyed.count()).where("group > low_group").drop("low_group", "high_group", "n"), "a")
+    left = side(join_uneven(keyed, mixed, ["key"], "n", keyed.count(), HEAVY_BUCKETS).where("group > low_group").drop("low_group", "high_group", "n"), "a")
     # The first key that two sets share has nothing shared before it, so what can be shared at most is what follows.
     follows = F.least(F.col("n_shingles_a") - F.col("at_a"), F.col("n_shingles_b") - F.col("at_b"))
     enough = (100 + percent) * follows >= percent * (F.col("n_shingles_a") + F.col("n_shingles_b"))
@@ -276,13 +281,13 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERC
     entries = reps.select("doc_id", F.explode("bands").alias("key"))
     buckets = entries.groupBy("key").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"), F.count("*").alias("members"))
     entered = reps.count() * bands
-    members = stage(join_uneven(entries, buckets.where("low < high"), ["key"], "members", entered), "minhash-members")
+    members = stage(join_uneven(entries, buckets.where("low < high"), ["key"], "members", entered, HEAVY_BUCKETS), "minhash-members")
     links = star_links(members, reps, docs, shingle, percent)
     grouped = components(links)
     placed = members.where("members > 2").join(grouped, F.col("doc_id") == F.col("node"), "left")
     placed = stage(placed.select("key", "doc_id", F.coalesce("component", "doc_id").alias("group")), "minhash-placed")
     crowded = placed.groupBy("key").agg(F.min("group").alias("low"), F.max("group").alias("high"), F.count("*").alias("n")).where("low < high")
-    crowd = stage(join_uneven(placed, crowded.select("key", "n"), ["key"], "n", placed.count()).select("doc_id", "group").distinct(), "minhash-crowd")
+    crowd = stage(join_uneven(placed, crowded.select("key", "n"), ["key"], "n", placed.count(), HEAVY_BUCKETS).select("doc_id", "group").distinct(), "minhash-crowd")
     more = crowd_links(crowd, reps, docs, shingle, percent)
     if not more.isEmpty():
         grouped = components(links.union(more))

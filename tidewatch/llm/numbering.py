@@ -38,13 +38,13 @@ def sliced(rows: DataFrame, order: list[str | Column], name: str) -> DataFrame:
     return stage(rows.repartitionByRange(*order).withColumn("slice", F.spark_partition_id()), name)
 
 
-def join_uneven(left: DataFrame, right: DataFrame, on: list[str], copies: str, total: int) -> DataFrame:
+def join_uneven(left: DataFrame, right: DataFrame, on: list[str], copies: str, total: int, most_heavy: int = MOST_HEAVY) -> DataFrame:
     """Inner join where ``right`` knows in ``copies`` how many rows of ``left`` each of its keys meets, of ``total``.
 
-    The rows of ``right`` that meet more than one in MOST_HEAVY of all are that few, and are
+    The rows of ``right`` that meet more than one in ``most_heavy`` of all are that few, and are
     broadcast; the others are joined by a shuffle in which no key has many rows.
     """
-    most = max(1, total // MOST_HEAVY)
+    most = max(1, total // most_heavy)
     heavy = F.broadcast(right.where(F.col(copies) > most))
     light = left.join(heavy.select(*on), on, "left_anti").join(right.where(F.col(copies) <= most), on)
     return left.join(heavy, on).unionByName(light)
