@@ -29,7 +29,7 @@ from tidewatch.operators.normalize_packets import normalize_packets, packet_text
 from tidewatch.plans.enrich import FirewallRun, Settings, enrich_firewall, enrich_packets, refresh_indicators
 from tidewatch.schema import TRAFFIC_POSITIONS
 from tidewatch.session import configure, stage_path
-from tidewatch.sources import readers, sinks
+from tidewatch.sources import readers, sinks, store
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 TWINS: dict[str, str] = {}
@@ -720,7 +720,7 @@ def _stored_report(spark, sf_dir):
     """A report on one week of a store by days opens only that week's folders."""
     path = stage_path(spark, "store-by-day")
     sinks.write_event_store(event_store(spark, sf_dir), path)
-    week = sinks.read_event_store(spark, path, dt.datetime(2024, 1, 5, 6), dt.datetime(2024, 1, 12))
+    week = store.read_event_store(spark, path, dt.datetime(2024, 1, 5, 6), dt.datetime(2024, 1, 12))
     return reports.top_source_ips(week)
 
 

@@ -11,6 +11,7 @@ from collections import Counter
 import duckdb
 from pyspark.sql import SparkSession
 
+import checks.streams  # noqa: F401  (registers its queries)
 from checks.catalog import QUERIES, TWINS
 
 

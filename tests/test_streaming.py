@@ -8,13 +8,12 @@ from pyspark.sql import functions as F
 
 from tidewatch.operators import alerts, reports
 from tidewatch.operators.behavior import behavior
-from tidewatch.plans.enrich import Settings
+from tidewatch.plans.enrich import Settings, enrich_firewall
 from tidewatch.session import work_dir
-from tidewatch.sources import readers, sinks
+from tidewatch.sources import readers, sinks, store
 from tidewatch.sources.snapshots import publish_snapshot
-from tidewatch.streaming import state
-from tidewatch.streaming.state import batch_behavior
-from tidewatch.streaming.streams import STATE_STORE, StreamPaths, stream_alert_runs, stream_behavior, stream_enrich, stream_enrich_packets
+from tidewatch.streaming.counts import STATE_STORE, batch_epochs, stream_behavior
+from tidewatch.streaming.streams import StreamPaths, stream_alert_runs, stream_enrich, stream_enrich_packets
 
 from tests.test_behavior_geo import events
 from tests.test_detect import indicator_table
@@ -38,19 +37,19 @@ def staged(spark):
 
 
 def test_stream_feeds_alerts_and_reports_through_the_store(spark, tmp_path):
-    source, intel, store = tmp_path / "in", str(tmp_path / "intel"), str(tmp_path / "store")
+    source, intel, kept = tmp_path / "in", str(tmp_path / "intel"), str(tmp_path / "store")
     source.mkdir()
     publish_snapshot(indicator_table(spark), intel)
     lines = readers.read_log_lines(spark, str(source), streaming=True, options={"maxFilesPerTrigger": "1"})
-    where = StreamPaths(**{**vars(paths(str(tmp_path / "out"))), "store": store})
+    where = StreamPaths(**{**vars(paths(str(tmp_path / "out"))), "store": kept})
     for name, count in (("a.txt", 3), ("b.txt", 2)):
         (source / name).write_text("\n".join([common(p8="9.9.9.9")] * count) + "\n")
     drain(stream_enrich(lines, intel, where, trigger={"availableNow": True}))
-    stored = sinks.read_event_store(spark, store)
+    stored = store.read_event_store(spark, kept)
     assert stored.count() == 5 and stored.select("event_id").distinct().count() == 5
     assert [(r.source_address, r["count"]) for r in reports.top_blocklisted_sources(stored).collect()][0][1] == 5
-    raw = spark.read.parquet(store)
-    source_stream = spark.readStream.schema(raw.schema).parquet(store)
+    raw = spark.read.parquet(kept)
+    source_stream = spark.readStream.schema(raw.schema).parquet(kept)
     # Two marks far later close the windows of the events.
     late = raw.limit(1).withColumn("ingest_ts", F.col("ingest_ts") + F.expr("interval 1 day")).drop("batch", "day")
     runs = alerts.IOC_ALERT
@@ -58,7 +57,7 @@ def test_stream_feeds_alerts_and_reports_through_the_store(spark, tmp_path):
         "checkpointLocation", str(tmp_path / "alerts")).start()
     try:
         query.processAllAvailable()
-        sinks.write_event_store(late, f"{store}/batch=90")
+        sinks.write_event_store(late, f"{kept}/batch=90")
         query.processAllAvailable()
     finally:
         query.stop()
@@ -110,37 +109,47 @@ def test_packet_stream(spark, tmp_path):
 ROWS = [(s, "hot" if i % 3 else "cold", "u", None) for i, s in enumerate([*range(0, 60, 3), *range(500, 520), *range(860, 900, 2), 1259, 1619, 1700, 2100])]
 
 
-def test_counts_go_on_across_batches(spark, tmp_path):
-    frame = events(spark, ROWS).cache()
-    want = {(r.event_id, r.kind): r["count"] for r in behavior(frame, "ts", threshold=4).collect()}
-    got = {}
-    ids = [0, 7, 19, 25, 25, 41, 62, len(ROWS)]
-    for batch, (lo, hi) in enumerate(zip(ids, ids[1:])):
-        part = frame.where(F.col("event_id").between(lo, hi - 1))
-        for _ in range(2 if batch == 2 else 1):  # a repeated batch changes nothing
-            flags = batch_behavior(part, str(tmp_path / "state"), batch, "ts", threshold=4).collect()
-        got.update({(r.event_id, r.kind): r["count"] for r in flags})
-    assert got == want and len(want) > 30
-    # The last epoch began in the last batch; the one before it can still be asked for.
-    assert {"after=5", "after=6"} <= set(os.listdir(tmp_path / "state")) and "after=0" not in os.listdir(tmp_path / "state")
-
-
-def test_a_batch_reads_and_writes_only_its_own_keys(spark, tmp_path, monkeypatch):
-    monkeypatch.setattr(state, "COMPACT", 2)
-    root = str(tmp_path / "state")
-    many = spark.range(50_000).select(F.col("id").alias("event_id"), F.timestamp_seconds(F.lit(1_900_000_000)).alias("ts"), F.col("id").cast("string").alias("src"))
-    batch_behavior(many, root, 0, "ts", threshold=0).count()
-    got = []
-    for batch in range(1, 6):
-        few = spark.createDataFrame([(10**6 + batch, dt.datetime(2030, 3, 17, 17, 46, 40 + batch), "7")], "event_id long, ts timestamp, src string")
-        got += [r["count"] for r in batch_behavior(few, root, batch, "ts", threshold=0).collect()]
-        counts = f"{root}/after={batch}/counts"
-        assert spark.read.parquet(counts).count() == 1 and sum(n.startswith("bucket=") for n in os.listdir(counts)) == 1
-    assert got == list(range(2, 7))
-    clock = state._clock(spark, root, 5)
-    everything = state.stored_counts(spark, state._tables(root, clock, 5))
-    assert everything.count() == 50_000 and everything.where("key = '7'").first()["count"] == 6
-    assert len(os.listdir(root)) < 6
+def test_counts_go_on_over_twenty_batches_and_a_restart(spark, tmp_path):
+    source, intel, out = tmp_path / "in", str(tmp_path / "intel"), str(tmp_path / "out")
+    source.mkdir()
+    publish_snapshot(indicator_table(spark).where("kind = 'ip'"), intel)
+    settings = Settings(threshold=4, time_col="event_ts")
+    times = [s for i in range(20) for s in (i * 100, i * 100 + 1, *([i * 100 + 50] * (i % 4)))]
+    times = [t + (1000 if t >= 700 else 0) + (5000 if t >= 1500 else 0) for t in times]
+    lines, parts = [], {}
+    for n, t in enumerate(times):
+        at = (dt.datetime(2030, 1, 1) + dt.timedelta(seconds=t)).strftime("%Y/%m/%d %H:%M:%S")
+        lines.append(common(p6=at, p7="10.0.0.1" if n % 3 else f"10.0.0.{n % 7}", p14=f"line{n}"))
+        parts.setdefault(n * 20 // len(times), []).append(lines[-1])
+
+    def feed(numbers):
+        for i in numbers:
+            (source / f"{i:02d}.txt").write_text("\n".join(parts[i]) + "\n")
+            os.utime(source / f"{i:02d}.txt", (1_800_000_000 + i, 1_800_000_000 + i))
+        reader = readers.read_log_lines(spark, str(source), streaming=True, options={"maxFilesPerTrigger": "1"})
+        drain(stream_enrich(reader, intel, paths(out), settings=settings, trigger={"availableNow": True}))
+
+    feed(range(9))
+    feed(range(9, 20))
+    (tmp_path / "all.txt").write_text("\n".join(lines) + "\n")
+    with enrich_firewall(readers.read_log_lines(spark, str(tmp_path / "all.txt")), indicator_table(spark), settings=settings) as run:
+        want = sorted(json.dumps(r["forwarder_enrichment"]["behavioral_anomalies"], sort_keys=True) + r["source_zone"] for r in
+                      (json.loads(r.value) for r in run.events.select(sinks.event_json(run.events).alias("value")).collect()) if "behavioral_anomalies" in r.get("forwarder_enrichment", {}))
+    got = [json.loads(r.value) for r in spark.read.text(f"{out}/events").collect()]
+    assert len(got) == len(times)
+    assert sorted(json.dumps(r["forwarder_enrichment"]["behavioral_anomalies"], sort_keys=True) + r["source_zone"] for r in got if "behavioral_anomalies" in r.get("forwarder_enrichment", {})) == want
+    assert len(want) > 20 and not os.listdir(f"{out}/state/taking")
+
+
+def test_epochs_go_on_from_the_clock(spark):
+    frame = events(spark, ROWS)
+    whole = {r.minute: r.epoch for r in batch_epochs(frame, "ts", 5, None)[0].collect()}
+    clock, got = None, {}
+    for lo in range(0, len(ROWS), 7):
+        minutes, clock = batch_epochs(frame.where(F.col("event_id").between(lo, lo + 6)), "ts", 5, clock)
+        got.update({r.minute: r.epoch for r in minutes.collect()})
+    assert got == whole and len(set(whole.values())) > 2
+    assert batch_epochs(frame.limit(0), "ts", 5, clock)[1] == clock
 
 
 def test_sharded_counts_need_their_state_store(spark, tmp_path):
@@ -175,6 +184,29 @@ def test_sharded_counts(spark, tmp_path):
             assert 0 < len(got) < len(want)
 
 
+def test_a_silent_shard_is_cleared(spark, tmp_path):
+    path, checkpoint = str(tmp_path / "in"), str(tmp_path / "c")
+    first = events(spark, [(i, f"s{i % 40}", "u", None) for i in range(200)])
+    first.coalesce(1).write.parquet(path)
+    flags = stream_behavior(spark.readStream.schema(first.schema).parquet(path), "ts", shard=F.hash("user"), shards=64, threshold=4)
+    query = flags.writeStream.format("memory").queryName("silent").outputMode("append").option("checkpointLocation", checkpoint).start()
+
+    def keys():
+        return spark.read.format("statestore").option("stateVarName", "counts").load(checkpoint).count()
+
+    try:
+        query.processAllAvailable()
+        assert keys() == 41
+        # Hours later: the watermark passes the end of the first shard's silence, and its timer clears it.
+        events(spark, [(9000, "late", "other", None)]).coalesce(1).write.mode("append").parquet(path)
+        query.processAllAvailable()
+        events(spark, [(9001, "late", "other", None)]).coalesce(1).write.mode("append").parquet(path)
+        query.processAllAvailable()
+    finally:
+        query.stop()
+    assert keys() == 2 and spark.table("silent").where("kind = 'user'").count() == 196
+
+
 @pytest.mark.parametrize("rule", [alerts.IOC_ALERT, alerts.RULE_ALERT])
 def test_alert_stream(spark, tmp_path, rule):
     rows = [(t, "s", "a", 1, True, False, ["r"]) for t in (0, 59, 60, 61, 299, 301, 900)]

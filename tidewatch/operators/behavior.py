@@ -93,17 +93,26 @@ def activity_epochs(
     )
 
 
+def in_epochs(rows: DataFrame, ts: Column, epochs: DataFrame, spread_by: str = "event_id") -> DataFrame:
+    """``rows`` with a time, plus the ``epoch`` their time belongs to."""
+    return Lookup(epochs.select("minute", "epoch"), "epochs").join(
+        rows.withColumn("minute", F.date_trunc("minute", ts)), ["minute"], "inner", spread_by=spread_by
+    ).drop("minute")
+
+
 def running_counts(keyed: DataFrame, epochs: DataFrame, id_col: str = "event_id") -> DataFrame:
-    """(id, ts, kind, key, epoch, count): events so far in the epoch under the same key.
+    """(id, ts, kind, key, epoch, count): events so far in the epoch under the same key."""
+    return epoch_counts(in_epochs(keyed, F.col("ts"), epochs, id_col), id_col)
+
+
+def epoch_counts(with_epoch: DataFrame, id_col: str = "event_id") -> DataFrame:
+    """``with_epoch(id, ts, kind, key, epoch)`` plus ``count``: events so far in the epoch under the same key.
 
     A single source may own a large share of all events, and steady traffic is one endless
     epoch, so a window over (key, epoch) would be one task's work. Instead the rows are
     range-partitioned by (kind, key, ts, id), which cuts a hot key into many slices; a row's
     count is its position in the slice plus the size of the key's earlier slices.
     """
-    with_epoch = Lookup(epochs.select("minute", "epoch"), "epochs").join(
-        keyed.withColumn("minute", F.date_trunc("minute", "ts")), ["minute"], "inner", spread_by=id_col
-    ).drop("minute")
     sliced = with_epoch.repartitionByRange("kind", "key", "ts", id_col).withColumn(
         "slice", F.spark_partition_id()
     )

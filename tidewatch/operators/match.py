@@ -12,22 +12,29 @@ STATUS = "blocklisted"
 
 def indicator_lookup(indicators: DataFrame) -> Lookup:
     """The indicators, worked out and written once; ``seen`` has the time of their last update."""
-    table = indicators.select("kind", "value", "sources", "source_count", "last_updated")
+    spans = [c for c in ("valid_from", "valid_to") if c in indicators.columns]
+    table = indicators.select("kind", "value", "sources", "source_count", "last_updated", *spans)
     lookup = Lookup(table, "indicators", last_updated=F.max("last_updated"))
     lookup.table = lookup.table.drop("last_updated")
     return lookup
 
 
 def match_indicators(
-    iocs: DataFrame, indicators: DataFrame | Lookup, id_col: str = "event_id"
+    iocs: DataFrame, indicators: DataFrame | Lookup, id_col: str = "event_id", time_col: str | None = None
 ) -> DataFrame:
     """Exact, case-sensitive matches of all four kinds in one join on (kind, value).
 
     A value that sits in a large share of all events is the normal case here (a scanner, a
-    public resolver), so the join splits it; see ``Lookup.join``.
+    public resolver), so the join splits it; see ``Lookup.join``. With ``time_col`` the
+    indicators are an ``indicator_history``, and an event meets those valid at its time; an
+    event without a time, or before the first version, meets none.
     """
     lookup = indicators if isinstance(indicators, Lookup) else indicator_lookup(indicators)
-    return lookup.join(iocs, ["kind", "value"], "inner", spread_by=id_col)
+    valid = None
+    if time_col is not None:
+        at = F.col(f"l.{time_col}").cast("timestamp")
+        valid = (at >= F.col("r.valid_from")) & (F.col("r.valid_to").isNull() | (at < F.col("r.valid_to")))
+    return lookup.join(iocs, ["kind", "value"], "inner", spread_by=id_col, extra=valid)
 
 
 def ioc_matches_column():

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -114,26 +115,45 @@ def source_countries(events: DataFrame, k: int = 20) -> DataFrame:
     return top_terms(events, enrichment("geoip.src.country_name"), k, name="country_name")
 
 
-def _report(events: DataFrame, lists: Mapping[str, tuple[Column, int]],
-            histograms: Mapping[str, tuple[Column, bool]], other: str | None, bucket: str, time_col: str) -> DataFrame:
+@dataclass(frozen=True)
+class Board:
+    """Reports that belong together: top lists by (values of an event, length), and time axes by (which events, with empty buckets)."""
+
+    lists: Mapping[str, tuple[Column, int]]
+    histograms: Mapping[str, tuple[Column, bool]]
+    other: str | None = None
+
+
+def board_entries(board: Board) -> Column:
+    """The (report, value) rows of an event; ``_start`` is the start of its time bucket."""
+    parts = [_entries(name, values) for name, (values, _) in board.lists.items()] + [
+        F.when(keep, _entries(name, F.array(_stamp(F.col("_start"))))) for name, (keep, _) in board.histograms.items()
+    ]
+    nothing = F.array().cast("array<struct<report:string,value:string>>")
+    return F.concat(*[F.coalesce(part, nothing) for part in parts])
+
+
+def bucket_start(bucket: str, time_col: str) -> Column:
+    return F.window(F.col(time_col).cast("timestamp"), bucket).start
+
+
+def _report(events: DataFrame, board: Board, bucket: str, time_col: str) -> DataFrame:
     """Several reports in one pass: (report, value, count).
 
     Every event gives one small row per report it appears in. They are summed up before the
     only shuffle of event rows, and the sums, one row per distinct value, are staged; the
     lists and time axes are then made from those.
     """
-    start = F.window(F.col(time_col).cast("timestamp"), bucket).start
-    parts = [_entries(name, values) for name, (values, _) in lists.items()] + [
-        F.when(keep, _entries(name, F.array(_stamp(F.col("_start")))))
-        for name, (keep, _) in histograms.items()
-    ]
-    nothing = F.array().cast("array<struct<report:string,value:string>>")
-    entries = F.concat(*[F.coalesce(part, nothing) for part in parts])
-    counts = stage(
-        events.withColumn("_start", start).select(F.inline(entries))
-        .where(F.col("value").isNotNull()).groupBy("report", "value").agg(F.count("*").alias("count")),
-        "report",
+    counts = (
+        events.withColumn("_start", bucket_start(bucket, time_col)).select(F.inline(board_entries(board)))
+        .where(F.col("value").isNotNull()).groupBy("report", "value").agg(F.count("*").alias("count"))
     )
+    return finished_report(stage(counts, "report"), board, bucket)
+
+
+def finished_report(counts: DataFrame, board: Board, bucket: str) -> DataFrame:
+    """``counts(report, value, count)`` of all values to the board's lists and time axes."""
+    lists, other = board.lists, board.other
     # One constant bound for all lists: Spark then cuts every partition to it before the shuffle.
     longest = max(k for _, k in lists.values())
     rank = F.row_number().over(Window.partitionBy("report").orderBy(F.desc("count"), F.asc("value")))
@@ -149,7 +169,7 @@ def _report(events: DataFrame, lists: Mapping[str, tuple[Column, int]],
             F.sum("count").alias("count")
         ).where("count > 0")
         result = result.unionByName(rest.select(F.lit(other).alias("report"), F.lit(OTHER).alias("value"), "count"))
-    for name, (_, with_empty) in histograms.items():
+    for name, (_, with_empty) in board.histograms.items():
         mine = counts.where(F.col("report") == name)
         if with_empty:
             mine = _with_empty(mine.select(F.to_timestamp("value").alias("bucket"), "count"), bucket).select(
@@ -167,10 +187,9 @@ def _one(value: Column) -> Column:
     return F.array(value.cast("string"))
 
 
-def overview_report(events: DataFrame, bucket: str = "1 hour", time_col: str = TIME) -> DataFrame:
+def overview_board() -> Board:
     """Traffic overview: volume over time, actions, top sources, applications and ports."""
-    return _report(
-        events,
+    return Board(
         lists={
             "action_distribution": (_one(F.col("action")), 10),
             "top_source_ips": (_one(F.col("source_address")), 15),
@@ -178,14 +197,13 @@ def overview_report(events: DataFrame, bucket: str = "1 hour", time_col: str = T
             "top_destination_ports": (_one(F.col("destination_port")), 15),
         },
         histograms={"events_over_time": (F.lit(True), True)},
-        other="action_distribution", bucket=bucket, time_col=time_col,
+        other="action_distribution",
     )
 
 
-def threat_report(events: DataFrame, bucket: str = "1 hour", time_col: str = TIME) -> DataFrame:
+def threat_board() -> Board:
     """Threats: indicator hits and anomalies over time, rules, sources, countries, applications."""
-    return _report(
-        events,
+    return Board(
         lists={
             "top_blocklisted_sources": (F.when(has_ioc(), _one(F.col("source_address"))), 20),
             "rules_fired": (_fired_rules(), 20),
@@ -196,10 +214,20 @@ def threat_report(events: DataFrame, bucket: str = "1 hour", time_col: str = TIM
             "threat_hits_over_time": (has_ioc(), False),
             "anomalies_over_time": (has_anomaly(), False),
         },
-        other=None, bucket=bucket, time_col=time_col,
     )
 
 
+BOARDS = {"overview": overview_board, "threat": threat_board}
+
+
+def overview_report(events: DataFrame, bucket: str = "1 hour", time_col: str = TIME) -> DataFrame:
+    return _report(events, overview_board(), bucket, time_col)
+
+
+def threat_report(events: DataFrame, bucket: str = "1 hour", time_col: str = TIME) -> DataFrame:
+    return _report(events, threat_board(), bucket, time_col)
+
+
 def stage_metrics(lines: DataFrame) -> DataFrame:
     """Counts per stage over classified and enriched lines, in one pass.
 

@@ -62,12 +62,14 @@ def assemble(
     ``detected`` should be a staged table: each detector reads only its few columns of it.
     Hits, counts and places are narrow rows; they are stacked, grouped by event once and
     joined once, so the wide events are moved a single time. ``flags`` replaces the
-    behaviour counts where they were computed elsewhere (streams).
+    behaviour counts where they were computed elsewhere (streams). Where ``indicators`` are an
+    ``indicator_history``, as for a replay, an event meets the version valid at its time.
     """
     lookup = indicator_lookup(indicators)
-    hits = match_indicators(detected.select("event_id", F.inline("_iocs")), lookup)
+    timed = detected.withColumn("_at", F.col(time) if isinstance(time, str) else time)
+    as_of = "_at" if "valid_from" in indicators.columns else None
+    hits = match_indicators(timed.select("event_id", *([as_of] if as_of else []), F.inline("_iocs")), lookup, time_col=as_of)
     if flags is None:
-        timed = detected.withColumn("_at", F.col(time) if isinstance(time, str) else time)
         flags = behavior(timed, "_at", threshold=settings.threshold, window_minutes=settings.window_minutes)
     findings = hits.select("event_id", "kind", "ord", "value", "sources", "source_count").unionByName(
         flags.select("event_id", F.concat(F.lit("high_frequency_"), "kind").alias("kind"), "count"),

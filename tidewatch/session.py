@@ -22,6 +22,8 @@ RUNTIME_SETTINGS = {
     "spark.sql.codegen.hugeMethodLimit": "8000",
     # A packet with a repeated key keeps the last value instead of failing to parse.
     "spark.sql.variant.allowDuplicateKeys": "true",
+    # Keyed stream state with timers and expiry needs this store.
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
 }
 
 
@@ -33,6 +35,20 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+@contextmanager
+def setting(spark: SparkSession, key: str, value: str) -> Iterator[None]:
+    """A runtime setting for what is started inside the block; a stream keeps what it was started with."""
+    kept = spark.conf.get(key, None)
+    spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        if kept is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, kept)
+
+
 def work_dir(spark: SparkSession) -> str:
     """The shared folder for checkpoints and staged tables.
 
@@ -103,10 +119,43 @@ def staged_paths() -> Iterator[list[str]]:
             outer.extend(mine)
 
 
-def remove(spark: SparkSession, path: str) -> None:
-    """Delete a folder this package wrote, on whatever file system it is."""
+def file_system(spark: SparkSession, path: str) -> tuple:
+    """The file system a path is on, whatever its kind, and the path as that knows it."""
     folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+    return folder.getFileSystem(spark._jsc.hadoopConfiguration()), folder
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder this package wrote."""
+    system, folder = file_system(spark, path)
+    system.delete(folder, True)
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    system, folder = file_system(spark, path)
+    return system.exists(folder)
+
+
+def publish(spark: SparkSession, staged: str, path: str) -> None:
+    """Move a folder that is written to the end to where readers look; done again, it changes nothing.
+
+    Files keep their names, so a reader that remembers names takes each of them once, also
+    where a move is a copy and was cut short.
+    """
+    system, folder = file_system(spark, path)
+    if system.exists(folder):
+        source = file_system(spark, staged)[1]
+        if not system.exists(source):
+            return
+        for status in system.listStatus(source):
+            target = spark._jvm.org.apache.hadoop.fs.Path(folder, status.getPath().getName())
+            if not system.exists(target):
+                system.rename(status.getPath(), target)
+        system.delete(source, True)
+        return
+    system.mkdirs(folder.getParent())
+    if not system.rename(file_system(spark, staged)[1], folder):
+        raise OSError(f"{staged} can't be moved to {path}")
 
 
 def computed_once(df: DataFrame, *columns: Column) -> DataFrame:

@@ -8,12 +8,13 @@ from collections.abc import Callable
 from functools import reduce
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidewatch.functions.text import strip
 from tidewatch.functions.variants import member, string_value
 from tidewatch.operators.routing import ALERT_TYPE, JSON_TYPE
+from tidewatch.plans.joins import Lookup
 from tidewatch.session import computed_once
 
 # First characters of comment lines in feeds.
@@ -33,21 +34,35 @@ def _text(spark: SparkSession, path: str | list[str], streaming: bool, options:
     )
 
 
-# Where a line comes from, as far as its reader says so.
-PLACE_COLUMNS = ("src_file", "src_block", "src_topic", "src_partition", "src_offset")
+def _digits(number: Column, width: int) -> Column:
+    return F.lpad(F.lower(F.hex(number)), width, "0")
 
 
 def with_event_ids(lines: DataFrame) -> DataFrame:
-    """Name every line by a hash of where it comes from: file, block and place in the scan, or topic and offset.
+    """Name every line by where it comes from: a hash of the file and the line's number in it, or of topic and partition and the offset.
 
-    Lines of different files or offsets get different ids, so tables written by many runs
-    and micro-batches can be joined by them. Jobs that read the lines in several branches
-    stage them first, as ``enrich_firewall`` does.
+    A number counts the lines of the file's earlier blocks and those before it in its block, so
+    a line has the same ``event_id`` however a reader cuts files into blocks and packs these into
+    tasks, and in every run. Lines are counted in a narrow scan of their own; what that leaves
+    is one row a block, so lines get their number without being moved. Lines without a place
+    (tables made by hand) are named by their text and their place in the scan.
     """
-    places = [c for c in PLACE_COLUMNS if c in lines.columns]
-    row = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
-    counted = [] if "src_offset" in places else [row, F.col("raw")]
-    return lines.withColumn("event_id", F.xxhash64(*places, *counted))
+    if "src_offset" in lines.columns:
+        source = F.xxhash64("src_topic", "src_partition")
+        return lines.withColumn("event_id", F.concat(_digits(source, 16), _digits(F.col("src_offset"), 16)))
+    row = F.monotonically_increasing_id()
+    if "src_file" not in lines.columns:
+        return lines.withColumn("event_id", F.concat(_digits(F.xxhash64("raw"), 16), _digits(row, 16)))
+    if lines.isStreaming:
+        # Micro-batches are numbered when they come; this says no more than the column's type.
+        return lines.withColumn("event_id", F.lit("").cast("string"))
+    placed = lines.withColumn("_row", row).withColumn("_file", F.xxhash64("src_file"))
+    blocks = placed.groupBy("_file", "src_block").agg(F.min("_row").alias("first"), F.count("*").alias("n"))
+    earlier = Window.partitionBy("_file").orderBy("src_block").rowsBetween(Window.unboundedPreceding, -1)
+    shifts = blocks.select("_file", "src_block", (F.coalesce(F.sum("n").over(earlier), F.lit(0)) - F.col("first")).alias("_shift"))
+    numbered = Lookup(shifts, "line-blocks").join(placed, ["_file", "src_block"], "inner", spread_by="_row")
+    name = F.concat(_digits(F.col("_file"), 16), _digits(F.col("_row") + F.col("_shift"), 16))
+    return numbered.select(*[F.col(f"`{c}`") for c in lines.columns], name.alias("event_id"))
 
 
 def read_log_lines(
@@ -55,6 +70,7 @@ def read_log_lines(
 ) -> DataFrame:
     """(raw, src_file, src_block, ingest_ts[, event_id]): one row per line that is not blank.
 
+    For a table, lines are counted at once, see ``with_event_ids``; a stream's get their ids batch by batch.
     ``options`` go to the reader; for a stream, ``maxFilesPerTrigger`` bounds a micro-batch.
     """
     lines = clean_lines(_text(spark, path, streaming, options)).withColumn("ingest_ts", F.current_timestamp())
