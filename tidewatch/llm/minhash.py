@@ -228,12 +228,15 @@ def star_links(members: DataFrame, reps: DataFrame, docs: DataFrame, shingle: in
     hubs = side(facts, "b").withColumnRenamed("doc_id_b", "b").join(met, "b")
     pairs = join_uneven(pairs.join(side(facts, "a").withColumnRenamed("doc_id_a", "a"), "a"), hubs, ["b"], "met", pairs.count(), HEAVY_BUCKETS)
     pairs = stage(pairs.where(might_be_similar(percent)).select("a", "b"), "minhash-pairs")
+    # Each text that is in a pair is taken from the documents once.
+    needed = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
+    found = stage(docs.join(needed, "doc_id"), "minhash-texts")
     # Beyond one copy's pairs a hub has several; there are few such hubs.
     several = F.broadcast(met.where(F.col("met") > PAIRS_PER_COPY).select("b", F.ceil(F.col("met") / PAIRS_PER_COPY).alias("copies")))
     copies = F.coalesce("copies", F.lit(1))
-    left = pairs.join(docs.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a")), "a").join(several, "b", "left")
+    left = pairs.join(found.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a")), "a").join(several, "b", "left")
     left = left.select("a", "b", "text_a", F.pmod(F.xxhash64("a"), copies).alias("part"))
-    texts = docs.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b")).join(pairs.select("b").distinct(), "b").join(several, "b", "left")
+    texts = found.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b")).join(pairs.select("b").distinct(), "b").join(several, "b", "left")
     texts = texts.select("b", "text_b", F.explode(F.sequence(F.lit(0).cast("long"), copies - 1)).alias("part"))
     pairs = left.join(texts, ["b", "part"])
     return stage(pairs.mapInArrow(lambda it: verify_batches(it, shingle, percent), "a long, b long"), "minhash-links")
