@@ -29,12 +29,16 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidewatch.llm.common import small_batches
-from tidewatch.session import stage_path
+from tidewatch.session import stage, stage_path
 
 LEAST_BYTES = 100
 #: Ranges of one file are read together if no more than so many bytes lie between them, up to about READ_BYTES.
 GAP_BYTES = 1 << 16
 READ_BYTES = 1 << 22
+#: What a reading task takes, about.
+TASK_BYTES = 1 << 24
+# Schemes of Hadoop's file systems and what the same stores are called here.
+SCHEMES = {"s3a://": "s3://", "s3n://": "s3://", "abfss://": "abfs://", "dbfs:/": "file:///dbfs/"}
 # The WARC profile of revisits to an identical payload.
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 INDEX = "file string, offset long, length long, url string, digest string, record_id long, record_type string"
@@ -43,6 +47,9 @@ RECORDS = "record_id long, url string, record_type string, refers_to long, paylo
 
 def place(uri: str) -> tuple[fs.FileSystem, str]:
     """The file system of a folder or file, and the path on it."""
+    for scheme, known in SCHEMES.items():
+        if uri.startswith(scheme):
+            uri = known + uri.removeprefix(scheme).lstrip("/")
     return fs.FileSystem.from_uri(uri if ":/" in uri else f"file://{uri}")
 
 
@@ -175,9 +182,11 @@ def joined_ranges(selected: DataFrame, gap: int = GAP_BYTES, most: int = READ_BY
 def read_records(selected: DataFrame, keep_payload: bool = True) -> DataFrame:
     """The records that rows of the index name."""
     small_batches(selected.sparkSession, 200)
-    ranges = joined_ranges(selected.select("file", "offset", "length").distinct())
-    # Ranges are of like size, so any even deal is a good one.
-    return ranges.drop("range").mapInArrow(lambda it: read_batches(it, keep_payload), RECORDS)
+    ranges = stage(joined_ranges(selected.select("file", "offset", "length").distinct()).drop("range"), "warc-ranges")
+    # Ranges are few rows that stand for many bytes, so tasks are counted by the bytes they read, not by rows.
+    total = ranges.agg(F.sum(F.col("stop") - F.col("start"))).first()[0] or 0
+    dealt = ranges.repartitionByRange(max(1, -(-total // TASK_BYTES)), "file", "start").sortWithinPartitions("file", "start")
+    return dealt.mapInArrow(lambda it: read_batches(it, keep_payload), RECORDS)
 
 
 def archive_round_trip(pages: DataFrame) -> DataFrame:
