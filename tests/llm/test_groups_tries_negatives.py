@@ -187,6 +187,10 @@ def test_trie_of_the_table(spark, piece):
     assert trie_rows(spark, rows, piece) == plain_trie(rows)
 
 
+def test_trie_equals_its_twin(spark):
+    assert rows_of(catalog.QUERIES["op12_prefix_trie"](spark, SMALL)) == twin_rows(catalog.TWINS["op12_prefix_trie"])
+
+
 # Hard negatives --------------------------------------------------------------------------
 
 

@@ -70,6 +70,33 @@ SELECT id AS vec_id, (SELECT count(*) FROM both_ways WHERE me = id)::BIGINT AS n
 """
 
 
+# CRC-32 of the decimal digits by the usual table of 256 remainders, which the first step makes.
+PREFIX_TRIE = """
+WITH tab AS (SELECT list_transform(range(256), lambda i: list_reduce(list_concat([i], range(8)), lambda c, k: CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END)) AS t),
+turns AS (SELECT conv_id AS c, list({'r': coalesce(role, ''), 't': coalesce(text, '')} ORDER BY turn NULLS FIRST) AS own FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id),
+heads AS (
+    SELECT c, own, xor(list_reduce(list_concat([4294967295], list_transform(string_split(c::VARCHAR, ''), lambda x: ascii(x)::BIGINT)),
+        lambda a, x: xor(a // 256, t[xor(a % 256, x) + 1])), 4294967295) % 6 AS h FROM turns, tab
+),
+whole AS (SELECT x.c, list_concat(coalesce(b.own[1:x.h], []), x.own[x.h + 1:]) AS seq FROM heads x LEFT JOIN turns b ON b.c = x.c - x.c % 100),
+steps AS (SELECT c, len(seq) AS ends, unnest(range(len(seq) + 1)) AS d, seq FROM whole),
+nodes AS (
+    SELECT seq[1:d] AS node, d, min(c) AS conv_id, count(*) AS n_convs, coalesce(string_agg(c::VARCHAR, ',' ORDER BY c) FILTER (ends = d), '') AS ends
+    FROM steps GROUP BY ALL
+),
+children AS (SELECT node[1:d - 1] AS node, count(*) AS n_children FROM nodes WHERE d > 0 GROUP BY 1),
+facts AS (
+    SELECT n.*, coalesce(n_children, 0) AS n_children, (n_convs - 1) * CASE WHEN d = 0 THEN 0 ELSE length(n.node[d].t) END AS saved
+    FROM nodes n LEFT JOIN children k ON k.node = n.node
+),
+sums AS (
+    SELECT node[1:up] AS node, count(*) FILTER (n_children = 0) AS n_leaves, sum(saved) AS saved_tokens
+    FROM (SELECT *, unnest(range(d + 1)) AS up FROM facts) GROUP BY 1
+)
+SELECT f.conv_id, f.d AS depth, p.conv_id AS parent_conv_id, f.n_convs, f.n_children, s.n_leaves, s.saved_tokens::BIGINT AS saved_tokens, sha256(f.ends) AS ends_sha256
+FROM facts f JOIN sums s ON s.node = f.node LEFT JOIN facts p ON f.d > 0 AND p.node = f.node[1:f.d - 1]
+"""
+
 HARD_NEGATIVES = """
 WITH q AS (
     SELECT vec_id, (CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END) AS label, [floor(256 * x::DOUBLE) FOR x IN embedding] AS v
@@ -210,7 +237,7 @@ def packed_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_places(table(spark, sf_dir, "documents"))
 
 
-@query("op12_prefix_trie")
+@query("op12_prefix_trie", PREFIX_TRIE)
 def conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie.prefix_trie(table(spark, sf_dir, "conversations")).drop("k1", "k2")
 
