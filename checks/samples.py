@@ -108,25 +108,28 @@ def feed_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents")
     kind = F.col("event_type")
 
-    def feed(rows: DataFrame, name: str, kind_name: str, line: Column) -> DataFrame:
-        return rows.select(F.lit(name).alias("feed"), F.lit(kind_name).alias("kind"), line.alias("line"))
+    def feed(rows: DataFrame, name: str, kind_name: str, line: Column, listed: Column) -> DataFrame:
+        """A line for every row: those that the feed doesn't list are comments."""
+        text = F.when(F.coalesce(listed, F.lit(False)), line).otherwise(F.concat(F.lit("# "), line))
+        return rows.select(F.lit(name).alias("feed"), F.lit(kind_name).alias("kind"), text.alias("line"))
 
-    hashes = documents.where("lang = 'en'").select(
-        F.explode(F.regexp_extract_all("text", F.lit(r"\b(?:[a-f0-9]{64}|[a-f0-9]{40}|[a-f0-9]{32})\b"), 0)).alias("h")
+    hashes = documents.select(
+        "lang", F.explode(F.regexp_extract_all("text", F.lit(r"\b(?:[a-f0-9]{64}|[a-f0-9]{40}|[a-f0-9]{32})\b"), 0)).alias("h")
     )
+    asked = F.contains("url", F.lit("?"))
     parts = [
-        feed(events.where("value > 60 or event_type = 'signup'"), "addresses-a", "ip",
+        feed(events, "addresses-a", "ip",
              F.when(kind == "error", F.col("dst")).when(kind == "signup", F.col("src"))
              .when(kind == "click", F.concat(F.col("dst"), F.lit("/24")))
              .when(kind == "view", F.concat(F.lit("# "), F.col("dst")))
-             .otherwise(F.concat(F.lit("  "), F.col("dst"), F.lit("\t")))),
-        feed(events.where("value > 80"), "addresses-b", "ip",
+             .otherwise(F.concat(F.lit("  "), F.col("dst"), F.lit("\t"))), (F.col("value") > 60) | (kind == "signup")),
+        feed(events, "addresses-b", "ip",
              F.when(kind == "purchase", F.col("dst")).when(kind == "error", F.col("dst"))
-             .when(kind == "click", F.lit("")).otherwise(F.concat(F.lit("; "), F.col("src")))),
-        feed(pages.where("url like 'http://%'"), "urls", "url", F.col("url")),
-        feed(pages.where("url like '%?%'"), "hosts", "domain", F.col("host")),
-        feed(pages.where("url like '%?%'"), "hosts", "domain", F.concat(F.lit("// "), F.col("url"))),
-        feed(hashes, "digests", "hash", F.col("h")),
+             .when(kind == "click", F.lit("")).otherwise(F.concat(F.lit("; "), F.col("src"))), F.col("value") > 80),
+        feed(pages, "urls", "url", F.col("url"), F.startswith("url", F.lit("http://"))),
+        feed(pages, "hosts", "domain", F.col("host"), asked),
+        feed(pages, "hosts", "domain", F.concat(F.lit("// "), F.col("url")), asked),
+        feed(hashes, "digests", "hash", F.col("h"), F.col("lang") == "en"),
     ]
     return reduce(DataFrame.unionByName, parts)
 

@@ -12,7 +12,7 @@ PICKED = [
     "hunt_rules_firewall", "packet_leaves", "enrich_packets", "enrich_firewall", "running_counts", "activity_epochs", "sliding_counts",
     "geo_join", "siem_lines", "json_output", "route_daily", "threat_report", "overview_report", "alert_rule", "public_ip_v6", "read_feeds",
     "indicator_refresh", "packet_metrics", "ioc_extract_long", "hunt_patterns_long", "enrich_by_event_time", "route_json", "stored_report", "geo_rejects",
-    "sliding_anomalies",
+    "sliding_anomalies", "line_ids", "match_as_of", "stream_flags", "stream_sliding", "stream_hits", "stream_late", "rollup_overview", "stream_store",
 ]
 
 

@@ -9,8 +9,11 @@ from pyspark.sql import functions as F
 from tidewatch.operators import alerts, reports, routing
 from tidewatch.plans.enrich import enrich_firewall
 from tidewatch.schema import ENRICHMENT_FIELD, ENRICHMENT_TYPE
-from tidewatch.sources import readers, sinks
-from tidewatch.sources.snapshots import newest_version, publish_snapshot, read_snapshot
+from tidewatch.operators.match import match_indicators
+from tidewatch.session import setting
+from tidewatch.sources import readers, sinks, store
+from tidewatch.sources.sinks import write_event_store
+from tidewatch.sources.snapshots import expire_snapshots, indicator_history, newest_version, publish_snapshot, read_snapshot
 
 import pytest
 
@@ -126,3 +129,60 @@ def test_indicator_versions(spark, tmp_path):
     for n in (1, 2):
         publish_snapshot(spark.range(n), root)
     assert read_snapshot(spark, root).count() == 2
+
+
+def test_versions_expire_and_history_keeps_runs(spark, tmp_path):
+    root = str(tmp_path / "intel")
+    table = spark.createDataFrame(
+        [("ip", v, ["a"], 1, dt.datetime(2030, 1, 1)) for v in "xyz"], "kind string, value string, sources array<string>, source_count int, last_updated timestamp")
+    days = [dt.datetime(2030, 1, d) for d in (1, 2, 3, 4)]
+    for at, kept in zip(days, ("xyz", "xy", "xz", "xz")):
+        publish_snapshot(table.where(F.col("value").isin(list(kept))), root, at)
+    def spans():
+        return sorted((r.value, r.valid_from.day, r.valid_to and r.valid_to.day) for r in indicator_history(spark, root).collect())
+
+    assert spans() == [("x", 1, None), ("y", 1, 3), ("z", 1, 2), ("z", 3, None)]
+    met = spark.createDataFrame([(i, "ip", v, at) for i, (v, at) in enumerate([
+        ("x", dt.datetime(2029, 12, 31)), ("y", dt.datetime(2030, 1, 2, 5)), ("y", dt.datetime(2030, 1, 3)), ("z", dt.datetime(2030, 1, 2)), ("z", dt.datetime(2031, 1, 1)), ("z", None)])],
+        "event_id long, kind string, value string, ts timestamp")
+    assert sorted(r.event_id for r in match_indicators(met, indicator_history(spark, root), time_col="ts").collect()) == [1, 4]
+    assert expire_snapshots(spark, root, dt.datetime(2030, 1, 3, 1)) == 2
+    assert spans() == [("x", 3, None), ("z", 3, None)] and len(os.listdir(f"{root}/versions")) - sum(n.startswith((".", "_")) for n in os.listdir(f"{root}/versions")) == 2
+    assert expire_snapshots(spark, root, dt.datetime(2040, 1, 1)) == 0 and read_snapshot(spark, root).count() == 2
+
+
+def test_line_ids_do_not_depend_on_blocks(spark, tmp_path):
+    for name in ("a", "b"):
+        (tmp_path / f"{name}.txt").write_text("".join(f"line {i % 7} of {name}\n" + ("\n" if i % 5 == 0 else "") for i in range(3000)))
+    ids = []
+    for size in ("4k", "16k", "128m"):
+        with setting(spark, "spark.sql.files.maxPartitionBytes", size), setting(spark, "spark.sql.files.openCostInBytes", "1k"):
+            rows = readers.read_log_lines(spark, str(tmp_path)).select("event_id", "raw", "src_file").collect()
+        ids.append(sorted(map(tuple, rows)))
+    assert ids[0] == ids[1] == ids[2] and len({r[0] for r in ids[0]}) == 6000
+    one = [r[1] for r in ids[0] if r[2].endswith("a.txt")]
+    assert one == [f"line {i % 7} of a" for i in range(3000)]
+
+
+def test_packed_store_reads_like_its_batches(spark, tmp_path):
+    path = str(tmp_path / "store")
+    rows = spark.range(4000).select(F.col("id").alias("event_id"), (F.timestamp_seconds(F.lit(1_900_000_000) + F.col("id") * 60)).alias("ingest_ts"))
+    rows = rows.withColumn("ingest_ts", F.when(F.col("event_id") != 17, F.col("ingest_ts")))
+
+    def held(*span):
+        return sorted(r.event_id for r in store.read_event_store(spark, path, *span).collect())
+
+    for n in range(5):
+        write_event_store(rows.where(F.col("event_id") % 5 == n), f"{path}/batch={n}", mode="overwrite")
+    assert store.compact_event_store(spark, path) == 4 and held() == list(range(4000))
+    # The last batch is written again, then others follow; an old one that comes back is not read twice.
+    write_event_store(rows.where(F.col("event_id") % 5 == 4), f"{path}/batch=4", mode="overwrite")
+    write_event_store(rows.where("event_id = 5"), f"{path}/batch=5", mode="overwrite")
+    assert store.compact_event_store(spark, path) == 1 and held() == sorted([*range(4000), 5])
+    assert not [n for n in os.listdir(path) if n in ("batch=0", "batch=3")]
+    files = [r.file for r in store._manifest(spark, path)[1].collect()]
+    days = rows.select(F.to_date("ingest_ts")).distinct().count()
+    assert len(files) == len(set(files)) == days
+    start, end = dt.datetime(2030, 3, 18, 6), dt.datetime(2030, 3, 19, 1)
+    assert held(start, end) == sorted(r.event_id for r in rows.where((F.col("ingest_ts") >= F.lit(start)) & (F.col("ingest_ts") < F.lit(end))).collect())
+    assert held(dt.datetime(2040, 1, 1)) == [] and store.compact_event_store(spark, path) == 0

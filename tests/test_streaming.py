@@ -7,12 +7,12 @@ import os
 from pyspark.sql import functions as F
 
 from tidewatch.operators import alerts, reports
-from tidewatch.operators.behavior import behavior
+from tidewatch.operators.behavior import activity_epochs, behavior, behavior_keys, running_counts
 from tidewatch.plans.enrich import Settings, enrich_firewall
 from tidewatch.session import work_dir
 from tidewatch.sources import readers, sinks, store
 from tidewatch.sources.snapshots import publish_snapshot
-from tidewatch.streaming.counts import STATE_STORE, batch_epochs, stream_behavior
+from tidewatch.streaming.counts import STATE_STORE, batch_epochs, stream_behavior, with_epoch
 from tidewatch.streaming.streams import StreamPaths, stream_alert_runs, stream_enrich, stream_enrich_packets
 
 from tests.test_behavior_geo import events
@@ -141,15 +141,17 @@ def test_counts_go_on_over_twenty_batches_and_a_restart(spark, tmp_path):
     assert len(want) > 20 and not os.listdir(f"{out}/state/taking")
 
 
-def test_epochs_go_on_from_the_clock(spark):
+@pytest.mark.parametrize("size", [3, 25])
+def test_epochs_go_on_from_the_clock(spark, size):
     frame = events(spark, ROWS)
-    whole = {r.minute: r.epoch for r in batch_epochs(frame, "ts", 5, None)[0].collect()}
+    whole = {r.event_id: r.epoch for r in running_counts(behavior_keys(frame, "ts"), activity_epochs(frame, "ts")).select("event_id", F.unix_micros("epoch").alias("epoch")).collect()}
     clock, got = None, {}
-    for lo in range(0, len(ROWS), 7):
-        minutes, clock = batch_epochs(frame.where(F.col("event_id").between(lo, lo + 6)), "ts", 5, clock)
-        got.update({r.minute: r.epoch for r in minutes.collect()})
+    for lo in range(0, len(ROWS), size):
+        part = frame.where(F.col("event_id").between(lo, lo + size - 1))
+        epochs, clock = batch_epochs(part, "ts", 5, clock)
+        got.update({r.event_id: r.epoch for r in with_epoch(part, "ts", epochs).collect()})
     assert got == whole and len(set(whole.values())) > 2
-    assert batch_epochs(frame.limit(0), "ts", 5, clock)[1] == clock
+    assert batch_epochs(frame.limit(0), "ts", 5, clock) == (None, clock)
 
 
 def test_sharded_counts_need_their_state_store(spark, tmp_path):

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from tidewatch.functions.rules import BEHAVIOR_THRESHOLD, BEHAVIOR_WINDOW_MINUTES
-from tidewatch.operators.behavior import activity_epochs, epoch_counts, flagged, key_array
+from tidewatch.operators.behavior import activity_epochs, epoch_counts, flagged, in_epochs, key_array
 from tidewatch.plans.joins import Lookup
 from tidewatch.session import RUNTIME_SETTINGS, stage
 
@@ -33,25 +33,40 @@ def need_state_store(spark: SparkSession) -> None:
 CLOCK = "last_us bigint, epoch_us bigint"
 
 
-def batch_epochs(events: DataFrame, time_col: str, window_minutes: int, clock: tuple | None) -> tuple[DataFrame, tuple | None]:
-    """The epochs of a micro-batch's minutes, going on from ``clock``, and the clock after it.
+def batch_epochs(events: DataFrame, time_col: str, window_minutes: int, clock: tuple | None) -> tuple[DataFrame | int | None, tuple | None]:
+    """The epoch of a micro-batch's events, going on from ``clock``, and the clock after it.
 
     ``clock`` is the newest time so far and the start of the running epoch. Batches come in
-    order of time; a batch without times leaves the clock as it is.
+    order of time. A batch that spans less than a silence is in one epoch, and that is
+    returned; for a longer one it is a table (minute, epoch). A batch without times has none and
+    leaves the clock as it is.
     """
+    at = F.unix_micros(F.col(time_col).cast("timestamp"))
+    first, last = events.agg(F.min(at), F.max(at)).first()
+    if last is None:
+        return None, clock
+    silence = (window_minutes + 1) * 60_000_000
+    goes_on = clock is not None and first - clock[0] < silence
+    newest = max(last, clock[0]) if goes_on else last
+    if last - first < silence:
+        running = clock[1] if goes_on else first
+        return running, (newest, running)
     minutes = stage(activity_epochs(events, time_col, window_minutes), "stream-epochs")
-    span = minutes.agg(
-        F.min(F.unix_micros("first_ts")).alias("first_us"), F.min(F.unix_micros("epoch")).alias("opening_us"), F.max(F.unix_micros("epoch")).alias("epoch_us"),
-    ).first()
-    last_us = events.agg(F.max(F.unix_micros(F.col(time_col).cast("timestamp")))).first()[0]
-    if last_us is None:
-        return minutes.select("minute", F.unix_micros("epoch").alias("epoch")), clock
-    goes_on = clock is not None and span["first_us"] - clock[0] < (window_minutes + 1) * 60_000_000
+    opening, running = minutes.agg(F.min(F.unix_micros("epoch")), F.max(F.unix_micros("epoch"))).first()
     epoch = F.unix_micros("epoch")
     if goes_on:
-        epoch = F.when(epoch == span["opening_us"], F.lit(clock[1])).otherwise(epoch)
-    running = clock[1] if goes_on and span["opening_us"] == span["epoch_us"] else span["epoch_us"]
-    return minutes.select("minute", epoch.alias("epoch")), (max(last_us, clock[0]) if goes_on else last_us, running)
+        epoch = F.when(epoch == opening, F.lit(clock[1])).otherwise(epoch)
+        running = clock[1] if opening == running else running
+    return minutes.select("minute", epoch.alias("epoch")), (newest, running)
+
+
+def with_epoch(events: DataFrame, time_col: str, epochs: DataFrame | int | None) -> DataFrame:
+    """``events`` plus the ``epoch`` that ``batch_epochs`` has found, null without a time."""
+    at = F.col(time_col).cast("timestamp")
+    if not isinstance(epochs, DataFrame):
+        return events.withColumn("epoch", F.when(at.isNotNull(), F.lit(epochs)).cast("bigint"))
+    untimed = events.where(at.isNull()).withColumn("epoch", F.lit(None).cast("bigint"))
+    return in_epochs(events.where(at.isNotNull()), at, epochs).unionByName(untimed)
 
 
 # Counts per key across all events -----------------------------------------------------------
