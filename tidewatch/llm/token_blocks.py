@@ -42,7 +42,7 @@ PERCENTILE = 0.9
 SEGMENT_IDS = 1 << 16
 SHARD_DOCS = 8192
 #: Distinct words whose ids a worker remembers; when there are more it keeps those that came again.
-MEMORY_WORDS = 150_000
+MEMORY_WORDS = 400_000
 #: Texts are encoded about so many bytes at a time: the more, the fewer words come twice.
 WORK_BYTES = 3 << 20
 
