@@ -160,8 +160,10 @@ def test_no_link_is_lost_at_other_similarities(spark, percent):
     assert links == 300 and found.where("component_id = doc_id").count() == 300
 
 
-def test_a_large_group_is_split(spark, monkeypatch):
+@pytest.mark.parametrize("most", [0, 500_000])
+def test_a_large_group_is_split(spark, monkeypatch, most):
     monkeypatch.setattr(minhash, "PAIRS_PER_COPY", 7)
+    monkeypatch.setattr(minhash, "MOST_BROADCAST", most)
     rng = random.Random(11)
     base = sentence(rng, 80)
     near = [base.replace(" ", f" n{i} ", 1) for i in range(400)]

@@ -51,6 +51,8 @@ RULED_OUT = 1e-10
 PAIRS_PER_COPY = 512
 #: Buckets, hubs and shingles are joined by broadcasting those above one in so many of all rows; there are no more of them.
 HEAVY_BUCKETS = 16_384
+#: Rows of a few numbers that are broadcast at most; tables are counted before.
+MOST_BROADCAST = 500_000
 #: Places of the table that says how rare a shingle is; a power of two.
 PLACES = 1 << 18
 
@@ -216,6 +218,13 @@ def side(rows: DataFrame, suffix: str, keep: tuple = ()) -> DataFrame:
     return rows.select(*[F.col(c) if c in keep else F.col(c).alias(f"{c}_{suffix}") for c in rows.columns])
 
 
+def join_few(left: DataFrame, right: DataFrame, on: list[str], copies: str, total: int) -> DataFrame:
+    """``left`` joined to ``right``, a written table, which is broadcast whole where it has been counted and is small, else as uneven."""
+    if right.count() <= MOST_BROADCAST:
+        return left.join(F.broadcast(right), on)
+    return join_uneven(left, right, on, copies, total, HEAVY_BUCKETS)
+
+
 def star_links(members: DataFrame, reps: DataFrame, docs: DataFrame, shingle: int, percent: int) -> DataFrame:
     """Links of each bucket's members with its smallest one, confirmed on whole texts.
 
@@ -225,12 +234,13 @@ def star_links(members: DataFrame, reps: DataFrame, docs: DataFrame, shingle: in
     facts = reps.select("doc_id", "n_shingles", "bits1", "bits2")
     pairs = stage(members.where("doc_id <> low").select(F.col("doc_id").alias("a"), F.col("low").alias("b")).distinct(), "minhash-stars")
     met = stage(pairs.groupBy("b").agg(F.count("*").alias("met")), "minhash-hubs")
-    hubs = side(facts, "b").withColumnRenamed("doc_id_b", "b").join(met, "b")
-    pairs = join_uneven(pairs.join(side(facts, "a").withColumnRenamed("doc_id_a", "a"), "a"), hubs, ["b"], "met", pairs.count(), HEAVY_BUCKETS)
+    hubs = stage(side(facts, "b").withColumnRenamed("doc_id_b", "b").join(met, "b"), "minhash-hub-facts")
+    pairs = join_few(pairs.join(side(facts, "a").withColumnRenamed("doc_id_a", "a"), "a"), hubs, ["b"], "met", pairs.count())
     pairs = stage(pairs.where(might_be_similar(percent)).select("a", "b"), "minhash-pairs")
     # Each text that is in a pair is taken from the documents once.
-    needed = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
-    found = stage(docs.join(needed, "doc_id"), "minhash-texts")
+    needed = stage(pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct(), "minhash-needed")
+    few = needed.count() <= MOST_BROADCAST
+    found = stage(docs.join(F.broadcast(needed) if few else needed, "doc_id"), "minhash-texts")
     # Beyond one copy's pairs a hub has several; there are few such hubs.
     several = F.broadcast(met.where(F.col("met") > PAIRS_PER_COPY).select("b", F.ceil(F.col("met") / PAIRS_PER_COPY).alias("copies")))
     copies = F.coalesce("copies", F.lit(1))
@@ -283,14 +293,16 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERC
     reps = stage(usable.groupBy("class1", "class2").agg(F.min(carried).alias("rep")).select("class1", "class2", "rep.*"), "minhash-reps")
     entries = reps.select("doc_id", F.explode("bands").alias("key"))
     buckets = entries.groupBy("key").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"), F.count("*").alias("members"))
+    buckets = stage(buckets.where("low < high"), "minhash-buckets")
     entered = reps.count() * bands
-    members = stage(join_uneven(entries, buckets.where("low < high"), ["key"], "members", entered, HEAVY_BUCKETS), "minhash-members")
+    members = stage(join_few(entries, buckets, ["key"], "members", entered), "minhash-members")
     links = star_links(members, reps, docs, shingle, percent)
     grouped = components(links)
     placed = members.where("members > 2").join(grouped, F.col("doc_id") == F.col("node"), "left")
     placed = stage(placed.select("key", "doc_id", F.coalesce("component", "doc_id").alias("group")), "minhash-placed")
     crowded = placed.groupBy("key").agg(F.min("group").alias("low"), F.max("group").alias("high"), F.count("*").alias("n")).where("low < high")
-    crowd = stage(join_uneven(placed, crowded.select("key", "n"), ["key"], "n", placed.count(), HEAVY_BUCKETS).select("doc_id", "group").distinct(), "minhash-crowd")
+    crowded = stage(crowded.select("key", "n"), "minhash-crowded")
+    crowd = stage(join_few(placed, crowded, ["key"], "n", placed.count()).select("doc_id", "group").distinct(), "minhash-crowd")
     more = crowd_links(crowd, reps, docs, shingle, percent)
     if not more.isEmpty():
         grouped = components(links.union(more))
