@@ -127,8 +127,9 @@ def test_counts_go_on_over_twenty_batches_and_a_restart(spark, tmp_path):
             (source / f"{i:02d}.txt").write_text("\n".join(parts[i]) + "\n")
             os.utime(source / f"{i:02d}.txt", (1_800_000_000 + i, 1_800_000_000 + i))
         reader = readers.read_log_lines(spark, str(source), streaming=True, options={"maxFilesPerTrigger": "1"})
-        drain(stream_enrich(reader, intel, paths(out), settings=settings, trigger={"availableNow": True}))
+        drain(stream_enrich(reader, intel, where, settings=settings, trigger={"availableNow": True}))
 
+    where = StreamPaths(events=f"{out}/events", state=f"{out}/state", checkpoint=f"{out}/checkpoint")
     feed(range(9))
     feed(range(9, 20))
     (tmp_path / "all.txt").write_text("\n".join(lines) + "\n")
