@@ -48,7 +48,10 @@ BITS = 128
 MISSED = 1e-6
 RULED_OUT = 1e-10
 #: Pairs that meet one copy of a text.
-PAIRS_PER_COPY = 512
+PAIRS_PER_COPY = 128
+#: Rows that a Python worker gets at a time: texts, and pairs of texts.
+TEXTS_AT_ONCE = 500
+PAIRS_AT_ONCE = 32
 #: Buckets, hubs and shingles are joined by broadcasting those above one in so many of all rows; there are no more of them.
 HEAVY_BUCKETS = 16_384
 #: Rows of a few numbers that are broadcast at most; tables are counted before.
@@ -249,7 +252,11 @@ def star_links(members: DataFrame, reps: DataFrame, docs: DataFrame, shingle: in
     texts = found.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b")).join(pairs.select("b").distinct(), "b").join(several, "b", "left")
     texts = texts.select("b", "text_b", F.explode(F.sequence(F.lit(0).cast("long"), copies - 1)).alias("part"))
     pairs = left.join(texts, ["b", "part"])
-    return stage(pairs.mapInArrow(lambda it: verify_batches(it, shingle, percent), "a long, b long"), "minhash-links")
+    # Pairs of a hub lie together, and its texts may all be long.
+    small_batches(docs.sparkSession, PAIRS_AT_ONCE)
+    links = stage(pairs.mapInArrow(lambda it: verify_batches(it, shingle, percent), "a long, b long"), "minhash-links")
+    small_batches(docs.sparkSession, TEXTS_AT_ONCE)
+    return links
 
 
 def crowd_links(crowd: DataFrame, reps: DataFrame, docs: DataFrame, shingle: int, percent: int) -> DataFrame:
@@ -285,7 +292,7 @@ def crowd_links(crowd: DataFrame, reps: DataFrame, docs: DataFrame, shingle: int
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """``doc_id, n_shingles, component_id, kept`` for every row of ``docs(doc_id, text)``."""
     bands, rows = banding(percent)
-    small_batches(docs.sparkSession, 500)
+    small_batches(docs.sparkSession, TEXTS_AT_ONCE)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     signed = stage(docs.mapInArrow(lambda it: sign_batches(it, shingle, bands, rows), SIGNATURES), "minhash-signed")
     usable = signed.where("n_shingles > 0 AND doc_id IS NOT NULL")
