@@ -116,13 +116,14 @@ def test_archive_files_and_ranges(spark):
 
 
 def test_reading_tasks_follow_the_bytes(spark, monkeypatch):
-    monkeypatch.setattr(warc, "READ_BYTES", 1 << 15)
+    whole = warc.joined_ranges
+    monkeypatch.setattr(warc, "joined_ranges", lambda selected: whole(selected, most=1 << 15))
     monkeypatch.setattr(warc, "TASK_BYTES", 1 << 16)
     rng = random.Random(6)
     rows = [(i, f"http://a/{i}", "".join(chr(rng.randrange(33, 120)) for _ in range(20_000))) for i in range(60)]
     pages = spark.createDataFrame(rows, "record_id long, url string, payload string")
     selected = warc.archive_index(spark, warc.write_archive(pages, stage_path(spark, "test-warc")))
-    ranges = warc.joined_ranges(selected.select("file", "offset", "length"), most=1 << 15)
+    ranges = warc.joined_ranges(selected.select("file", "offset", "length"))
     found = warc.read_records(selected)
     assert ranges.count() >= 20 and found.rdd.getNumPartitions() >= 10
     assert sorted((r.record_id, bytes(r.payload).decode()) for r in found.collect()) == [(i, p) for i, _, p in rows]
