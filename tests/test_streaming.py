@@ -227,3 +227,19 @@ def test_alert_stream(spark, tmp_path, rule):
         query.stop()
     got = sorted(tuple(r) for r in spark.table(f"runs_{rule.field}").collect())
     assert got == sorted(tuple(r) for r in alerts.alert_runs(frame, rule).collect())
+
+
+def test_parts_of_a_stream_are_many_files_and_one_batch_each(spark, tmp_path, monkeypatch):
+    from checks import streams
+
+    assert streams.files_of_parts([5, 10**9], 8) == 1 and streams.files_of_parts([10**9], 8) == 8
+    monkeypatch.setattr(streams, "PART_ROWS", 20)
+    cores = spark.sparkContext.defaultParallelism
+    rows = spark.range(60 * cores).selectExpr("id", "int(id % 3) as n")
+    stream, path = streams.as_stream(rows.where(f"n < 2 or id < {2 * cores}"), "parts", 3, F.col("n"))
+    assert len(spark.read.parquet(path).inputFiles()) > 2 * cores
+    batches = []
+    stream.writeStream.foreachBatch(lambda batch, _: batches.append(sorted(map(tuple, batch.groupBy("n").count().collect())))).option(
+        "checkpointLocation", str(tmp_path / "c")).trigger(availableNow=True).start().awaitTermination()
+    assert [[n for n, _ in batch] for batch in batches] == [[0], [1], [2]]
+    assert [batch[0][1] for batch in batches[:2]] == [20 * cores] * 2
