@@ -5,13 +5,13 @@ import re
 from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
 
-from tidewatch.functions.rules import RulePack
+from tidewatch.functions.rules import DEFAULT_PACK, RulePack, any_word_pattern
 from tidewatch.functions.text import flat_view
-from tidewatch.operators.hunt import hunt
+from tidewatch.operators.hunt import hunt, searched_words
 from tidewatch.operators.indicators import build_indicators, feed_union, indicator_counts, latest_valid_snapshot
 from tidewatch.operators.iocs import extract_iocs
 from tidewatch.operators.match import match_indicators, regroup_hits
-from tidewatch.plans.enrich import Settings, enrich, enrich_firewall, enrich_packets
+from tidewatch.plans.enrich import Settings, detect, enrich, enrich_firewall, enrich_packets
 from tidewatch.plans.joins import Lookup, heavy_keys
 from tidewatch.schema import ENRICHMENT_FIELD
 from tidewatch.sources.readers import clean_feed, feed_id, parse_packets, read_feeds, read_geo
@@ -162,6 +162,31 @@ def test_keywords_span_fields_but_patterns_do_not(spark):
     assert got[2].suspicious_patterns is None and [r.rule for r in got[2].correlation_rules] == ["sql_injection_attempt"]
 
 
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.sampled_from([*searched_words(DEFAULT_PACK), "x", "1", " "]), max_size=6), st.integers(0, 2))
+def test_one_pass_finds_every_word(parts, cut):
+    """Also words that overlap, begin alike or lie inside one another."""
+    text, words = "".join(part[cut:] for part in parts), searched_words(DEFAULT_PACK)
+    found = [m[1] for m in re.finditer(any_word_pattern(words), text)]
+    assert [w for w in words if w in text] == [w for w in words if any(w in f for f in found)]
+
+
+def test_letters_with_odd_case_in_words(spark):
+    """A long s is an s for the rules, but not for process names; an I with a dot is an i and a mark for these alone."""
+    rows = hunt(texts(spark, "p\u017fexec", "PSEXEC", "HM\u0130", "P\u0130NG", "ncatelnet"), flat_view({"t": "t"}))
+    got = {r.event_id: r.threat_hunting for r in rows.collect()}
+    assert [r.rule for r in got[0].correlation_rules] == ["lateral_movement"] and got[0].suspicious_process is None
+    assert got[1].suspicious_process == "psexec" and got[2].critical_asset_access == "hmi" and got[3] is None
+    assert got[4].suspicious_process == "nc"
+
+
+def test_text_is_put_together_once(spark):
+    """The searches read one column; each use of an expression over arrays would join all fields again."""
+    rows = spark.range(1).selectExpr("id as event_id", "cast(id as string) as a", "cast(id as string) as b")
+    plan = detect(rows, flat_view({"a": "a", "b": "b"}))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("concat_ws") == 2
+
+
 def test_own_rules(spark):
     pack = RulePack(patterns={"digits": r"\d{3}"}, processes=("forklift",), assets=("vault",), rules={"both": r"(?i)vault.*forklift"})
     got = hunted(spark, "Vault 123 and FORKLIFT", "12", pack=pack)
