@@ -12,8 +12,8 @@ from tidewatch.plans.enrich import Settings, enrich_firewall
 from tidewatch.session import work_dir
 from tidewatch.sources import readers, sinks, store
 from tidewatch.sources.snapshots import publish_snapshot
-from tidewatch.streaming.counts import STATE_STORE, batch_epochs, stream_behavior, with_epoch
-from tidewatch.streaming.streams import StreamPaths, stream_alert_runs, stream_enrich, stream_enrich_packets
+from tidewatch.streaming.counts import STATE_STORE, ShardCounter, batch_epochs, stream_behavior, with_epoch
+from tidewatch.streaming.streams import EnrichStream, StreamPaths, stream_alert_runs, stream_enrich, stream_enrich_packets, stream_flags
 
 from tests.test_behavior_geo import events
 from tests.test_detect import indicator_table
@@ -187,6 +187,36 @@ def test_sharded_counts(spark, tmp_path):
             assert 0 < len(got) < len(want)
 
 
+def test_flags_across_all_events_need_no_shard(spark, tmp_path, monkeypatch):
+    """No task gets a worker's events whole, and counts go on from batch to batch."""
+    monkeypatch.setattr(ShardCounter, "handleInputRows", None)
+    frame, path = events(spark, ROWS), str(tmp_path / "in")
+    want = sorted((r.event_id, r.kind, r["count"]) for r in behavior(frame, "ts", threshold=4).collect())
+    where = StreamPaths(events=str(tmp_path / "flags"), state=str(tmp_path / "state"), checkpoint=str(tmp_path / "c"))
+    half = len(ROWS) // 2
+    for part in (frame.where(F.col("event_id") < half), frame.where(F.col("event_id") >= half)):
+        part.repartition(3).write.mode("append").parquet(path)
+        lines = spark.readStream.schema(frame.schema).parquet(path)
+        stream_flags(lines, where, "ts", Settings(threshold=4), {"availableNow": True}).awaitTermination()
+    flags = spark.read.option("recursiveFileLookup", "true").parquet(where.events)
+    assert sorted((r.event_id, r.kind, r["count"]) for r in flags.collect()) == want and len(want) > 3
+    assert len({r.batch for r in spark.read.parquet(where.events).select("batch").collect()}) == 2
+
+
+def test_a_failed_stream_raises_though_it_has_ended():
+    class Ended:
+        isActive = False
+
+        def exception(self):
+            return ValueError("failed")
+
+        def stop(self):
+            pass
+
+    with pytest.raises(ValueError, match="failed"):
+        EnrichStream(Ended(), Ended()).awaitTermination()
+
+
 def test_a_silent_shard_is_cleared(spark, tmp_path):
     path, checkpoint = str(tmp_path / "in"), str(tmp_path / "c")
     first = events(spark, [(i, f"s{i % 40}", "u", None) for i in range(200)])
