@@ -164,6 +164,18 @@ def test_line_ids_do_not_depend_on_blocks(spark, tmp_path):
     assert one == [f"line {i % 7} of a" for i in range(3000)]
 
 
+def test_blocks_of_lines_are_no_task_each(spark, tmp_path, monkeypatch):
+    """Ids of lines are the same however many blocks a task takes."""
+    (tmp_path / "a.txt").write_text("".join(f"line {i}\n" for i in range(20_000)))
+    monkeypatch.setattr(readers, "TASKS_A_CORE", 1)
+    with setting(spark, "spark.sql.files.maxPartitionBytes", "4k"), setting(spark, "spark.sql.files.openCostInBytes", "1k"):
+        assert spark.read.text(str(tmp_path)).rdd.getNumPartitions() > 16
+        rows = readers.read_log_lines(spark, str(tmp_path))
+        assert rows.rdd.getNumPartitions() <= spark.sparkContext.defaultParallelism
+        got = {int(r.event_id[16:], 16): r.raw for r in rows.collect()}
+    assert got == {i: f"line {i}" for i in range(20_000)}
+
+
 def test_packed_store_reads_like_its_batches(spark, tmp_path):
     path = str(tmp_path / "store")
     rows = spark.range(4000).select(F.col("id").alias("event_id"), (F.timestamp_seconds(F.lit(1_900_000_000) + F.col("id") * 60)).alias("ingest_ts"))
