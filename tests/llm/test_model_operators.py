@@ -187,5 +187,30 @@ def test_small_blocks_and_many_cells_lose_nothing(spark):
     assert {r[0]: r[1] for r in found} == want
 
 
+def test_vectors_are_kept_once_however_many_cells_they_visit(spark, monkeypatch):
+    """In many directions, without clusters, nothing is ruled out: the staged rows must not grow with the cells."""
+    rng = np.random.default_rng(5)
+    rows = [(i, rng.normal(size=24).tolist()) for i in range(600)]
+    rows += [(600 + i, (np.array(rows[i][1]) * (1 + 0.02 * rng.normal(size=24))).tolist()) for i in range(0, 600, 40)]
+    staged = {}
+
+    def counted(write):
+        def run(part, name, *options, **more):
+            out = write(part, name, *options, **more)
+            staged[name] = staged.get(name, 0) + out.count()
+            return out
+        return run
+
+    monkeypatch.setattr(vector_join, "stage", counted(vector_join.stage))
+    monkeypatch.setattr(vector_join, "SLICE_BLOCKS", 3, raising=False)
+    shuffled = []
+    explode = vector_join.F.explode
+    monkeypatch.setattr(vector_join.F, "explode", lambda column: shuffled.append(column) or explode(column))
+    classes = spark.createDataFrame([(i, 1, v) for i, v in rows], "node long, copies long, vector array<double>")
+    found = vector_join.range_join(classes, block=16).groupBy("node").sum("links").collect()
+    assert {r[0]: r[1] for r in found} == {i: n for i, (n, _) in plain_links(rows).items() if n}
+    assert staged == {"vectors": len(rows)} and not shuffled
+
+
 def test_near_vectors_of_an_empty_table(spark):
     assert vector_join.near_vectors(spark.createDataFrame([], "vec_id long, embedding array<float>, n_links int")).count() == 0

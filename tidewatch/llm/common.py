@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import io
 import tempfile
 import zipfile
 from pathlib import Path
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -36,6 +38,14 @@ def small_batches(spark: SparkSession, rows: int = 1000) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
 
 
+def stream_bytes(table: pa.Table) -> bytes:
+    """An Arrow table as one piece, to broadcast."""
+    out = io.BytesIO()
+    with pa.ipc.new_stream(out, table.schema) as stream:
+        stream.write_table(table)
+    return out.getvalue()
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import threading
 import uuid
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -73,18 +73,33 @@ def stage_path(spark: SparkSession, name: str) -> str:
     return f"{work_dir(spark)}/staged/{name}-{uuid.uuid4().hex}"
 
 
-def stage(df: DataFrame, name: str) -> DataFrame:
+def stage(df: DataFrame, name: str, by: str | None = None) -> DataFrame:
     """Write ``df`` once as Parquet in the shared folder and read it back.
 
     Used where several branches read the same expensive result: the branches then scan only
     the columns they need, and a lost executor re-reads files instead of replaying lineage.
+    With ``by``, rows of a value lie in a folder, and a reader that asks for some values opens only theirs.
     """
-    path = stage_path(df.sparkSession, name)
+    path = _new_path(df.sparkSession, name)
+    (df.write.partitionBy(by) if by else df.write).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def stage_all(parts: Iterable[DataFrame], name: str) -> DataFrame:
+    """``stage`` for the union of ``parts``, at least one, each of which is written before the next is made."""
+    path, last = None, None
+    for last in parts:
+        path = path or _new_path(last.sparkSession, name)
+        last.write.mode("append").parquet(path)
+    return last.sparkSession.read.schema(last.schema).parquet(path)
+
+
+def _new_path(spark: SparkSession, name: str) -> str:
+    path = stage_path(spark, name)
     scope = getattr(_scopes, "paths", None)
     if scope is not None:
         scope.append(path)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return path
 
 
 _scopes = threading.local()
