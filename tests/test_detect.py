@@ -162,6 +162,11 @@ def test_keywords_span_fields_but_patterns_do_not(spark):
     assert got[2].suspicious_patterns is None and [r.rule for r in got[2].correlation_rules] == ["sql_injection_attempt"]
 
 
+def test_words_are_tried_only_where_one_of_them_begins():
+    assert any_word_pattern(["sudo", "nmap", "1=1"]).startswith("(?=[1ns])")
+    assert [m[1] for m in re.finditer(any_word_pattern(["sudo", "nmap", "1=1"]), "0 1=1 1=2 nnmap sudo")] == ["1=1", "nmap", "sudo"]
+
+
 @settings(max_examples=200, deadline=None)
 @given(st.lists(st.sampled_from([*searched_words(DEFAULT_PACK), "x", "1", " "]), max_size=6), st.integers(0, 2))
 def test_one_pass_finds_every_word(parts, cut):
